@@ -1,0 +1,22 @@
+"""Temporary frame checks."""
+from .registry import query
+from . import oracle
+
+for _n in oracle.FRAMES:
+    pass
+
+def _reg(n, sqltext, f):
+    query("frame_" + n, sqltext)(f)
+
+_reg("bronze_hr", "SELECT * FROM bronze_hr", lambda t: t.bronze_hr)
+_reg("bronze_payroll", "SELECT * FROM bronze_payroll", lambda t: t.bronze_payroll)
+_reg("silver_hr", "SELECT * REPLACE (CAST(hire_date AS VARCHAR) AS hire_date, CAST(salary AS DOUBLE) AS salary, strftime(created_datetime,'%Y-%m-%d %H:%M:%S') AS created_datetime, strftime(processed_timestamp,'%Y-%m-%d %H:%M:%S') AS processed_timestamp) FROM silver_hr", lambda t: t.silver_hr)
+_reg("silver_payroll", "SELECT payment_id, employee_id, CAST(net_pay AS DOUBLE) net_pay, payment_method, bank_account_last4, CAST(pay_period_start AS VARCHAR) AS pay_period_start FROM silver_payroll", lambda t: t.silver_payroll.select("payment_id","employee_id","net_pay","payment_method","bank_account_last4","pay_period_start"))
+_reg("config", "SELECT * EXCLUDE (domains, compliance_tags) REPLACE (CAST(estimated_monthly_gb AS DOUBLE) AS estimated_monthly_gb, strftime(modified_at,'%Y-%m-%d %H:%M:%S') AS modified_at) FROM company_config", lambda t: t.company_config.drop("domains","compliance_tags"))
+_reg("config2", "SELECT company_id, worker_count FROM config_v2", lambda t: t.config_v2.select("company_id","worker_count"))
+_reg("exec", "SELECT * EXCLUDE (dim_owner, dim_priority) REPLACE (CAST(dbu_consumed AS DOUBLE) AS dbu_consumed, strftime(file_arrival_time,'%Y-%m-%d %H:%M:%S') AS file_arrival_time, strftime(execution_start_time,'%Y-%m-%d %H:%M:%S') AS execution_start_time, strftime(execution_end_time,'%Y-%m-%d %H:%M:%S') AS execution_end_time) FROM execution_log", lambda t: t.execution_log.drop("custom_dimensions"))
+_reg("act", "SELECT * EXCLUDE (ts, start_time) FROM activity_log", lambda t: t.activity_log.drop("ts","start_time"))
+_reg("files", "SELECT * REPLACE (strftime(modified_at,'%Y-%m-%d %H:%M:%S') AS modified_at) FROM bronze_files", lambda t: t.bronze_files)
+_reg("mem", "SELECT * FROM archive_members", lambda t: t.archive_members)
+_reg("man", "SELECT * FROM manifest_lines", lambda t: t.manifest_lines)
+_reg("drops", "SELECT * FROM archive_drops", lambda t: t.archive_drops)
