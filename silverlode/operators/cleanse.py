@@ -54,9 +54,15 @@ def valid_employee(as_of: str) -> Column:
     )
 
 
-def hr_bronze_to_silver(df: DataFrame, pod: str, as_of: str, processed_at: str) -> DataFrame:
-    """Filtered, typed and de-duplicated employee rows."""
-    return cleanse_employees(df.where(valid_employee(as_of)), pod, processed_at).distinct()
+def hr_bronze_to_silver(
+    df: DataFrame, pod: str, as_of: str, processed_at: str, distinct: bool = True
+) -> DataFrame:
+    """Filtered and typed employee rows, exact duplicates removed.
+
+    ``distinct=False`` saves that shuffle when latest-row-per-key follows anyway.
+    """
+    out = cleanse_employees(df.where(valid_employee(as_of)), pod, processed_at)
+    return out.distinct() if distinct else out
 
 
 def cleanse_payments(df: DataFrame, pod: str, processed_at: str) -> DataFrame:
@@ -101,11 +107,15 @@ def with_known_employee(payments: DataFrame, employees: DataFrame, pod: str) ->
 
 
 def payroll_bronze_to_silver(
-    df: DataFrame, employees: DataFrame, pod: str, as_of: str, processed_at: str
+    df: DataFrame, employees: DataFrame, pod: str, as_of: str, processed_at: str, distinct: bool = True
 ) -> DataFrame:
-    """Filtered, FK-checked, typed and de-duplicated payment rows."""
+    """Filtered, FK-checked and typed payment rows, exact duplicates removed.
+
+    ``distinct=False`` saves that shuffle when latest-row-per-key follows anyway.
+    """
     checked = with_known_employee(df.where(valid_payment(as_of)), employees, pod)
-    return cleanse_payments(checked, pod, processed_at).distinct()
+    out = cleanse_payments(checked, pod, processed_at)
+    return out.distinct() if distinct else out
 
 
 # ---- per-tenant rule sets ---------------------------------------------------

@@ -127,7 +127,8 @@ class Frames:
 
     @cached_property
     def silver_hr(self) -> DataFrame:
-        return upsert.latest_per_key(self.cleansed_hr, ["employee_id", "pod_id"], ["created_datetime", "department"])
+        rows = cleanse.hr_bronze_to_silver(self.bronze_hr, POD, AS_OF, PROCESSED_AT, distinct=False)
+        return upsert.latest_per_key(rows, ["employee_id", "pod_id"], ["created_datetime", "department"])
 
     @cached_property
     def cleansed_payroll(self) -> DataFrame:
@@ -135,7 +136,10 @@ class Frames:
 
     @cached_property
     def silver_payroll(self) -> DataFrame:
-        return upsert.latest_per_key(self.cleansed_payroll, ["payment_id", "pod_id"], ["created_datetime"])
+        rows = cleanse.payroll_bronze_to_silver(
+            self.bronze_payroll, self.silver_hr, POD, AS_OF, PROCESSED_AT, distinct=False
+        )
+        return upsert.latest_per_key(rows, ["payment_id", "pod_id"], ["created_datetime"])
 
     @cached_property
     def simple_payroll(self) -> DataFrame:
