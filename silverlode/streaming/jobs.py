@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions import paths
 from silverlode.operators import alerts, tenants, upsert
-from silverlode.sources import files
+from silverlode.sources import files, sinks
 
 
 def landing_stream(
@@ -55,33 +55,50 @@ def read_version(spark: SparkSession, root: str, batch_id: int, schema: T.Struct
     return files.read_or_empty(spark, version_path(root, batch_id), schema)[0]
 
 
+BUCKET = "bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.hash(*keys), F.lit(buckets)).alias(BUCKET)
+
+
 def incremental_upsert(
-    stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
+    stream: DataFrame,
+    table: str,
+    work: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    newest_first: Sequence[str],
+    schema: T.StructType,
+    buckets: int = 64,
 ) -> None:
     """Bronze -> silver: each micro-batch's latest row per key is merged into the table.
 
-    Batch n reads version n-1 and writes version n, so a retried batch starts
-    from the same input.
+    The table is partitioned by key hash; a batch rewrites only the buckets it
+    touches.  Their new content is staged first and marked done, so a batch that
+    is retried after a crash replays the staged content instead of merging again
+    into a half-replaced table.  Choose ``buckets`` so that one holds a few GB.
     """
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    marker = T.StructType([T.StructField("id", T.LongType())])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = read_version(spark, root, batch_id - 1, schema)
-        newest = upsert.latest_per_key(batch.select(*schema.fieldNames()), keys, newest_first)
-        merged = upsert.upsert(current, newest, keys)
-        merged.write.mode("overwrite").parquet(version_path(root, batch_id))
+        stage, done = f"{work}/stage/batch={batch_id}", f"{work}/done/batch={batch_id}"
+        if files.read_or_empty(spark, done, marker)[1] == "NO_DATA":
+            rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, key_bucket(keys, buckets))
+            newest = upsert.latest_per_key(rows, keys, newest_first)
+            touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+            current = files.read_or_empty(spark, table, full)[0].where(F.col(BUCKET).isin(touched))
+            merged = upsert.upsert(current, newest, keys)
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
+            spark.range(1).write.mode("overwrite").parquet(done)
+        staged = spark.read.schema(full).parquet(stage)
+        sinks.replace_partitions(staged, table, [BUCKET])
 
     each_batch(stream, merge, checkpoint)
 
 
-def latest_version(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete version below ``root``."""
-    versions = files.list_files(spark, root, "_SUCCESS")
-    number = F.regexp_extract("path", r"version=(\d+)/_SUCCESS$", 1).cast("long")
-    newest = versions.agg(F.max(number)).first()[0]
-    return spark.read.parquet(version_path(root, newest))
-
-
 # ---- increments, windows, deduplication -------------------------------------------------
 
 
