@@ -30,8 +30,15 @@ def ambiguous_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count("*").alias("source_rows")).where("source_rows > 1")
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tag: str) -> DataFrame:
+    """Keys prefixed with ``tag`` and the other columns as one struct ``{tag}row``."""
+    return df.select(*[F.col(k).alias(tag + k) for k in keys], F.struct(*columns).alias(f"{tag}row"))
+
+
+def _full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join of two ``_side`` frames on null-safe keys."""
+    same = reduce(lambda a, b: a & b, [F.col(f"_t_{k}").eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return left.join(right, same, "full_outer")
 
 
 def upsert(
@@ -44,14 +51,12 @@ def upsert(
     """
     values = [c for c in target.columns if c not in keys]
     updated = set(values if update_columns is None else update_columns)
-    t = target.select(*[F.col(k) for k in keys], F.struct(*values).alias("_t"), F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(k) for k in keys], F.struct(*values).alias("_s"), F.lit(True).alias("_in_s"))
-    joined = t.join(s, _same(t, s, keys), "full_outer")
-    in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
-    cols = {k: F.when(in_t, t[k]).otherwise(s[k]).alias(k) for k in keys}
+    joined = _full_outer(_side(target, keys, values, "_t_"), _side(source, keys, values, "_s_"), keys)
+    in_t, in_s = F.col("_t_row").isNotNull(), F.col("_s_row").isNotNull()
+    cols = {k: F.when(in_t, F.col(f"_t_{k}")).otherwise(F.col(f"_s_{k}")).alias(k) for k in keys}
     for c in values:
         take_source = in_s if c in updated else (in_s & ~in_t)
-        cols[c] = F.when(take_source, F.col(f"_s.{c}")).otherwise(F.col(f"_t.{c}")).alias(c)
+        cols[c] = F.when(take_source, F.col(f"_s_row.{c}")).otherwise(F.col(f"_t_row.{c}")).alias(c)
     return joined.select(*[cols[c] for c in target.columns])
 
 
@@ -79,10 +84,8 @@ def fold_events(events: DataFrame, key: str, order: Sequence[str], columns: Sequ
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Row changes between two snapshots as insert / update / delete records."""
-    b = before.select(*keys, F.struct(*columns).alias("_b"))
-    a = after.select(*keys, F.struct(*columns).alias("_a"))
-    joined = b.join(a, _same(b, a, keys), "full_outer")
-    pre, post = F.col("_b"), F.col("_a")
+    joined = _full_outer(_side(before, keys, columns, "_t_"), _side(after, keys, columns, "_s_"), keys)
+    pre, post = F.col("_t_row"), F.col("_s_row")
 
     def record(kind: str, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("change_type"), value.alias("row"))
@@ -92,7 +95,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], column
         .when(post.isNull(), F.array(record("delete", pre)))
         .when(~pre.eqNullSafe(post), F.array(record("update_preimage", pre), record("update_postimage", post)))
     )
-    out = joined.select(*[F.coalesce(b[k], a[k]).alias(k) for k in keys], F.explode(changes).alias("_c"))
+    out = joined.select(*[F.coalesce(f"_t_{k}", f"_s_{k}").alias(k) for k in keys], F.explode(changes).alias("_c"))
     return out.select("_c.change_type", *keys, *[F.col(f"_c.row.{c}").alias(c) for c in columns])
 
 

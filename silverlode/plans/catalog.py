@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import catalog_rows  # noqa: F401
+from . import catalog_quality, catalog_rows, catalog_sets  # noqa: F401
 from .registry import QUERIES
 
 __all__ = ["QUERIES"]
