@@ -72,10 +72,11 @@ def incremental_upsert(
     schema: T.StructType,
     buckets: int = 64,
 ) -> None:
-    """Bronze -> silver: each micro-batch's latest row per key is merged into the table.
+    """Bronze -> silver: the newest row per key of table and micro-batch is kept.
 
-    The table is partitioned by key hash; a batch rewrites only the buckets it
-    touches.  Their new content is staged first and marked done, so a batch that
+    An older row that arrives late does not replace a newer one, so the result
+    does not depend on how deliveries were cut into batches.  The table is
+    partitioned by key hash; a batch rewrites only the buckets it touches.  Their new content is staged first and marked done, so a batch that
     is retried after a crash replays the staged content instead of merging again
     into a half-replaced table.  Choose ``buckets`` so that one holds a few GB.
     """
@@ -87,10 +88,9 @@ def incremental_upsert(
         stage, done = f"{work}/stage/batch={batch_id}", f"{work}/done/batch={batch_id}"
         if files.read_or_empty(spark, done, marker)[1] == "NO_DATA":
             rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, key_bucket(keys, buckets))
-            newest = upsert.latest_per_key(rows, keys, newest_first)
             touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
             current = files.read_or_empty(spark, table, full)[0].where(F.col(BUCKET).isin(touched))
-            merged = upsert.upsert(current, newest, keys)
+            merged = upsert.latest_per_key(current.unionByName(rows), keys, newest_first)
             merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
             spark.range(1).write.mode("overwrite").parquet(done)
         staged = spark.read.schema(full).parquet(stage)
@@ -121,6 +121,23 @@ def windowed_outcomes(stream: DataFrame, time_column: str, width: str, lateness:
     ).select(F.col("window.start").alias("window_start"), "total", "succeeded", "failed")
 
 
+def write_windows(windows: DataFrame, target: str, checkpoint: str) -> None:
+    """Write the windows each micro-batch changed; ``latest_windows`` reads the outcome."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(version_path(target, batch_id))
+
+    _finish(windows.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint))
+
+
+def latest_windows(spark: SparkSession, target: str, columns: Sequence[str]) -> DataFrame:
+    """Newest figures of every window."""
+    newest = F.max(F.struct("version", *columns)).alias("m")
+    return spark.read.parquet(target).groupBy("window_start").agg(newest).select(
+        "window_start", *[F.col(f"m.{c}").alias(c) for c in columns]
+    )
+
+
 def deduplicate(stream: DataFrame, keys: Sequence[str], time_column: str, lateness: str) -> DataFrame:
     """First delivery of each key within the lateness bound."""
     timed = stream.withColumn(time_column, F.col(time_column).cast("timestamp")).withWatermark(time_column, lateness)
