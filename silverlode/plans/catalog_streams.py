@@ -104,7 +104,7 @@ def st_4_short(t):
 
 @query(
     "st_5_completeness",
-    f"WITH {GATE_SQL} SELECT pod_id, company FROM gate WHERE len(missing) = 0",
+    f"WITH {GATE_SQL} SELECT pod_id, company FROM gate WHERE len(missing) = 0 AND len(domains) > 0",
 )
 def st_5(t):
     landing, target, checkpoint = folders(t, "complete")
