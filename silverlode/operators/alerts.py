@@ -110,13 +110,17 @@ def breaches(value: Column, operator: Column, threshold: Column) -> Column:
     )
 
 
-def evaluate_alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
-    """One firing per metric and applicable rule whose threshold it breaches."""
+def evaluate_alerts(metrics: DataFrame, rules: DataFrame, tenants: DataFrame | None = None) -> DataFrame:
+    """One firing per metric and applicable rule whose threshold it breaches.
+
+    ``tenants`` is any frame with the tenant keys of ``metrics`` that is cheaper
+    to scan, such as the log the metrics come from.
+    """
     keys = ["pod_id", "company", "stage"]
     active = rules.where("enabled").select(
         "alert_rule_id", *keys, "rule_type", "threshold_value", "threshold_operator", "severity", "cooldown_minutes"
     )
-    applicable = resolve_wildcards(metrics, active, keys).drop("generality")
+    applicable = resolve_wildcards(metrics if tenants is None else tenants, active, keys).drop("generality")
     joined = metrics.join(applicable, [*keys, "rule_type"])
     hit = breaches(F.col("metric_value"), F.col("threshold_operator"), F.col("threshold_value"))
     return joined.where(hit).select(

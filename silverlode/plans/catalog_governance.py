@@ -474,7 +474,7 @@ FIRED_SQL = f"""{RULES_SQL}, {METRIC_SQL}, fired AS (SELECT r.alert_rule_id, m.e
 
 
 def firings(t):
-    return alerts.evaluate_alerts(alerts.run_metrics(t.execution_log), alert_rules(t))
+    return alerts.evaluate_alerts(alerts.run_metrics(t.execution_log), alert_rules(t), t.execution_log)
 
 
 @query(

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
@@ -34,6 +36,8 @@ def local_session(cores: int | str = 8, app: str = "silverlode", memory: str = "
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites per column expression cost more than short local jobs themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,7 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        path = spark._jvm.org.apache.hadoop.fs.Path(named)
+        home = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return home.makeQualified(path).toString().rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if not _LOCAL_SCRATCH:

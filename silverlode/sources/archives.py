@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from silverlode.functions import paths
 
 from .files import list_files
-from .remote import open_read, write_file
+from .remote import open_read, write_stream
 
 TASK_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
@@ -48,10 +48,19 @@ def list_members(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFra
     return list_files(spark, path, glob).select("path").mapInPandas(_list, MEMBER_SCHEMA)
 
 
+def task_count(spark: SparkSession, path: str, glob: str, task_bytes: int) -> int:
+    """Enough tasks for the files' total size, at least one per core.
+
+    Work items are tiny rows that stand for large reads, so partitions cannot be
+    sized by their bytes; an explicit count also keeps AQE from merging them.
+    """
+    total = list_files(spark, path, glob).agg(F.sum("size_bytes")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, math.ceil(total / task_bytes))
+
+
 def _spread(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """Members spread over enough tasks for the archives' total size."""
-    total = list_files(spark, path, glob).agg(F.sum("size_bytes")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+    tasks = task_count(spark, path, glob, TASK_BYTES)
     members = list_members(spark, path, glob)
     return members.repartition(tasks, "archive_path", "member_path").sortWithinPartitions("archive_path")
 
@@ -121,7 +130,7 @@ def place_members(spark: SparkSession, path: str, target: str, glob: str = "*.zi
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row, stream in _each_member(batch):
-                write_file(row.target_path, stream.read())
+                write_stream(row.target_path, stream)
             yield batch[["archive", "member_path", "target_path", "size_bytes"]]
 
     return routed.mapInPandas(copy, "archive string, member_path string, target_path string, size_bytes long")
@@ -138,7 +147,8 @@ def write_archives(members: DataFrame, target: str) -> DataFrame:
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
             for path, content in sorted(zip(pdf["path"], pdf["content"], strict=True)):
                 z.writestr(zipfile.ZipInfo(path), content)
-        write_file(f"{target}/{name}", buf.getvalue())
+        buf.seek(0)
+        write_stream(f"{target}/{name}", buf)
         return pd.DataFrame({"archive": [name], "archive_path": [f"{target}/{name}"], "member_count": [len(pdf)]})
 
     return members.groupBy("archive").applyInPandas(pack, "archive string, archive_path string, member_count long")

@@ -1,15 +1,20 @@
-"""Opening files by URI inside tasks."""
+"""Opening and writing files by URI inside tasks."""
 
 from __future__ import annotations
 
 import re
+import shutil
+import uuid
+from typing import BinaryIO
 
 from pyarrow import fs
 
+COPY_BYTES = 1 << 20
+
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI such as ``file:/x``, ``hdfs://...`` or ``s3://...``."""
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    """File system and path of a URI such as ``file:/x``, ``hdfs://...`` or ``s3a://...``."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3a:", "s3:", re.sub(r"^file:/+", "file:///", uri)))
 
 
 def open_read(uri: str):
@@ -17,9 +22,16 @@ def open_read(uri: str):
     return filesystem.open_input_file(path)
 
 
-def write_file(uri: str, content: bytes) -> None:
-    """Write or replace one file; a repeated task attempt writes the same bytes."""
+def write_stream(uri: str, source: BinaryIO) -> None:
+    """Copy ``source`` to ``uri`` in blocks and publish it with a rename.
+
+    The hidden temporary name is unique per attempt, so a repeated or
+    speculative task cannot leave a half-written file under the final name.
+    """
     filesystem, path = locate(uri)
-    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(path) as out:
-        out.write(content)
+    folder, name = path.rsplit("/", 1)
+    filesystem.create_dir(folder, recursive=True)
+    temporary = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(temporary) as out:
+        shutil.copyfileobj(source, out, COPY_BYTES)
+    filesystem.move(temporary, path)

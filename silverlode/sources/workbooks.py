@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .archives import task_count
 from .files import list_files
-from .remote import open_read, write_file
+from .remote import open_read, write_stream
 
 # Spreadsheet XML namespaces and part names, and the day a
 # spreadsheet date serial counts from.
@@ -30,6 +31,7 @@ PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 SERIAL_EPOCH = "1899-12-30"
 
 ROWS_PER_BATCH = 5000
+TASK_BYTES = 8 << 20  # compressed sheet XML grows about tenfold
 
 
 def _sheet_parts(z: zipfile.ZipFile) -> dict[str, str]:
@@ -105,7 +107,7 @@ def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> Data
     ``company`` is the folder above the workbook; ``cells`` maps header to text.
     """
     sheets = list_sheets(spark, path, glob)
-    tasks = max(spark.sparkContext.defaultParallelism, list_files(spark, path, glob).count())
+    tasks = task_count(spark, path, glob, TASK_BYTES)
     tall = sheets.repartition(tasks, "path", "sheet").mapInPandas(
         _read_sheets, "path string, sheet string, row_no long, cells string"
     )
@@ -176,7 +178,7 @@ def write_workbooks(rows: DataFrame, target: str) -> DataFrame:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         company, name = pdf["company"].iloc[0], pdf["file_name"].iloc[0]
         sheets = {s: [list(c) for c in g.sort_values("row_no")["cells"]] for s, g in pdf.groupby("sheet")}
-        write_file(f"{target}/{company}/{name}", workbook_bytes(sheets))
+        write_stream(f"{target}/{company}/{name}", io.BytesIO(workbook_bytes(sheets)))
         return pd.DataFrame({"company": [company], "file_name": [name], "sheets": [len(sheets)]})
 
     return rows.groupBy("company", "file_name").applyInPandas(pack, "company string, file_name string, sheets long")

@@ -195,7 +195,7 @@ def alert_stream(
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = read_version(spark, state, batch_id - 1, LAST_SENT)
-        minutes = alerts.firing_minutes(alerts.evaluate_alerts(to_metrics(batch), rules))
+        minutes = alerts.firing_minutes(alerts.evaluate_alerts(to_metrics(batch), rules, batch))
         decided = alerts.apply_cooldown(minutes, last).where("sent").drop("sent")
         decided.write.mode("overwrite").parquet(version_path(sent, batch_id))
         written = spark.read.schema(decided.schema).parquet(version_path(sent, batch_id))
