@@ -449,8 +449,8 @@ def src_8(t):
 
 
 def loaded_sheets(t):
-    tall = workbooks.read_workbooks(t.spark, delivered_workbooks(t))
-    return {s: workbooks.project_sheet(tall, s, schema) for s, schema in SHEETS.items()}
+    root = delivered_workbooks(t)
+    return {s: workbooks.load_sheet(t.spark, root, s, schema) for s, schema in SHEETS.items()}
 
 
 def _load_sql(sheet: str) -> str:
@@ -486,7 +486,7 @@ def b2s_8(t):
     CASE WHEN c_custkey % 43 <> 0 THEN {dbl('CAST(c_acctbal AS DECIMAL(10,2))')} END AS "Salary", {COMPANY_SQL} AS "Company" FROM customer""",
 )
 def b2s_8_employees(t):
-    return loaded_sheets(t)["Employees"]
+    return workbooks.load_sheet(t.spark, delivered_workbooks(t), "Employees", SHEETS["Employees"])
 
 
 # ---- integrity --------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -101,14 +101,19 @@ def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
 
 
-def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+def read_workbooks(
+    spark: SparkSession, path: str, glob: str = "*.xlsx", sheets: Sequence[str] | None = None
+) -> DataFrame:
     """(company, file_name, sheet, row_no, cells): first row is the header.
 
     ``company`` is the folder above the workbook; ``cells`` maps header to text.
+    Sheets that are not asked for are never opened.
     """
-    sheets = list_sheets(spark, path, glob)
+    wanted = list_sheets(spark, path, glob)
+    if sheets is not None:
+        wanted = wanted.where(F.col("sheet").isin(list(sheets)))
     tasks = task_count(spark, path, glob, TASK_BYTES)
-    tall = sheets.repartition(tasks, "path", "sheet").mapInPandas(
+    tall = wanted.repartition(tasks, "path", "sheet").mapInPandas(
         _read_sheets, "path string, sheet string, row_no long, cells string"
     )
     parts = F.split("path", "/")
@@ -135,6 +140,11 @@ def project_sheet(tall: DataFrame, sheet: str, schema: T.StructType) -> DataFram
     return tall.where(F.col("sheet") == sheet).select(*cols, F.col("company").alias("Company"))
 
 
+def load_sheet(spark: SparkSession, path: str, sheet: str, schema: T.StructType) -> DataFrame:
+    """Typed rows of one sheet of all workbooks below ``path``."""
+    return project_sheet(read_workbooks(spark, path, sheets=[sheet]), sheet, schema)
+
+
 def _letters(i: int) -> str:
     s = ""
     i += 1
