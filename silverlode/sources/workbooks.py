@@ -23,12 +23,13 @@ from .archives import task_count
 from .files import list_files
 from .remote import open_read, write_stream
 
-# Spreadsheet XML namespaces and part names, and the day a
-# spreadsheet date serial counts from.
+# Spreadsheet XML namespaces, and the day spreadsheet date serials
+# count from with their shape.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 SERIAL_EPOCH = "1899-12-30"
+SERIAL_REGEX = r"^\d{1,7}(\.\d+)?$"
 
 ROWS_PER_BATCH = 5000
 TASK_BYTES = 8 << 20  # compressed sheet XML grows about tenfold
@@ -127,10 +128,14 @@ def read_workbooks(
 
 
 def typed_cell(text: Column, data_type: T.DataType) -> Column:
-    """Text to the declared type, null when it does not fit; dates also from serials."""
+    """Text to the declared type, null when it does not fit.
+
+    A bare number in a date column is a day serial, never a year.
+    """
     if isinstance(data_type, T.DateType):
-        serial = text.try_cast("decimal(10,0)").cast("int")
-        return F.coalesce(text.try_cast("date"), F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial))
+        is_serial = text.rlike(SERIAL_REGEX)
+        serial = F.floor(F.when(is_serial, text).try_cast("double")).cast("int")
+        return F.when(is_serial, F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial)).otherwise(text.try_cast("date"))
     return text.try_cast(data_type)
 
 
