@@ -133,7 +133,8 @@ def daily_summary(history: DataFrame) -> DataFrame:
 
 def recent_failures(history: DataFrame, as_of: str, days: int, n: int) -> DataFrame:
     recent = history.where((F.col("status") != "PASS") & (F.col("validated_at") >= F.date_sub(dates.day(as_of), days)))
-    return recent.orderBy(F.col("validated_at").desc(), "archive").limit(n)
+    rest = [c for c in history.columns if c not in ("validated_at", "archive")]
+    return recent.orderBy(F.col("validated_at").desc(), "archive", *rest).limit(n)
 
 
 def latest_status(history: DataFrame) -> DataFrame:

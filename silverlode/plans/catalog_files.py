@@ -663,7 +663,7 @@ def fi_9(t):
 @query(
     "fi_9_recent_failures",
     f"""WITH {HISTORY_SQL} SELECT archive, strftime(validated_at, {STAMP}) AS validated_at, status, doc_id FROM history
-    WHERE status <> 'PASS' AND validated_at >= DATE '2024-01-31' - 30 ORDER BY history.validated_at DESC, archive LIMIT 30""",
+    WHERE status <> 'PASS' AND validated_at >= DATE '2024-01-31' - 30 ORDER BY history.validated_at DESC, archive, status, doc_id LIMIT 30""",
 )
 def fi_9_failures(t):
     return integrity.recent_failures(history(t), "2024-01-31", 30, 30)
