@@ -58,6 +58,42 @@ def error_events(runs: DataFrame) -> DataFrame:
     )
 
 
+def activity_events(activities: DataFrame) -> DataFrame:
+    """START and END log rows of every activity, carrying its run's id."""
+    ended_at = dates.add_seconds("start_time", "duration_seconds")
+    no_rows = F.lit(None).cast("long")
+    rows = F.array(
+        F.struct(
+            F.lit("START").alias("event"), F.col("start_time").alias("event_time"), F.lit(RUNNING).alias("status"),
+            no_rows.alias("rows_read"), no_rows.alias("rows_written"),
+        ),
+        F.struct(F.lit("END").alias("event"), ended_at.alias("event_time"), "status", "rows_read", "rows_written"),
+    )
+    return activities.select("activity_id", "execution_id", "activity_name", F.inline(rows))
+
+
+def close_activities(events: DataFrame) -> DataFrame:
+    """Activity events folded to one row per activity; without an END it is still running."""
+
+    def at(event: str) -> Column:
+        return F.max(F.when(F.col("event") == event, F.col("event_time")))
+
+    ended = F.col("event") == "END"
+    folded = events.groupBy("activity_id", "execution_id", "activity_name").agg(
+        at("START").alias("started_at"),
+        at("END").alias("ended_at"),
+        F.max(F.when(ended, F.col("status"))).alias("_status"),
+        F.max("rows_read").alias("rows_read"),
+        F.max("rows_written").alias("rows_written"),
+    )
+    return folded.select(
+        "activity_id", "execution_id", "activity_name", "started_at", "ended_at",
+        F.coalesce("_status", F.lit(RUNNING)).alias("status"),
+        dates.seconds_between("started_at", "ended_at").alias("duration_seconds"),
+        "rows_read", "rows_written",
+    )
+
+
 def close_runs(starts: DataFrame, ends: DataFrame) -> DataFrame:
     """Start events joined with their end or error events.
 

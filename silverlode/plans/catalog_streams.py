@@ -88,7 +88,8 @@ def windowed(t, width: str):
         stream = jobs.landing_stream(t.spark, landing, schema)
         jobs.write_windows(jobs.windowed_outcomes(stream, "ts", width, NOTHING_LATE), target, checkpoint)
 
-    deliver(event_waves(t), landing, run)
+    with jobs.state_partitions(t.spark, t.spark.sparkContext.defaultParallelism):
+        deliver(event_waves(t), landing, run)
     return jobs.latest_windows(t.spark, target, ["total", "succeeded", "failed"])
 
 
@@ -131,7 +132,8 @@ def st_6(t):
         stream = jobs.landing_stream(t.spark, landing, schema)
         jobs.ingest(jobs.deduplicate(stream, ["event_id"], "ts", NOTHING_LATE), target, checkpoint)
 
-    deliver(again, landing, run)
+    with jobs.state_partitions(t.spark, t.spark.sparkContext.defaultParallelism):
+        deliver(again, landing, run)
     return t.spark.read.parquet(target).select("event_id", "event_type")
 
 

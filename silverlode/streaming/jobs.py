@@ -8,7 +8,8 @@ micro-batch overwrites its own output, so effects are exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,22 @@ def landing_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(file_format).load(path)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Start stateful queries with ``n`` state partitions.
+
+    The number is fixed for a checkpoint by its first run, whatever the session
+    uses for other shuffles; about the cores of the cluster is a good choice.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _finish(writer) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
