@@ -11,12 +11,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from silverlode.plans.catalog import QUERIES
 from tests.conftest import SMALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+CHECKS = {name: q.check for name, q in QUERIES.items() if q.check}
 WITHOUT_SQL = {"sc_25_sha512"}
 
 
@@ -60,6 +61,10 @@ def test_sha512_query_has_one_digest_per_file(spark):
     assert df.where("length(sha512) = 128").count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
