@@ -51,3 +51,19 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def packed(df: DataFrame, *without: str, **named: Column) -> DataFrame:
+    """The columns of ``df`` but ``without`` as one struct ``row``, next to ``named`` ones.
+
+    Whatever the columns of a table are called, they cannot clash with an operator's own.
+    """
+    inner = [F.col(f"`{c}`") for c in df.columns if c not in without]
+    # A struct needs a field.
+    row = F.struct(*(inner or [F.lit(0).alias("_")]))
+    return df.select(row.alias("row"), *[c.alias(n) for n, c in named.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **instead: Column) -> DataFrame:
+    """The columns of ``row`` under their names, with ``instead`` in place of those left out."""
+    return df.select(*[instead[c].alias(c) if c in instead else F.col(f"row.`{c}`") for c in columns])

@@ -19,13 +19,13 @@ class Settings:
     """Learning rates per coordinate (``alpha``, ``beta``), penalties and passes."""
 
     bits: int = 18
-    alpha: float = 0.1
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
-    passes: int = 3
+    l1: float = 6.0
+    l2: float = 0.01
+    passes: int = 5
     # Rows the model may be fitted on; a documented bound, the fitting is one task.
-    max_rows: int = 8000
+    max_rows: int = 12_000
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import materialize, packed, unpacked, word_count
 
 HEX = 3
 
@@ -158,10 +158,11 @@ def mixed(docs: DataFrame, counts: DataFrame, id_column: str = "doc_id") -> Data
     Rows of ``docs`` that share an id are repeated alike, by the largest count of the
     id.  Rows without an id are dropped: nothing tells which count is theirs.
     """
-    per_id = counts.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("repeats").alias("_repeats"))
-    joined = docs.join(per_id.where("_repeats > 0"), F.col(id_column) == F.col("_mix_id"))
-    times = joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
-    return times.select(*docs.columns)
+    per_id = counts.groupBy(F.col("doc_id").alias("of")).agg(F.max("repeats").alias("repeats"))
+    rows = packed(docs, id=F.col(f"`{id_column}`").cast("long"))
+    joined = rows.join(per_id.where("repeats > 0"), F.col("id") == F.col("of"))
+    times = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+    return unpacked(times, docs.columns)
 
 
 ORACLE = r"""

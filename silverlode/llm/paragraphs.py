@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .collide import link
-from .common import materialize
+from .common import materialize, packed, unpacked
 from .components import components
 
 SENTENCE = 12
@@ -162,15 +162,14 @@ def without_repeats(
     The spans of one document are gathered; their number is bounded by its length.
     Texts without such spans, null texts and rows without an id stay as they are.
     """
-    dropped = repeats.where("not kept").groupBy(F.col("doc_id").alias("_span_id"))
-    spans = dropped.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    text = f"`{text_column}`"
+    dropped = repeats.where("not kept").groupBy(F.col("doc_id").alias("of"))
+    spans = dropped.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    rows = packed(docs, text_column, id=F.col(f"`{id_column}`").cast("long"), text=F.col(f"`{text_column}`"))
     cut = F.expr(
-        f"""aggregate(_spans, named_struct('at', 0L, 'text', ''),
+        """aggregate(spans, named_struct('at', 0L, 'text', ''),
             (s, x) -> named_struct('at', x.end, 'text', concat(s.text,
-                substring({text}, cast(s.at as int) + 1, cast(x.start - s.at as int)))),
-            s -> concat(s.text, substring({text}, cast(s.at as int) + 1)))"""
+                substring(text, cast(s.at as int) + 1, cast(x.start - s.at as int)))),
+            s -> concat(s.text, substring(text, cast(s.at as int) + 1)))"""
     )
-    joined = docs.join(spans, F.col(id_column) == F.col("_span_id"), "left")
-    changed = F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(cut)
-    return joined.withColumn(text_column, changed).select(*docs.columns)
+    joined = rows.join(spans, F.col("id") == F.col("of"), "left")
+    return unpacked(joined, docs.columns, **{text_column: F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut)})

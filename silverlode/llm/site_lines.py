@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, packed, unpacked
 
 BREAK = "\n"
 
@@ -47,7 +47,8 @@ def cleaned_lines(
 
     A line is boilerplate if more than ``ratio`` of the host's pages, and at least
     ``min_pages`` of them, contain it; outer spaces and tabs do not matter.  Adds the
-    longs ``_lines`` and ``_dropped``, the lines before and those dropped.
+    longs ``_lines`` and ``_dropped``, the lines before and those dropped; the pages
+    must not have columns of these two names.
 
     * Blank lines are never boilerplate and stay.
     * Null texts stay null with 0 lines, but their page counts for its host.
@@ -55,26 +56,21 @@ def cleaned_lines(
     * Repeated rows are pages of their own.  A page all of whose lines go keeps an
       empty text.  An empty table gives an empty result.
     """
-    text = F.col(f"`{text_column}`")
-    lines = F.split(text, BREAK)
-    found = boilerplate(pages.select(host.alias("host"), lines.alias("lines")), ratio, min_pages)
+    rows = packed(pages, text_column, host=host, text=F.col(f"`{text_column}`").cast("string"))
+    lines = F.split("text", BREAK)
+    found = boilerplate(rows.select("host", lines.alias("lines")), ratio, min_pages)
     # Written, so that Spark joins by its true size: a broadcast only if it is small.
-    found = materialize(found.select(F.col("of").alias("_host"), F.col("keys").alias("_keys")), "boilerplate")
-    joined = pages.join(found, host.eqNullSafe(F.col("_host")), "left")
-    none = F.array().cast("array<struct<col1:bigint,col2:bigint>>")
-    kept = F.filter(
-        lines, lambda x: is_blank(x) | ~F.array_contains(F.coalesce(F.col("_keys"), none), line_key(x))
+    found = materialize(found, "boilerplate")
+    joined = rows.join(found, F.col("host").eqNullSafe(F.col("of")), "left")
+    # A text of a host without boilerplate is passed on as it is.
+    kept = F.filter(lines, lambda x: is_blank(x) | ~F.array_contains("keys", line_key(x)))
+    joined = joined.withColumn("rest", F.when(F.col("keys").isNotNull(), kept))
+    total = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    dropped = F.when(F.col("rest").isNull(), 0).otherwise(total - F.size("rest")).cast("long")
+    text = F.when(F.col("rest").isNull(), F.col("text")).otherwise(F.array_join("rest", BREAK))
+    return unpacked(
+        joined, [*pages.columns, "_lines", "_dropped"], **{text_column: text, "_lines": total, "_dropped": dropped}
     )
-    # A text none of whose lines go is passed on as it is.
-    plain = F.col("_keys").isNull() | text.isNull()
-    total = F.coalesce(F.size(lines), F.lit(0))
-    rest = F.when(plain, None).otherwise(kept)
-    return joined.withColumn("_rest", rest).select(
-        *[F.col(f"`{c}`") if c != text_column else
-          F.when(F.col("_rest").isNull(), text).otherwise(F.array_join("_rest", BREAK)).alias(c) for c in pages.columns],
-        F.when(text.isNull(), 0).otherwise(total).cast("long").alias("_lines"),
-        F.when(F.col("_rest").isNull(), 0).otherwise(total - F.size("_rest")).cast("long").alias("_dropped"),
-    )
 
 
 ORACLE = r"""

@@ -1,4 +1,8 @@
-"""Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams."""
+"""Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
+
+Unigrams are also taken of stems, the first bytes of longer words, since many
+languages build insults as compounds.
+"""
 
 from __future__ import annotations
 
@@ -20,15 +24,27 @@ PLAIN = bytes.maketrans(
 )
 
 
+# Bytes of the stems.
+STEMS = (4, 5, 6, 7)
+
+
 def grams(text: bytes) -> np.ndarray:
-    """Hashed unigrams, bigrams and skip-grams (one word left out) of a whole text."""
-    words = hashing.text_words(text.translate(PLAIN))[0]
-    one, two, skip = hashing.constants(3, 404)
+    """Hashed unigrams, stems, bigrams and skip-grams (one word left out) of a whole text."""
+    plain = text.translate(PLAIN)
+    words, starts, ends = hashing.text_words(plain)
+    codes = np.frombuffer(plain, np.uint8)
+    one, two, skip, stem = hashing.constants(4, 404)
     found = [hashing.mix(words * one)]
     if len(words) > 1:
         found.append(hashing.mix(words[:-1] * two + words[1:]))
     if len(words) > 2:
         found.append(hashing.mix(words[:-2] * skip + words[2:]))
+    for size in STEMS:
+        first = starts[ends - starts > size]
+        value = np.full(len(first), size, np.uint64)
+        for j in range(size):
+            value = value * stem + codes[first + j]
+        found.append(hashing.mix(value))
     return (np.concatenate(found) >> np.uint64(64 - SETTINGS.bits)).astype(np.int32)
 
 

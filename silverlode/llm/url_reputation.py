@@ -87,7 +87,10 @@ def strengths(counts: DataFrame, above: DataFrame, least: float = 2.0, most: flo
     extra, pairs = joined.agg(
         F.sum(off * off - F.col("n") * noise), F.sum(F.col("n") * (F.col("n") - 1) * noise)
     ).first()
-    if not pairs or not extra or extra <= 0:
+    if not pairs:
+        # Nothing is known about the spread, so the prior says little.
+        return least
+    if extra <= 0:
         return most
     return min(most, max(least, pairs / extra - 1))
 

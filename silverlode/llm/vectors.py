@@ -4,7 +4,9 @@ Centroids come from balanced splits of a bounded sample.  Every vector is posted
 the list of its nearest centroid, and, if it lies near a boundary, in those of others
 about as near.  A query finds its nearest centroids in an in-memory neighbour graph,
 keeps those within a ratio of the nearest one's distance, and is compared with all
-vectors of these lists in double precision.
+vectors of these lists in double precision.  The ratio is the smallest that reaches
+the wanted recall on the sample, against brute force there; the sample's neighbours
+lie farther apart than the table's, so the ratio is on the safe side.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ class Settings:
     """Bounds and ratios of the index.
 
     The index is fitted on ``sample`` vectors, those first by a hash of their id, and
-    has ``max_lists`` lists at most; all vectors are indexed.  ``boundary`` and
-    ``prune`` are distance ratios to the nearest centroid, for posting and for search;
-    ``replicas`` and ``probes`` bound the lists of a vector and of a query.
+    has ``max_lists`` lists at most; all vectors are indexed.  ``boundary`` is the
+    distance ratio to the nearest centroid up to which a vector is posted again, in
+    ``replicas`` lists at most.  A query's lists have no cap but the ratio that
+    ``recall`` asks for.
     """
 
     sample: int = 20_000
@@ -37,8 +40,8 @@ class Settings:
     beam: int = 24
     boundary: float = 1.15
     replicas: int = 4
-    prune: float = 1.6
-    probes: int = 24
+    recall: float = 0.98
+    trials: int = 200
     # Rows of a list, and queries, that one group of the comparison holds on average.
     vector_block: int = 4096
     query_block: int = 1024
@@ -89,44 +92,89 @@ def build_graph(centroids: np.ndarray, links: int) -> Graph:
         far = squared(centroids[at : at + 512], centroids)
         far[np.arange(len(far)), np.arange(at, at + len(far))] = np.inf
         found[at : at + 512] = np.argsort(far, axis=1, kind="stable")[:, :links]
+    # A few far links keep separate clusters reachable.
+    rng = np.random.default_rng(11)
+    found = np.concatenate((found, rng.integers(0, n, (n, 4), dtype=np.int32)), axis=1)
     entries = np.unique(np.linspace(0, n - 1, min(n, 16)).astype(np.int32))
     return Graph(centroids, found, entries)
 
 
-def nearest_lists(graph: Graph, vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and distances of up to ``beam`` centroids near each vector, nearest first.
+def list_distances(graph: Graph, vectors: np.ndarray, beam: int, ratio: float = 1.0) -> np.ndarray:
+    """Distances of vectors to centroids, infinite where the search did not come.
 
-    Beam search: each step expands every vector's best centroid not yet expanded.
+    Best-first search in the graph: every step expands each vector's nearest centroid
+    not yet expanded, ``beam`` times at least, and on while that one lies within
+    ``ratio`` of the nearest.
     """
     n, c = len(vectors), len(graph.centroids)
-    beam = min(beam, c)
-    rows = np.arange(n)[:, None]
-    seen = np.zeros((n, c), bool)
-
-    def distances(ids: np.ndarray) -> np.ndarray:
-        return np.sqrt(((graph.centroids[ids] - vectors[:, None, :]) ** 2).sum(2))
-
-    ids = np.broadcast_to(graph.entries, (n, len(graph.entries))).copy()
-    seen[rows, ids] = True
-    far, open_ = distances(ids), np.ones(ids.shape, bool)
-    while True:
-        waiting = np.where(open_, far, np.inf)
-        best = waiting.argmin(1)
-        active = np.isfinite(waiting[rows[:, 0], best])
-        if not active.any():
-            break
-        open_[rows[:, 0], best] = False
-        around = graph.links[ids[rows[:, 0], best]]
-        fresh = ~seen[rows, around] & active[:, None]
-        seen[rows, around] |= active[:, None]
-        ids = np.concatenate((ids, around), 1)
-        far = np.concatenate((far, np.where(fresh, distances(around), np.inf)), 1)
-        open_ = np.concatenate((open_, fresh), 1)
-        order = np.argsort(far, axis=1, kind="stable")[:, :beam]
-        ids, far, open_ = ids[rows, order], far[rows, order], open_[rows, order]
-        open_ &= np.isfinite(far)
-    order = np.argsort(far, axis=1, kind="stable")
-    return ids[rows, order], far[rows, order]
+    rows = np.arange(n)
+    far = np.full((n, c), np.inf)
+    waiting = np.full((n, c), np.inf)
+
+    def visit(which: np.ndarray, ids: np.ndarray) -> None:
+        new = np.sqrt(((graph.centroids[ids] - vectors[which][:, None, :]) ** 2).sum(2))
+        at = which[:, None]
+        waiting[at, ids] = np.where(np.isinf(far[at, ids]), new, waiting[at, ids])
+        far[at, ids] = new
+
+    visit(rows, np.broadcast_to(graph.entries, (n, len(graph.entries))))
+    step = 0
+    while len(rows):
+        best = waiting[rows].argmin(1)
+        reach = waiting[rows, best]
+        on = np.isfinite(reach)
+        if step >= beam:
+            on &= reach <= ratio * far[rows].min(1)
+        rows, best = rows[on], best[on]
+        waiting[rows, best] = np.inf
+        # Expanded centroids stay finite in ``far``, so they do not wait again.
+        visit(rows, graph.links[best])
+        step += 1
+    return far
+
+
+def chosen_lists(
+    graph: Graph, far: np.ndarray, ratio: float, most: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and list of every list within ``ratio`` of the nearest.
+
+    With ``most``, the nearest ``most`` of them, less those whose centroid is shaded: so
+    near to one taken before that both lie on the same side of the vector.
+    """
+    near = far <= ratio * far.min(1, keepdims=True)
+    if most is None:
+        return np.nonzero(near)
+    lists = np.argsort(far, axis=1, kind="stable")[:, :most]
+    take = np.take_along_axis(near, lists, 1)
+    reach = np.take_along_axis(far, lists, 1)
+    for j in range(1, lists.shape[1]):
+        between = ((graph.centroids[lists[:, j]][:, None] - graph.centroids[lists[:, :j]]) ** 2).sum(2)
+        take[:, j] &= ~((between <= reach[:, j : j + 1] ** 2 / 4) & take[:, :j]).any(1)
+    take[:, 0] = True
+    row, column = np.nonzero(take)
+    return row, lists[row, column]
+
+
+def search_ratio(graph: Graph, points: np.ndarray, k: int, s: Settings) -> float:
+    """Smallest distance ratio that finds ``s.recall`` of the sample's nearest neighbours."""
+    trials = np.linspace(0, len(points) - 1, min(s.trials, len(points))).astype(int)
+    far = squared(points[trials], points)
+    far[np.arange(len(trials)), trials] = np.inf
+    k = min(k, len(points) - 1)
+    if k < 1 or len(graph.centroids) < 2:
+        return 1.0
+    true = np.argpartition(far, k - 1, axis=1)[:, :k].ravel()
+    asked = np.sqrt(squared(points[trials], graph.centroids))
+    asked /= np.maximum(asked.min(1, keepdims=True), 1e-300)
+    needed = []
+    for at in range(0, len(true), 256):
+        part = true[at : at + 256]
+        row, lists = chosen_lists(graph, list_distances(graph, points[part], s.beam), s.boundary, s.replicas)
+        ratios = asked[(at + row) // k, lists]
+        least = np.full(len(part), np.inf)
+        np.minimum.at(least, row, ratios)
+        needed.append(least)
+    return float(np.quantile(np.concatenate(needed), s.recall)) + 1e-9
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -145,31 +193,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def _posted(rows: DataFrame, id_name: str, graph, beam: int, ratio: float, most: int, spread: bool) -> DataFrame:
-    """``(list, <id_name>, vec)`` for the lists within ``ratio`` of the nearest one.
-
-    With ``spread``, a list is left out if its centroid is nearer to one taken before
-    than to the vector, so that replicas lie on different sides.
-    """
+def _posted(rows: DataFrame, id_name: str, graph, beam: int, ratio: float, most: int | None = None) -> DataFrame:
+    """``(list, <id_name>, vec)`` for the lists that ``chosen_lists`` gives every vector."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = Graph(*graph.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                lists, far = nearest_lists(g, _matrix(batch.column(1)), beam)
-                take = far[:, :most] <= ratio * far[:, :1]
-                lists = lists[:, :most]
-                if spread:
-                    for j in range(1, take.shape[1]):
-                        between = ((g.centroids[lists[:, j]][:, None] - g.centroids[lists[:, :j]]) ** 2).sum(2)
-                        shaded = (between <= far[:, j : j + 1] ** 2 / 4) & take[:, :j]
-                        take[:, j] &= ~shaded.any(1)
-                take[:, 0] = True
-                row, column = np.nonzero(take)
+                far = list_distances(g, _matrix(batch.column(1)), beam, 1.0 if most else ratio)
+                row, lists = chosen_lists(g, far, ratio, most)
                 index = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[row, column].astype(np.int32)), *(c.take(index) for c in batch.columns)],
+                    [pa.array(lists.astype(np.int32)), *(c.take(index) for c in batch.columns)],
                     names=["list", id_name, "vec"],
                 )
 
@@ -218,14 +254,15 @@ def nearest(
     count = max(1, min(s.max_lists, total // s.list_size))
     centroids = balanced_centroids(points, count) if len(points) else np.zeros((1, 1))
     built = build_graph(centroids, s.links)
+    ratio = search_ratio(built, points, k, s) if len(points) else 1.0
     # Broadcast values are pickled by name, so plain arrays are sent.
     graph = spark.sparkContext.broadcast((built.centroids, built.links, built.entries))
 
     postings = materialize(
-        _posted(few.select("vec_id", "vec"), "vec_id", graph, s.beam, s.boundary, s.replicas, True), "postings"
+        _posted(few.select("vec_id", "vec"), "vec_id", graph, s.beam, s.boundary, s.replicas), "postings"
     )
     asked = queries.select("cls", "vec").dropDuplicates(["cls"])
-    asked = materialize(_posted(asked, "cls", graph, max(s.beam, 2 * s.probes), s.prune, s.probes, False), "asked")
+    asked = materialize(_posted(asked, "cls", graph, s.beam, ratio), "asked")
 
     # Lists and the queries of a list are dealt into blocks; at most max_lists rows each.
     def blocks(df: DataFrame, name: str, size: int) -> DataFrame:

@@ -21,7 +21,7 @@ from .common import materialize
 from .linear import Model, Settings, fit, scored
 
 BAD, NONE, GOOD = 0, 1, 2
-SETTINGS = Settings(bits=16, l1=1.0, max_rows=8000)
+SETTINGS = Settings(bits=16, l1=2.0, max_rows=8000)
 
 SYMBOL = np.isin(np.arange(256), list(b"#$%&*+<=>@[]^_`{}~\\"))
 STOP = np.isin(np.arange(256), list(b".!?"))
@@ -85,8 +85,8 @@ def posteriors(counts: dict[int, int], rounds: int = 100) -> dict[int, float]:
     """Probability of good quality per vote pattern, by expectation-maximisation.
 
     The model: a document is good or bad, and each labeller votes independently given
-    that, abstaining included.  The start is the share of good votes, which also fixes
-    which class is which; without any vote it is one half.
+    that, abstaining included.  The start counts a bad vote like ten good ones, since a
+    text has few ways to be good and many to be bad; it also fixes which class is which.
     """
     if not counts:
         return {}
@@ -95,7 +95,7 @@ def posteriors(counts: dict[int, int], rounds: int = 100) -> dict[int, float]:
     vote = patterns[:, None] // 3 ** np.arange(LABELLERS) % 3
     one_hot = np.stack([vote == v for v in (BAD, NONE, GOOD)], axis=2).astype(float)
     good, bad = (vote == GOOD).sum(1), (vote == BAD).sum(1)
-    p = (good + 1) / (good + 3 * bad + 2)
+    p = (good + 1) / (good + 10 * bad + 2)
     for _ in range(rounds):
         tables = []
         for share in (p, 1 - p):
