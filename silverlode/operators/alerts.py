@@ -7,6 +7,7 @@ keys of the (distinct) tenants, never by a nested-loop join over the runs.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Sequence
 
@@ -26,6 +27,7 @@ ALERT_RULE = T.StructType(
         T.StructField("rule_type", T.StringType(), False),
         T.StructField("pod_id", T.StringType()),
         T.StructField("company", T.StringType()),
+        T.StructField("domain", T.StringType()),
         T.StructField("stage", T.StringType()),
         T.StructField("threshold_value", T.DoubleType(), False),
         T.StructField("threshold_operator", T.StringType(), False),
@@ -65,6 +67,9 @@ def active_alerts(rules: DataFrame, alphabetical: bool = False) -> DataFrame:
 def resolve_wildcards(tenants: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rules that apply to each tenant: tenant keys plus the rule's other columns.
 
+    A tenant whose key is null is matched by rules that leave this key open; join the
+    result null-safely (``same_keys``).
+
     Every tenant looks its rules up under each combination of its own key values
     and ``*``.  ``generality`` orders the hits: 0 is fully specific, and a star
     in a later key outweighs stars in all earlier ones.
@@ -86,19 +91,23 @@ def resolve_wildcards(tenants: DataFrame, rules: DataFrame, keys: Sequence[str])
     return lookups.join(starred_rules, starred_keys).drop(*starred_keys)
 
 
-def run_metrics(log: DataFrame) -> DataFrame:
-    """(execution_id, tenant keys, rule_type, metric_value, fired_at) per run and metric."""
-    values = {
+def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``keys`` between two aliased frames."""
+    return functools.reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+KEYS = ["pod_id", "company", "domain", "stage"]
+
+
+def metric_values() -> dict[str, Column]:
+    """Every metric of a run, null where it has none."""
+    return {
         "DURATION": F.col("execution_duration_seconds").cast("double"),
         "QUALITY": F.col("data_quality_score").cast("double"),
         "ERROR_RATE": F.when(F.col("status") == "FAILED", F.lit(100.0)).otherwise(F.lit(0.0)),
         "COST": F.col("dbu_consumed").cast("double"),
         "SLA": F.timestamp_diff("SECOND", F.col("file_arrival_time"), F.col("execution_end_time")).cast("double"),
     }
-    pairs = F.array(*[F.struct(F.lit(k).alias("rule_type"), v.alias("metric_value")) for k, v in values.items()])
-    return log.select(
-        "execution_id", "pod_id", "company", "stage", F.col("execution_start_time").alias("fired_at"), F.inline(pairs)
-    ).where("metric_value IS NOT NULL")
 
 
 def breaches(value: Column, operator: Column, threshold: Column) -> Column:
@@ -110,25 +119,39 @@ def breaches(value: Column, operator: Column, threshold: Column) -> Column:
     )
 
 
-def evaluate_alerts(metrics: DataFrame, rules: DataFrame, tenants: DataFrame | None = None) -> DataFrame:
-    """One firing per metric and applicable rule whose threshold it breaches.
+def evaluate_alerts(log: DataFrame, rules: DataFrame) -> DataFrame:
+    """One firing per run and applicable rule whose threshold it breaches.
 
-    ``tenants`` is any frame with the tenant keys of ``metrics`` that is cheaper
-    to scan, such as the log the metrics come from.
+    A run is joined as one row, with its metrics as columns, to the rules of its tenant;
+    only the metric a rule names is looked at.  Rules open in every key meet all runs;
+    they are not resolved per tenant but joined on the metric they name.  Keys that a
+    run lacks match open rules only.
     """
-    keys = ["pod_id", "company", "stage"]
+    run = log.select(
+        "execution_id", *KEYS, F.col("execution_start_time").alias("fired_at"),
+        *[v.alias(f"_{k}") for k, v in metric_values().items()],
+    )
     active = rules.where("enabled").select(
-        "alert_rule_id", *keys, "rule_type", "threshold_value", "threshold_operator", "severity", "cooldown_minutes"
+        "alert_rule_id", *KEYS, "rule_type", "threshold_value", "threshold_operator", "severity", "cooldown_minutes"
     )
-    applicable = resolve_wildcards(metrics if tenants is None else tenants, active, keys).drop("generality")
-    joined = metrics.join(applicable, [*keys, "rule_type"])
-    hit = breaches(F.col("metric_value"), F.col("threshold_operator"), F.col("threshold_value"))
-    return joined.where(hit).select(
-        "alert_rule_id", "execution_id", *keys, "rule_type", "metric_value", "threshold_value", "severity",
+    anywhere = functools.reduce(lambda a, b: a & b, [F.col(k).isNull() for k in KEYS])
+    detail = F.struct(*[c for c in active.columns if c not in KEYS])
+    named = resolve_wildcards(log, active.where(~anywhere), KEYS).drop("generality")
+    per_tenant = named.groupBy(*KEYS).agg(F.collect_list(detail).alias("_rules"))
+    joined = run.alias("l").join(per_tenant.alias("r"), same_keys("l", "r", KEYS))
+    own = joined.select("l.*", F.inline("r._rules"))
+    metrics = F.explode(F.array(*[F.lit(k) for k in metric_values()])).alias("rule_type")
+    common = run.select(*run.columns, metrics).join(active.where(anywhere).drop(*KEYS), "rule_type")
+    both = own.unionByName(common)
+    value = F.coalesce(*[F.when(F.col("rule_type") == k, F.col(f"_{k}")) for k in metric_values()])
+    hit = breaches(value, F.col("threshold_operator"), F.col("threshold_value"))
+    return both.where(value.isNotNull() & hit).select(
+        "alert_rule_id", "execution_id", *KEYS, "rule_type", value.alias("metric_value"), "threshold_value", "severity",
         "cooldown_minutes", "fired_at",
     )
 
 
+
 # ---- cooldown ---------------------------------------------------------------------------
 
 
@@ -212,7 +235,9 @@ def retry_decisions(failures: DataFrame, policies: DataFrame) -> DataFrame:
     chosen = best.join(detail, "_best")
     joined = failures.join(
         chosen.withColumnsRenamed({"pod_id": "_pod", "company": "_company"}),
-        (F.col("pod_id") == F.col("_pod")) & (F.col("company") == F.col("_company")) & (F.col("stage") == F.col("_stage")),
+        F.col("pod_id").eqNullSafe(F.col("_pod"))
+        & F.col("company").eqNullSafe(F.col("_company"))
+        & (F.col("stage") == F.col("_stage")),
         "left",
     )
     retryable = F.coalesce(F.array_contains("retry_on_errors", F.col("error_type")), F.lit(False))

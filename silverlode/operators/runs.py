@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from silverlode.functions import dates, money, nested, text
 
 UNKNOWN = "Unknown"
+# Label of runs whose company has no configuration row.
+UNASSIGNED = "UNASSIGNED"
+LOG_VERSION = "1.0.0"
 
 # Run states.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -23,6 +26,21 @@ WORKER_MINUTE_RATE = "0.01"
 # ---- append-only run events ---------------------------------------------------------
 
 
+# What a start record may be told, and what it says otherwise.
+START_LABELS = {
+    "activity_name": None, "run_id": None, "source_path": None, "notebook_path": None,
+    "triggered_by": "system", "environment": "dev",
+}
+# What only the end of a run knows.
+LATER = {
+    "execution_end_time": "timestamp_ntz", "execution_duration_seconds": "long", "error_message": "string",
+    "error_stack_trace": "string", "input_file_count": "long", "input_row_count": "long", "output_row_count": "long",
+    "input_size_mb": "double", "output_size_mb": "double", "rows_failed_validation": "long", "cluster_id": "string",
+    "worker_count": "int", "node_type": "string", "dbu_consumed": "double", "target_path": "string",
+    "data_quality_score": "double", "completeness_check_status": "string",
+}
+
+
 def start_events(runs: DataFrame) -> DataFrame:
     """Log rows written when a run starts."""
     return runs.select(
@@ -32,6 +50,20 @@ def start_events(runs: DataFrame) -> DataFrame:
         F.lit(RUNNING).alias("status"),
         F.col("custom_dimensions").alias("dimensions"),
         F.date_format("execution_start_time", "yyyy-MM-dd").alias("execution_date"),
+        *[F.col(c) if c in runs.columns else F.lit(None).cast("string").alias(c) for c in START_LABELS],
+    )
+
+
+def start_records(runs: DataFrame) -> DataFrame:
+    """The full log row of a run that has just started, later columns still null."""
+    labels = [F.coalesce(c, F.lit(v)).alias(c) if v else F.col(c) for c, v in START_LABELS.items()]
+    return start_events(runs).select(
+        "execution_id", "pipeline_name", "pod_id", "company", "domain", "stage", *labels,
+        F.col("event_time").alias("execution_start_time"), "status",
+        F.lit(0).alias("retry_count"),
+        *[F.lit(None).cast(t).alias(c) for c, t in LATER.items()],
+        F.col("dimensions").alias("custom_dimensions"),
+        F.lit(LOG_VERSION).alias("log_version"), "execution_date",
     )
 
 
@@ -55,6 +87,7 @@ def error_events(runs: DataFrame) -> DataFrame:
         F.lit("ERROR").alias("event"),
         F.lit(FAILED).alias("status"),
         "error_message", "retry_count",
+        F.create_map().cast("map<string,string>").alias("dimensions"),
     )
 
 
@@ -94,12 +127,19 @@ def close_activities(events: DataFrame) -> DataFrame:
     )
 
 
-def close_runs(starts: DataFrame, ends: DataFrame) -> DataFrame:
-    """Start events joined with their end or error events.
+def close_runs(starts: DataFrame, *finishing: DataFrame) -> DataFrame:
+    """Start events joined with the run's last end or error event.
 
-    An end without a start becomes a row with 'Unknown' labels; the dimensions
-    of both events are merged, the later value winning.
+    An end or error without a start becomes a row with 'Unknown' labels; the dimensions
+    of both events are merged, the later value winning.  Of several finishing events
+    the latest counts, at the same moment an error.
     """
+    ends = finishing[0]
+    for more in finishing[1:]:
+        ends = ends.unionByName(more, allowMissingColumns=True)
+    values = F.struct(*[c for c in ends.columns if c != "execution_id"])
+    last = F.max_by(values, F.struct("event_time", F.col("status") == FAILED))
+    ends = ends.groupBy("execution_id").agg(last.alias("_last")).select("execution_id", "_last.*")
     ended = ends.select(
         F.col("execution_id").alias("_id"),
         F.col("event_time").alias("execution_end_time"),
@@ -173,20 +213,23 @@ def average(c: str, truncate: bool = False) -> Column:
 
 
 def performance_by(log: DataFrame, key: str, duration: str, truncate: bool = False) -> DataFrame:
-    """Runs, successes, failures and duration figures per key."""
-    return log.groupBy(key).agg(
+    """Finished runs, successes, failures, durations and records per key."""
+    return log.where(F.col("status").isin(SUCCESS, FAILED)).groupBy(key).agg(
         F.count("*").alias("total_executions"),
         F.count_if(F.col("status") == SUCCESS).alias("successful_executions"),
         F.count_if(F.col("status") == FAILED).alias("failed_executions"),
         average(duration, truncate).alias("avg_duration_seconds"),
         F.min(duration).alias("min_duration_seconds"),
         F.max(duration).alias("max_duration_seconds"),
+        F.sum("output_row_count").alias("total_records_processed"),
     )
 
 
 def activity_performance(activities: DataFrame, truncate: bool = False) -> DataFrame:
-    return activities.groupBy("activity_name", "activity_type").agg(
+    """Finished activities, successes, failures, mean duration and rows per activity."""
+    return activities.where(F.col("status").isin(SUCCESS, FAILED)).groupBy("activity_name", "activity_type").agg(
         F.count("*").alias("total_executions"),
+        F.count_if(F.col("status") == SUCCESS).alias("successful_executions"),
         F.count_if(F.col("status") == FAILED).alias("failed_executions"),
         average("duration_seconds", truncate).alias("avg_duration_seconds"),
         F.sum("rows_read").alias("total_rows_read"),
@@ -397,16 +440,27 @@ def lineage_reconciliation(log: DataFrame) -> DataFrame:
 
 
 def with_config(log: DataFrame, config: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Runs with attributes of their company's configuration (inner join).
+    """All runs, with attributes of their company's configuration.
 
-    The configuration grows with the tenants; no broadcast is forced.
+    Runs of companies without configuration have ``configured`` false, 'UNASSIGNED' in
+    text attributes and null in others.  The configuration grows with the tenants; no
+    broadcast is forced.
     """
-    c = config.select(F.col("pod_id").alias("_pod"), F.col("company").alias("_company"), *columns)
-    return log.join(c, (F.col("pod_id") == F.col("_pod")) & (F.col("company") == F.col("_company"))).drop("_pod", "_company")
+    kinds = dict(config.select(*columns).dtypes)
+    c = config.select(
+        F.col("pod_id").alias("_pod"), F.col("company").alias("_company"), F.lit(True).alias("_known"), *columns
+    )
+    joined = log.join(c, (F.col("pod_id") == F.col("_pod")) & (F.col("company") == F.col("_company")), "left")
+    known = F.col("_known").isNotNull()
+    texts = {n: F.when(known, F.col(n)).otherwise(UNASSIGNED) for n, t in kinds.items() if t == "string"}
+    return joined.withColumns({"configured": known, **texts}).drop("_pod", "_company", "_known")
 
 
 def sla_evaluation(log: DataFrame, config: DataFrame) -> DataFrame:
-    """Elapsed time from file arrival to end, against the company's SLA."""
+    """Elapsed time from file arrival to end, against the company's SLA.
+
+    Runs that are still open, or whose company has no SLA, are neither met nor missed.
+    """
     runs = with_config(log, config, ["sla_hours", F.col("priority").alias("priority")])
     elapsed = dates.seconds_between("file_arrival_time", "execution_end_time")
     allowed = F.col("sla_hours") * 3600
@@ -415,16 +469,19 @@ def sla_evaluation(log: DataFrame, config: DataFrame) -> DataFrame:
         "execution_id", "pod_id", "company", "domain", "sla_hours", "priority",
         (elapsed / F.lit(3600.0)).alias("total_elapsed_hours"),
         (elapsed <= allowed).alias("sla_met"),
-        F.when(elapsed.isNotNull(), F.greatest(late_minutes, F.lit(0))).alias("sla_breach_minutes"),
+        F.when((elapsed - allowed).isNotNull(), F.greatest(late_minutes, F.lit(0))).alias("sla_breach_minutes"),
         F.col("execution_date").alias("sla_date"),
     )
 
 
 def sla_compliance(sla: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    return sla.where(since(days, as_of, "sla_date")).groupBy("company", "priority", "sla_hours").agg(
+    """Ended runs, those within their SLA and those without an SLA; the share is of runs with one."""
+    ended = sla.where(since(days, as_of, "sla_date") & F.col("total_elapsed_hours").isNotNull())
+    return ended.groupBy("company", "priority", "sla_hours").agg(
         F.count("*").alias("total_runs"),
         F.count_if(F.col("sla_met")).alias("sla_met_count"),
-        money.percent(F.count_if(F.col("sla_met")), F.count("*")).alias("sla_compliance_pct"),
+        F.count_if(F.col("sla_met").isNull()).alias("without_sla"),
+        money.percent(F.count_if(F.col("sla_met")), F.count("sla_met")).alias("sla_compliance_pct"),
     )
 
 

@@ -184,23 +184,41 @@ def gov_13(t):
 )
 def gov_14(t):
     starts = runs.start_events(t.execution_log)
-    return starts.withColumn("owner", F.col("dimensions")["owner"]).drop("dimensions")
+    return starts.withColumn("owner", F.col("dimensions")["owner"]).drop("dimensions", *runs.START_LABELS)
+
+
+@query(
+    "gov_14_full_start_records",
+    f"""SELECT execution_id, pipeline_name, pod_id, company, domain, stage, 'load' AS activity_name, 'run-' || company_key AS run_id,
+    'bronze/' || company AS source_path, CAST(NULL AS VARCHAR) AS notebook_path, 'system' AS triggered_by, 'dev' AS environment,
+    strftime(execution_start_time, {STAMP}) AS execution_start_time, 'RUNNING' AS status, 0 AS retry_count,
+    {', '.join(f"CAST(NULL AS {'VARCHAR' if c == 'timestamp_ntz' or c == 'string' else 'DOUBLE' if c == 'double' else 'BIGINT'}) AS {n}" for n, c in runs.LATER.items())},
+    dim_owner AS owner, '1.0.0' AS log_version, execution_date FROM execution_log""",
+)
+def gov_14_full(t):
+    told = t.execution_log.withColumns({
+        "activity_name": F.lit("load"),
+        "run_id": F.concat(F.lit("run-"), F.col("company_key").cast("string")),
+        "source_path": F.concat(F.lit("bronze/"), "company"),
+    })
+    records = runs.start_records(told)
+    return records.withColumn("owner", F.col("custom_dimensions")["owner"]).drop("custom_dimensions")
 
 
 @query(
     "gov_15_closed_runs",
     f"""SELECT execution_id, pipeline_name, company, strftime(execution_start_time, {STAMP}) AS execution_start_time,
-    strftime(CASE WHEN status = 'SUCCESS' THEN execution_end_time END, {STAMP}) AS execution_end_time,
-    CASE WHEN status = 'SUCCESS' THEN execution_duration_seconds ELSE 0 END AS duration_seconds,
-    CASE WHEN status = 'SUCCESS' THEN 'SUCCESS' ELSE 'RUNNING' END AS status,
+    strftime(execution_end_time, {STAMP}) AS execution_end_time, coalesce(execution_duration_seconds, 0) AS duration_seconds, status,
+    error_message, CASE WHEN status = 'FAILED' THEN retry_count END AS retry_count,
     CASE WHEN status = 'SUCCESS' THEN output_row_count END AS output_row_count, dim_owner AS owner,
     CASE WHEN status = 'SUCCESS' THEN CAST(output_row_count AS VARCHAR) END AS dim_rows FROM execution_log""",
 )
 def gov_15(t):
-    closed = runs.close_runs(runs.start_events(t.execution_log), runs.end_events(t.execution_log))
+    log = t.execution_log
+    closed = runs.close_runs(runs.start_events(log), runs.end_events(log), runs.error_events(log))
     return closed.select(
         "execution_id", "pipeline_name", "company", "execution_start_time", "execution_end_time", "duration_seconds", "status",
-        "output_row_count", F.col("custom_dimensions")["owner"].alias("owner"),
+        "error_message", "retry_count", "output_row_count", F.col("custom_dimensions")["owner"].alias("owner"),
         F.try_element_at("custom_dimensions", F.lit("rows")).alias("dim_rows"),
     )
 
@@ -211,7 +229,7 @@ def gov_15(t):
     error_message, retry_count FROM execution_log WHERE status = 'FAILED'""",
 )
 def gov_16(t):
-    return runs.error_events(t.execution_log)
+    return runs.error_events(t.execution_log).drop("dimensions")
 
 
 @query(
@@ -236,14 +254,15 @@ def tm_6(t):
 @query(
     "tm_7_end_without_start",
     f"""SELECT execution_id, CASE WHEN known THEN company ELSE 'Unknown' END AS company, CASE WHEN known THEN stage ELSE 'Unknown' END AS stage,
-    CASE WHEN status = 'SUCCESS' THEN 'SUCCESS' ELSE 'RUNNING' END AS status,
-    strftime(CASE WHEN known THEN execution_start_time ELSE execution_end_time END, {STAMP}) AS execution_start_time
-    FROM (SELECT *, company_key % 5 <> 0 AS known FROM execution_log) WHERE known OR status = 'SUCCESS'""",
+    status, error_message, strftime(CASE WHEN known THEN execution_start_time ELSE execution_end_time END, {STAMP}) AS execution_start_time,
+    CASE WHEN known THEN coalesce(execution_duration_seconds, 0) ELSE 0 END AS duration_seconds
+    FROM (SELECT *, company_key % 5 <> 0 AS known FROM execution_log) WHERE known OR status <> 'RUNNING'""",
 )
 def tm_7(t):
     log = t.execution_log
-    closed = runs.close_runs(runs.start_events(log.where("company_key % 5 <> 0")), runs.end_events(log))
-    return closed.select("execution_id", "company", "stage", "status", "execution_start_time")
+    starts = runs.start_events(log.where("company_key % 5 <> 0"))
+    closed = runs.close_runs(starts, runs.end_events(log), runs.error_events(log))
+    return closed.select("execution_id", "company", "stage", "status", "error_message", "execution_start_time", "duration_seconds")
 
 
 # ---- lineage ------------------------------------------------------------------------------------
@@ -343,12 +362,13 @@ def gov_24(t):
 
 # ---- SLA and cost --------------------------------------------------------------------------------------------
 
-SLA_SQL = """sla AS (SELECT execution_id, e.pod_id, e.company, domain, sla_hours, priority, CAST(secs AS DOUBLE) / 3600 AS total_elapsed_hours,
+SLA_SQL = """sla AS (SELECT execution_id, e.pod_id, e.company, domain, sla_hours,
+    CASE WHEN c.company IS NULL THEN 'UNASSIGNED' ELSE priority END AS priority, CAST(secs AS DOUBLE) / 3600 AS total_elapsed_hours,
     secs <= sla_hours * 3600 AS sla_met,
-    CASE WHEN secs IS NOT NULL THEN greatest(CAST(ceil((secs - sla_hours * 3600) / 60.0) AS BIGINT), 0) END AS sla_breach_minutes,
+    CASE WHEN secs IS NOT NULL AND sla_hours IS NOT NULL THEN greatest(CAST(ceil((secs - sla_hours * 3600) / 60.0) AS BIGINT), 0) END AS sla_breach_minutes,
     execution_date AS sla_date
     FROM (SELECT *, date_diff('second', file_arrival_time, execution_end_time) AS secs FROM execution_log) e
-    JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company)"""
+    LEFT JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company)"""
 
 
 @query("gov_25_sla_evaluation", f"WITH {SLA_SQL} SELECT * FROM sla")
@@ -359,8 +379,8 @@ def gov_25(t):
 @query(
     "gov_26_sla_compliance",
     f"""WITH {SLA_SQL} SELECT company, priority, sla_hours, count(*) AS total_runs, count(*) FILTER (WHERE sla_met) AS sla_met_count,
-    {pct('count(*) FILTER (WHERE sla_met)', 'count(*)')} AS sla_compliance_pct FROM sla
-    WHERE CAST(sla_date AS DATE) >= DATE '{RUNS_DAY}' - 30 GROUP BY 1, 2, 3""",
+    count(*) - count(sla_met) AS without_sla, {pct('count(*) FILTER (WHERE sla_met)', 'count(sla_met)')} AS sla_compliance_pct FROM sla
+    WHERE CAST(sla_date AS DATE) >= DATE '{RUNS_DAY}' - 30 AND total_elapsed_hours IS NOT NULL GROUP BY 1, 2, 3""",
 )
 def gov_26(t):
     return runs.sla_compliance(runs.sla_evaluation(t.execution_log, t.company_config), RUNS_DAY)
@@ -369,8 +389,10 @@ def gov_26(t):
 COST_SQL = """costs AS (SELECT *, CAST(compute + storage AS DECIMAL(18,8)) AS total FROM (SELECT execution_id, e.pod_id, e.company, domain, dbu_consumed,
     CAST(dbu_consumed * CAST(0.15 AS DECIMAL(4,2)) AS DECIMAL(18,5)) AS compute,
     CAST(CAST(input_row_count + output_row_count AS DECIMAL(12,0)) * CAST(0.00000002 AS DECIMAL(9,8)) AS DECIMAL(18,8)) AS storage,
-    cost_center, business_unit, output_row_count, substr(execution_date, 1, 7) AS billing_month, execution_date AS cost_date
-    FROM execution_log e JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company))"""
+    CASE WHEN c.company IS NULL THEN 'UNASSIGNED' ELSE cost_center END AS cost_center,
+    CASE WHEN c.company IS NULL THEN 'UNASSIGNED' ELSE business_unit END AS business_unit,
+    output_row_count, substr(execution_date, 1, 7) AS billing_month, execution_date AS cost_date
+    FROM execution_log e LEFT JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company))"""
 
 
 @query(
@@ -413,22 +435,23 @@ def gov_30(t):
 
 # ---- alerts and retries ------------------------------------------------------------------------------------------
 
-# The rules and policies the alert and retry queries run with.
+# The rules and policies the alert and retry queries run with.
 ALERT_ROWS = [
-    ("alert-quality", "Data_Quality_Critical_Alert", "QUALITY", None, None, None, 95.0, "LESS_THAN", "CRITICAL", "EMAIL", True, 60),
-    ("alert-slow", "Slow_Bronze_To_Silver", "DURATION", None, None, "bronze_to_silver", 600.0, "GREATER_THAN", "WARNING", "SLACK", True, 30),
-    ("alert-cost", "Cost_Pod_A", "COST", "podA", None, None, 10.0, "GREATER_THAN", "INFO", "EMAIL", True, 120),
-    ("alert-error", "Run_Failed_Company_1", "ERROR_RATE", "podB", "company_1", None, 100.0, "EQUALS", "CRITICAL", "PAGERDUTY", True, 15),
-    ("alert-off", "Disabled", "QUALITY", None, None, None, 101.0, "LESS_THAN", "INFO", "EMAIL", False, 5),
-    ("alert-sla", "Long_Wait", "SLA", None, None, None, 28800.0, "GREATER_THAN", "WARNING", "TEAMS", True, None),
+    ("rule-1", "Quality floor", "QUALITY", None, None, None, None, 92.5, "LESS_THAN", "CRITICAL", "PAGERDUTY", True, 45),
+    ("rule-2", "Slow cleansing", "DURATION", None, None, None, "bronze_to_silver", 600.0, "GREATER_THAN", "WARNING", "SLACK", True, 30),
+    ("rule-3", "Dear runs of pod A", "COST", "podA", None, None, None, 10.0, "GREATER_THAN", "INFO", "EMAIL", True, 120),
+    ("rule-4", "Company 1 failed", "ERROR_RATE", "podB", "company_1", None, None, 100.0, "EQUALS", "CRITICAL", "PAGERDUTY", True, 15),
+    ("rule-5", "Switched off", "QUALITY", None, None, None, None, 101.0, "LESS_THAN", "INFO", "EMAIL", False, 5),
+    ("rule-6", "Long wait", "SLA", None, None, None, None, 28800.0, "GREATER_THAN", "WARNING", "TEAMS", True, None),
+    ("rule-7", "Payroll failed", "ERROR_RATE", None, None, "payroll", None, 50.0, "GREATER_THAN", "CRITICAL", "PAGERDUTY", True, 10),
 ]
 
 RETRY_ROWS = [
-    ("retry-001", "podA", "company_5", "bronze_to_silver", 3, 60, True, 2.0, ["TIMEOUT", "RESOURCE_EXHAUSTED", "TRANSIENT_ERROR"], True),
-    ("retry-002", "podA", None, "silver_to_gold", 2, 30, False, None, ["TIMEOUT"], True),
-    ("retry-003", None, None, "bronze_to_silver", 2, 45, True, 1.5, ["TIMEOUT", "TRANSIENT_ERROR"], True),
-    ("retry-004", None, None, "silver_to_gold", 3, 20, True, 3.0, ["RESOURCE_EXHAUSTED", "TRANSIENT_ERROR"], True),
-    ("retry-005", "podC", None, "bronze_to_silver", 1, 10, False, None, ["TIMEOUT"], False),
+    ("policy-1", "podA", "company_5", "bronze_to_silver", 4, 90, True, 1.25, ["RESOURCE_EXHAUSTED", "SCHEMA_MISMATCH"], True),
+    ("policy-2", "podA", None, "silver_to_gold", 2, 25, False, None, ["TIMEOUT"], True),
+    ("policy-3", None, None, "bronze_to_silver", 2, 45, True, 1.5, ["TIMEOUT", "TRANSIENT_ERROR"], True),
+    ("policy-4", None, None, "silver_to_gold", 3, 20, True, 3.0, ["RESOURCE_EXHAUSTED", "TRANSIENT_ERROR"], True),
+    ("policy-5", "podC", None, "bronze_to_silver", 1, 10, False, None, ["TIMEOUT"], False),
 ]
 
 
@@ -453,29 +476,42 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows)
 
 
-RULES_SQL = f"""rules AS (SELECT * FROM (VALUES {_values(ALERT_ROWS)}) v(alert_rule_id, rule_name, rule_type, pod_id, company, stage,
+RULES_SQL = f"""rules AS (SELECT * FROM (VALUES {_values(ALERT_ROWS)}) v(alert_rule_id, rule_name, rule_type, pod_id, company, domain, stage,
     threshold_value, threshold_operator, severity, notification_channel, enabled, cooldown_minutes))"""
 
 POLICY_SQL = f"""policies AS (SELECT * FROM (VALUES {_values(RETRY_ROWS)}) v(policy_id, pod_id, company, stage, max_retry_count,
     retry_delay_seconds, exponential_backoff, backoff_multiplier, retry_on_errors, enabled))"""
 
-METRIC_SQL = """metrics AS (SELECT execution_id, pod_id, company, stage, execution_start_time AS fired_at, rule_type, v FROM (
+METRIC_SQL = """metrics AS (SELECT execution_id, pod_id, company, domain, stage, execution_start_time AS fired_at, rule_type, v FROM (
     SELECT *, 'DURATION' AS rule_type, CAST(execution_duration_seconds AS DOUBLE) AS v FROM execution_log
     UNION ALL SELECT *, 'QUALITY', CAST(data_quality_score AS DOUBLE) FROM execution_log
     UNION ALL SELECT *, 'ERROR_RATE', CASE WHEN status = 'FAILED' THEN 100.0 ELSE 0.0 END FROM execution_log
     UNION ALL SELECT *, 'COST', CAST(dbu_consumed AS DOUBLE) FROM execution_log
     UNION ALL SELECT *, 'SLA', CAST(date_diff('second', file_arrival_time, execution_end_time) AS DOUBLE) FROM execution_log) WHERE v IS NOT NULL)"""
 
-FIRED_SQL = f"""{RULES_SQL}, {METRIC_SQL}, fired AS (SELECT r.alert_rule_id, m.execution_id, m.pod_id, m.company, m.stage, m.rule_type,
+FIRED_SQL = f"""{RULES_SQL}, {METRIC_SQL}, fired AS (SELECT r.alert_rule_id, m.execution_id, m.pod_id, m.company, m.domain, m.stage, m.rule_type,
     m.v AS metric_value, CAST(r.threshold_value AS DOUBLE) AS threshold_value, r.severity, CAST(r.cooldown_minutes AS BIGINT) AS cooldown_minutes, m.fired_at
     FROM metrics m JOIN rules r ON r.enabled AND r.rule_type = m.rule_type AND (r.pod_id IS NULL OR r.pod_id = m.pod_id)
-    AND (r.company IS NULL OR r.company = m.company) AND (r.stage IS NULL OR r.stage = m.stage)
+    AND (r.company IS NULL OR r.company = m.company) AND (r.domain IS NULL OR r.domain = m.domain) AND (r.stage IS NULL OR r.stage = m.stage)
     AND CASE r.threshold_operator WHEN 'GREATER_THAN' THEN m.v > r.threshold_value WHEN 'LESS_THAN' THEN m.v < r.threshold_value
         ELSE m.v = r.threshold_value END)"""
 
 
+# The log with some companies and domains not known; only wildcards match those.
+GAPS_SQL = """gaps AS (SELECT * REPLACE (CASE WHEN company_key % 7 <> 0 THEN company END AS company,
+    CASE WHEN company_key % 5 <> 0 THEN domain END AS domain) FROM execution_log)"""
+
+
+def with_gaps(t):
+    log = t.execution_log
+    return log.withColumns({
+        "company": F.when(F.col("company_key") % 7 != 0, F.col("company")),
+        "domain": F.when(F.col("company_key") % 5 != 0, F.col("domain")),
+    })
+
+
 def firings(t):
-    return alerts.evaluate_alerts(alerts.run_metrics(t.execution_log), alert_rules(t), t.execution_log)
+    return alerts.evaluate_alerts(t.execution_log, alert_rules(t))
 
 
 @query(
@@ -495,6 +531,15 @@ def gov_32(t):
     return firings(t)
 
 
+@query(
+    "gov_32_alerts_without_company",
+    f"""WITH {GAPS_SQL}, {FIRED_SQL.replace('FROM execution_log', 'FROM gaps')}
+    SELECT * REPLACE (strftime(fired_at, {STAMP}) AS fired_at) FROM fired""",
+)
+def gov_32_gaps(t):
+    return alerts.evaluate_alerts(with_gaps(t), alert_rules(t))
+
+
 @query(
     "gov_33_alert_cooldown",
     f"""WITH RECURSIVE {FIRED_SQL}, minutes AS (SELECT alert_rule_id, any_value(cooldown_minutes) AS cooldown,
@@ -509,8 +554,7 @@ def gov_33(t):
     return alerts.apply_cooldown(alerts.firing_minutes(firings(t)))
 
 
-@query(
-    "gov_34_retry_decisions",
+RETRY_SQL = (
     f"""WITH {POLICY_SQL}, best AS (SELECT e.execution_id, p.*, row_number() OVER (PARTITION BY e.execution_id
       ORDER BY (p.company IS NULL), (p.pod_id IS NULL), p.policy_id) AS rn FROM execution_log e JOIN policies p
       ON p.enabled AND p.stage = e.stage AND (p.pod_id IS NULL OR p.pod_id = e.pod_id) AND (p.company IS NULL OR p.company = e.company)
@@ -522,12 +566,20 @@ def gov_33(t):
         SELECT e.execution_id, e.pod_id, e.company, e.stage, e.error_type, e.retry_count, b.policy_id, b.exponential_backoff, b.retry_delay_seconds,
           b.backoff_multiplier, coalesce(list_contains(b.retry_on_errors, e.error_type), false) AS retryable,
           coalesce(e.retry_count >= b.max_retry_count, false) AS exhausted
-        FROM execution_log e LEFT JOIN best b ON b.execution_id = e.execution_id AND b.rn = 1 WHERE e.status = 'FAILED'))""",
+        FROM execution_log e LEFT JOIN best b ON b.execution_id = e.execution_id AND b.rn = 1 WHERE e.status = 'FAILED'))"""
 )
+
+
+@query("gov_34_retry_decisions", RETRY_SQL)
 def gov_34(t):
     return alerts.retry_decisions(t.execution_log.where("status = 'FAILED'"), retry_policies(t))
 
 
+@query("gov_34_retries_without_company", RETRY_SQL.replace("WITH ", f"WITH {GAPS_SQL}, ", 1).replace("execution_log e", "gaps e"))
+def gov_34_gaps(t):
+    return alerts.retry_decisions(with_gaps(t).where("status = 'FAILED'"), retry_policies(t))
+
+
 # ---- retention ---------------------------------------------------------------------------------------------------
 
 ARCHIVE_SQL = """archives AS (SELECT source, count(*) AS file_count, CAST(sum(size_bytes) AS DOUBLE) / 1000000 AS total_size_mb,
@@ -624,7 +676,8 @@ def gov_41(t):
     "gov_42_performance",
     """SELECT pipeline_name, count(*) AS total_executions, count(*) FILTER (WHERE status = 'SUCCESS') AS successful_executions,
     count(*) FILTER (WHERE status = 'FAILED') AS failed_executions, avg(execution_duration_seconds) AS avg_duration_seconds,
-    min(execution_duration_seconds) AS min_duration_seconds, max(execution_duration_seconds) AS max_duration_seconds FROM execution_log GROUP BY 1""",
+    min(execution_duration_seconds) AS min_duration_seconds, max(execution_duration_seconds) AS max_duration_seconds,
+    CAST(sum(output_row_count) AS BIGINT) AS total_records_processed FROM execution_log WHERE status IN ('SUCCESS', 'FAILED') GROUP BY 1""",
 )
 def gov_42(t):
     return runs.performance_by(t.execution_log, "pipeline_name", "execution_duration_seconds")
@@ -632,9 +685,10 @@ def gov_42(t):
 
 @query(
     "gov_43_activity_performance",
-    """SELECT activity_name, activity_type, count(*) AS total_executions, count(*) FILTER (WHERE status = 'FAILED') AS failed_executions,
+    """SELECT activity_name, activity_type, count(*) AS total_executions, count(*) FILTER (WHERE status = 'SUCCESS') AS successful_executions,
+    count(*) FILTER (WHERE status = 'FAILED') AS failed_executions,
     CAST(floor(avg(duration_seconds)) AS BIGINT) AS avg_duration_seconds, CAST(sum(rows_read) AS BIGINT) AS total_rows_read,
-    CAST(sum(rows_written) AS BIGINT) AS total_rows_written FROM activity_log GROUP BY 1, 2""",
+    CAST(sum(rows_written) AS BIGINT) AS total_rows_written FROM activity_log WHERE status IN ('SUCCESS', 'FAILED') GROUP BY 1, 2""",
 )
 def gov_43(t):
     return runs.activity_performance(t.activity_log, truncate=True)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions import dates
-from silverlode.operators import alerts
 from silverlode.session import scratch_path
 from silverlode.streaming import jobs
 
@@ -155,7 +154,7 @@ def st_7(t):
 
     def run():
         stream = jobs.landing_stream(t.spark, landing, log.schema)
-        jobs.alert_stream(stream, alerts.run_metrics, alert_rules(t), f"{target}-state", target, checkpoint)
+        jobs.alert_stream(stream, alert_rules(t), f"{target}-state", target, checkpoint)
 
     deliver(waves, landing, run)
     sent = "alert_rule_id string, cooldown_minutes int, minute long, firings long"

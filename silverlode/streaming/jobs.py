@@ -202,7 +202,7 @@ LAST_SENT = T.StructType([T.StructField("alert_rule_id", T.StringType()), T.Stru
 
 
 def alert_stream(
-    stream: DataFrame, to_metrics: Callable[[DataFrame], DataFrame], rules: DataFrame, state: str, sent: str, checkpoint: str
+    stream: DataFrame, rules: DataFrame, state: str, sent: str, checkpoint: str
 ) -> None:
     """Evaluate rules on arriving runs and write the alerts that pass the cooldown.
 
@@ -212,7 +212,7 @@ def alert_stream(
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = read_version(spark, state, batch_id - 1, LAST_SENT)
-        minutes = alerts.firing_minutes(alerts.evaluate_alerts(to_metrics(batch), rules, batch))
+        minutes = alerts.firing_minutes(alerts.evaluate_alerts(batch, rules))
         decided = alerts.apply_cooldown(minutes, last).where("sent").drop("sent")
         decided.write.mode("overwrite").parquet(version_path(sent, batch_id))
         written = spark.read.schema(decided.schema).parquet(version_path(sent, batch_id))

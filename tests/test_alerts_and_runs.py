@@ -94,7 +94,7 @@ def test_retry_takes_the_most_specific_policy(spark):
 
 def test_active_alerts_order(spark):
     rows = [
-        ("1", "n", "COST", None, None, None, 1.0, "EQUALS", s, "EMAIL", on, 1)
+        ("1", "n", "COST", None, None, None, None, 1.0, "EQUALS", s, "EMAIL", on, 1)
         for s, on in (("INFO", True), ("CRITICAL", True), ("WARNING", True), ("CRITICAL", False))
     ]
     df = spark.createDataFrame(rows, alerts.ALERT_RULE)

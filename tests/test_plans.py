@@ -82,6 +82,6 @@ def test_wildcard_rules_join_on_equality(frames, plan):
 
 def test_no_broadcast_is_forced(frames):
     queries = [quality.route_rows(frames.bronze_hr, hr_rules(frames)), alerts.evaluate_alerts(
-        alerts.run_metrics(frames.execution_log), alert_rules(frames))]
+        frames.execution_log, alert_rules(frames))]
     for df in queries:
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
