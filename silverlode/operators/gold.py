@@ -276,8 +276,10 @@ def finance_hr_metrics(df: DataFrame) -> DataFrame:
 
 
 def finance_payroll_metrics(df: DataFrame) -> DataFrame:
+    """Headcount and compensation per department; ``df`` holds one row per employee."""
+
     def sum_of(c: str) -> Column:
-        return F.sum(F.col(c).try_cast("decimal(12,2)")).cast(money.WIDE)
+        return F.sum(F.col(c).try_cast(money.WIDE)).cast(money.WIDE)
 
     return df.groupBy("department").agg(
         F.count("*").alias("employee_count"),
@@ -304,6 +306,16 @@ def generic_metrics(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_records"))
 
 
+def per_employee(payroll: DataFrame, amounts: Sequence[str]) -> DataFrame:
+    """One row per employee with the sums of ``amounts``; combined before any join.
+
+    Rows whose employee number does not convert belong to nobody and are left out.
+    """
+    number = F.col("employee_id").try_cast("long").alias("employee_id")
+    sums = [F.sum(F.col(c).try_cast("decimal(12,2)")).cast(money.WIDE).alias(c) for c in amounts]
+    return payroll.groupBy(number).agg(*sums).where("employee_id IS NOT NULL")
+
+
 def with_department(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     """Compensation rows with the department of their employee."""
     staff = employees.select(F.col("employee_id").alias("_eid"), "department")
@@ -328,6 +340,7 @@ def employee_salary_summary(df: DataFrame) -> DataFrame:
 
 
 def department_payroll_totals(df: DataFrame, as_of: str, **labels: str) -> DataFrame:
+    """Headcount, salaries and bonuses per department; ``df`` holds one row per employee."""
     g = df.groupBy("department").agg(
         F.count("*").alias("employee_count"),
         money.total("salary").alias("monthly_payroll"),

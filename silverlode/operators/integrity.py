@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, digest, money, paths
+from silverlode.sources import manifests
 
 # Per-file results, archive statuses and exit codes.
 OK, FAIL, MISSING, EXTRA = "OK", "FAIL", "MISSING", "EXTRA"
@@ -20,22 +21,28 @@ def generate_manifest(members: DataFrame, algorithm: str = "sha512") -> DataFram
     return members.select("archive", paths.unix_path("path").alias("path"), digest.digest("content", algorithm).alias("actual"))
 
 
-def manifest_text(manifest: DataFrame) -> DataFrame:
-    """Manifest lines ``digest|path`` with backslash separators."""
+def manifest_text(manifest: DataFrame, root: Column | None = None) -> DataFrame:
+    """Manifest lines: a ``# Root:`` header per archive (its name, or ``root``), then
+    ``digest|path`` with backslash separators."""
     windows = F.replace("path", F.lit("/"), F.lit("\\"))
-    return manifest.select("archive", F.concat("actual", F.lit("|"), windows).alias("line"))
+    named = manifest.select("archive", (F.col("archive") if root is None else root).alias("root")).distinct()
+    headers = named.select("archive", F.concat(F.lit("# Root: "), "root").alias("line"))
+    return headers.union(manifest.select("archive", F.concat("actual", F.lit("|"), windows).alias("line")))
 
 
-def validate(entries: DataFrame, actual: DataFrame) -> DataFrame:
+def validate(entries: DataFrame, actual: DataFrame, ignore_case: bool = False) -> DataFrame:
     """OK, FAIL, MISSING or EXTRA per listed or present file.
 
+    With ``ignore_case`` paths differ only by more than case, as on Windows.
+
     ``entries`` is (archive, path, expected), ``actual`` (archive, path, actual).
     Repeated manifest lines are counted once.  Manifests themselves are never
     EXTRA.  The join key is the single file, so a huge archive spreads out.
     """
-    listed = entries.groupBy("archive", "path", "expected").agg(F.count("*").alias("lines"))
-    found = actual.where(~paths.has_extension("path", MANIFEST_EXTENSION))
-    joined = listed.join(found, ["archive", "path"], "full_outer")
+    key = F.lower("path") if ignore_case else F.col("path")
+    listed = entries.groupBy("archive", key.alias("_key"), "expected").agg(F.min("path").alias("_listed"))
+    found = actual.where(~paths.has_extension("path", MANIFEST_EXTENSION)).withColumn("_key", key)
+    joined = listed.join(found, ["archive", "_key"], "full_outer").withColumn("path", F.coalesce("path", "_listed"))
     result = (
         F.when(F.col("expected").isNull(), F.lit(EXTRA))
         .when(F.col("actual").isNull(), F.lit(MISSING))
@@ -50,6 +57,11 @@ def exit_status(exit_code: Column) -> Column:
     return F.coalesce(*known, F.lit(OTHER_STATUS))
 
 
+def summary_line() -> Column:
+    counts = ("ok_count", "fail_count", "missing_count", "extra_count")
+    return F.format_string("SUMMARY: OK=%d FAIL=%d MISSING=%d EXTRA=%d", *counts)
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """Counts, exit code, status and summary line per archive."""
     g = results.groupBy("archive").agg(
@@ -57,10 +69,39 @@ def summarise(results: DataFrame) -> DataFrame:
     )
     bad = F.col("fail_count") + F.col("missing_count") + F.col("extra_count")
     code = F.when(F.col("ok_count") + bad == 0, F.lit(2)).when(bad == 0, F.lit(0)).otherwise(F.lit(3))
-    line = F.format_string(
-        "SUMMARY: OK=%d FAIL=%d MISSING=%d EXTRA=%d", "ok_count", "fail_count", "missing_count", "extra_count"
-    )
-    return g.withColumns({"exit_code": code, "summary": line}).withColumn("status", exit_status(F.col("exit_code")))
+    return g.withColumns({"exit_code": code, "summary": summary_line()}).withColumn("status", exit_status(F.col("exit_code")))
+
+
+def validate_archives(
+    archives: DataFrame, members: DataFrame, inside: DataFrame, beside: DataFrame, ignore_case: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Results per file and summary per archive of a whole delivery.
+
+    ``archives`` is (archive), ``members`` (archive, path, actual) and the manifests
+    (archive, manifest_path, line), those inside the archives and those beside them.  An
+    archive's own manifest is preferred.  A folder that wraps all of an archive's files
+    is left out of their paths.  An archive without a manifest, or whose manifest names
+    no root, is an ERROR with exit code 2, and its files are not compared; empty
+    archives have a summary too.
+    """
+    chosen = discover_manifests(inside.select("archive", "manifest_path"), beside.select("archive", "manifest_path"))
+    from_inside = inside.withColumn("found", F.lit("inside"))
+    lines = from_inside.unionByName(beside.withColumn("found", F.lit("sibling")))
+    lines = lines.join(chosen, ["archive", "manifest_path", "found"])
+    usable = manifests.parse_roots(lines).select("archive")
+    files = members.where(~paths.has_extension("path", MANIFEST_EXTENSION))
+    files = strip_roots(files, wrapper_roots(files)).join(usable, "archive", "left_semi")
+    entries = manifests.parse_entries(lines).join(usable, "archive", "left_semi")
+    results = validate(entries, files.select("archive", "path", "actual"), ignore_case)
+    counted = summarise(results).drop("exit_code", "status", "summary")
+    known = usable.withColumn("_usable", F.lit(True))
+    every = archives.select("archive").distinct().join(known, "archive", "left").join(counted, "archive", "left")
+    counts = ["ok_count", "fail_count", "missing_count", "extra_count"]
+    every = every.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+    bad = F.col("fail_count") + F.col("missing_count") + F.col("extra_count")
+    code = F.when(F.col("_usable").isNull(), 2).when(bad == 0, 0).otherwise(3)
+    every = every.withColumns({"exit_code": code, "summary": summary_line()}).drop("_usable")
+    return results, every.withColumn("status", exit_status(F.col("exit_code")))
 
 
 def parse_summary(lines: DataFrame, column: str = "summary") -> DataFrame:
@@ -138,8 +179,8 @@ def recent_failures(history: DataFrame, as_of: str, days: int, n: int) -> DataFr
 
 
 def latest_status(history: DataFrame) -> DataFrame:
-    """Go or no-go per archive by its newest validation."""
-    newest = F.max(F.struct("validated_at", "status"))
+    """Go or no-go per archive by its newest validation; at the same moment the worst counts."""
+    newest = F.max(F.struct("validated_at", (F.col("status") != "PASS").alias("bad"), "status"))
     g = history.groupBy("archive").agg(newest.alias("b"))
     return g.select(
         "archive", F.col("b.validated_at").alias("validated_at"), F.col("b.status").alias("status"),

@@ -30,6 +30,22 @@ def ambiguous_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count("*").alias("source_rows")).where("source_rows > 1")
 
 
+def guarded(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, failing when it is read if a key has several rows.
+
+    Keys are counted map-side and joined by the same shuffle that an upsert needs; no
+    group is gathered.
+    """
+    rest = [c for c in source.columns if c not in keys]
+    one = F.any_value(F.struct(*rest)) if rest else F.any_value(F.struct(F.lit(0).alias("_")))
+    counted = source.groupBy(*keys).agg(F.count("*").alias("_n"), one.alias("_row"))
+    message = F.concat(F.lit("upsert source has several rows for key "), F.to_json(F.struct(*keys)))
+    checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    # The check is part of the row itself, so that no optimisation drops it.
+    rows = counted.withColumn("_row", F.when(checked, F.col("_row")))
+    return rows.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*source.columns)
+
+
 def _side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tag: str) -> DataFrame:
     """Keys prefixed with ``tag`` and the other columns as one struct ``{tag}row``."""
     return df.select(*[F.col(k).alias(tag + k) for k in keys], F.struct(*columns).alias(f"{tag}row"))
@@ -42,13 +58,22 @@ def _full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_columns: Sequence[str] | None = None,
+    newest_first: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``target`` updated or extended from ``source`` on null-safe keys.
 
     ``update_columns`` limits what a match overwrites; by default all columns.
-    Both sides must hold one row per key (see ``latest_per_key``).
+    Several source rows for a key fail the job when it runs; with ``newest_first`` the
+    latest of them is taken instead.  The target must hold one row per key.
     """
+    if newest_first is not None:
+        source = latest_per_key(source, keys, newest_first)
+    else:
+        source = guarded(source, keys)
     values = [c for c in target.columns if c not in keys]
     updated = set(values if update_columns is None else update_columns)
     joined = _full_outer(_side(target, keys, values, "_t_"), _side(source, keys, values, "_s_"), keys)

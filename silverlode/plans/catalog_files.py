@@ -14,6 +14,7 @@ from silverlode.operators import integrity, quality, runs
 from silverlode.session import scratch_path
 from silverlode.sources import archives, files, manifests, sinks, workbooks
 
+from . import deliveries
 from .frames import POD
 from .oracle import dbl, pct, txt
 from .registry import query
@@ -126,7 +127,7 @@ PACKED_SQL = f"""packed AS (SELECT 'ACME' || ((doc_id // {DOCS_PER_ARCHIVE}) % 7
 def delivered(t) -> str:
     """A folder of ZIP archives written from the documents."""
     root = scratch_path(t.spark, "zips")
-    archives.write_archives(packed(t), root).agg(F.sum("member_count")).first()  # runs the writing job
+    deliveries.write_archives(packed(t), root).agg(F.sum("member_count")).first()  # runs the writing job
     return root
 
 
@@ -222,6 +223,18 @@ def snk_4(t):
     return files.read_table(t.spark, path).agg(F.lit(before).alias("rows_before"), F.count("*").alias("rows_after"))
 
 
+@query("snk_4_empty_partitioned_table", "SELECT 0 AS rows_before, (SELECT count(*) FROM execution_log) AS rows_after, 3 AS columns")
+def snk_4_partitioned(t):
+    path = scratch_path(t.spark, "empty")
+    log = t.execution_log.select("execution_id", "status", "pod_id")
+    sinks.create_empty(t.spark, path, log.schema, ["pod_id"])
+    empty = files.read_table(t.spark, path)
+    before, columns = empty.count(), len(empty.columns)
+    sinks.append(log, path, ["pod_id"])
+    after = files.read_table(t.spark, path)
+    return after.agg(F.lit(before).alias("rows_before"), F.count("*").alias("rows_after"), F.lit(columns).alias("columns"))
+
+
 @query("snk_5_create_if_absent", "SELECT pod_id, count(*) AS n FROM execution_log GROUP BY 1")
 def snk_5(t):
     path = scratch_path(t.spark, "catalog")
@@ -426,7 +439,7 @@ def workbook_rows(t):
 
 def delivered_workbooks(t) -> str:
     root = scratch_path(t.spark, "books")
-    workbooks.write_workbooks(workbook_rows(t), root).agg(F.sum("sheets")).first()  # runs the writing job
+    deliveries.write_workbooks(workbook_rows(t), root).agg(F.sum("sheets")).first()  # runs the writing job
     return root
 
 
@@ -534,6 +547,72 @@ def fi_3(t):
     return summaries(t)
 
 
+# A delivery of archives: most carry a manifest, every fifth has one beside it, every
+# fifth none and every fifth one without a root; half are wrapped in a folder.  Files
+# have spaces and # in their names; some are changed, missing or not listed.
+SHIPPED_SQL = f"""ship AS (SELECT 'ACME' || ((doc_id // {DOCS_PER_ARCHIVE}) % 7) || '_HR_' || (doc_id // {DOCS_PER_ARCHIVE}) || '.zip' AS archive,
+    doc_id // {DOCS_PER_ARCHIVE} AS n, lang || ' files#/' || doc_id || '.txt' AS path,
+    CASE WHEN doc_id % 19 <> 3 THEN sha256(CASE WHEN doc_id % 17 = 2 THEN text || 'x' ELSE text END) END AS expected,
+    CASE WHEN doc_id % 23 <> 5 THEN sha256(text) END AS actual FROM documents),
+    job AS (SELECT archive, path, expected, actual, CASE WHEN expected IS NULL THEN 'EXTRA' WHEN actual IS NULL THEN 'MISSING'
+      WHEN expected = actual THEN 'OK' ELSE 'FAIL' END AS result
+      FROM ship WHERE n % 5 NOT IN (3, 4) AND (expected IS NOT NULL OR actual IS NOT NULL)),
+    job_summary AS (SELECT *, 'SUMMARY: OK=' || ok_count || ' FAIL=' || fail_count || ' MISSING=' || missing_count || ' EXTRA=' || extra_count AS summary,
+      CASE exit_code WHEN 0 THEN 'PASS' WHEN 3 THEN 'FAIL' ELSE 'ERROR' END AS status FROM (
+      SELECT a.archive, count(*) FILTER (WHERE result = 'OK') AS ok_count, count(*) FILTER (WHERE result = 'FAIL') AS fail_count,
+        count(*) FILTER (WHERE result = 'MISSING') AS missing_count, count(*) FILTER (WHERE result = 'EXTRA') AS extra_count,
+        CASE WHEN n % 5 IN (3, 4) THEN 2 WHEN count(*) FILTER (WHERE result <> 'OK') = 0 THEN 0 ELSE 3 END AS exit_code
+      FROM (SELECT DISTINCT archive, n FROM ship) a LEFT JOIN job j ON j.archive = a.archive GROUP BY a.archive, n))"""
+
+
+def shipped(t) -> str:
+    """The folder of that delivery."""
+    doc, n, text = F.col("doc_id"), F.expr(f"doc_id div {DOCS_PER_ARCHIVE}"), F.col("text")
+    path = F.concat(F.col("lang"), F.lit(" files#/"), doc, F.lit(".txt"))
+    rows = t.table("documents").select(
+        F.concat(F.lit("ACME"), n % 7, F.lit("_HR_"), n, F.lit(".zip")).alias("archive"), n.alias("n"), "doc_id",
+        path.alias("path"), text.alias("text"), F.when(doc % 17 == 2, F.concat(text, F.lit("x"))).otherwise(text).alias("listed"),
+    )
+    line = F.concat(F.sha2("listed", 256), F.lit("|"), F.replace("path", F.lit("/"), F.lit("\\")))
+    lines = rows.where(doc % 19 != 3).groupBy("archive", "n").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    header = F.when(F.col("n") % 5 != 4, F.array(F.lit("# Root: delivery"))).otherwise(F.array(F.lit("# no root")))
+    body = F.encode(F.array_join(F.concat(header, "lines"), "\n"), "utf-8").alias("content")
+    wrap = F.when(F.col("n") % 2 == 0, F.concat(F.lit("wrap/"), "path")).otherwise(F.col("path")).alias("path")
+    members = rows.where(doc % 23 != 5).select("archive", wrap, F.encode("text", "utf-8").alias("content"))
+    own = lines.where((F.col("n") % 5 != 0) & (F.col("n") % 5 != 3)).select("archive", F.lit("list.hash").alias("path"), body)
+    root = scratch_path(t.spark, "shipped")
+    deliveries.write_archives(members.union(own), root).agg(F.sum("member_count")).first()
+    beside = lines.where(F.col("n") % 5 == 0).select(F.concat("archive", F.lit(".hash")).alias("path"), body)
+    deliveries.write_files(beside, root).agg(F.count("*")).first()
+    return root
+
+
+def delivery_validation(t):
+    root = shipped(t)
+    beside = manifests.read_manifest_lines(t.spark, root).withColumn("manifest_path", F.concat("archive", F.lit(".hash")))
+    listed = files.list_files(t.spark, root, "*.zip").select(F.col("file_name").alias("archive"))
+    members = archives.member_digests(t.spark, root, "sha256").select("archive", "path", "actual")
+    return integrity.validate_archives(listed, members, archives.inside_manifests(t.spark, root), beside)
+
+
+@query("fi_2_delivery_results", f"WITH {SHIPPED_SQL} SELECT * FROM job")
+def fi_2_delivery(t):
+    return delivery_validation(t)[0]
+
+
+@query("fi_3_delivery_summary", f"WITH {SHIPPED_SQL} SELECT * FROM job_summary")
+def fi_3_delivery(t):
+    return delivery_validation(t)[1]
+
+
+@query(
+    "fi_11_delivery_zones",
+    f"WITH {SHIPPED_SQL} SELECT archive, status, CASE WHEN status = 'PASS' THEN 'staging' ELSE 'quarantine' END AS zone FROM job_summary",
+)
+def fi_11_delivery(t):
+    return integrity.destination(delivery_validation(t)[1])
+
+
 @query("sc_26_parse_summary_line", f"WITH {SUMMARY_SQL} SELECT archive, ok_count, fail_count, missing_count, extra_count FROM summaries")
 def sc_26(t):
     return integrity.parse_summary(summaries(t).select("archive", "summary"))
@@ -680,7 +759,7 @@ def fi_9_rows(t):
 @query(
     "fi_10_go_or_no_go",
     f"""WITH {HISTORY_SQL} SELECT archive, strftime(validated_at, {STAMP}) AS validated_at, status, status = 'PASS' AS go FROM (SELECT *, row_number() OVER (
-    PARTITION BY archive ORDER BY validated_at DESC, status DESC) AS rn FROM history) WHERE rn = 1""",
+    PARTITION BY archive ORDER BY validated_at DESC, status = 'PASS', status DESC) AS rn FROM history) WHERE rn = 1""",
 )
 def fi_10(t):
     return integrity.latest_status(history(t))
@@ -696,7 +775,8 @@ def fi_11(t):
 
 @query(
     "fi_1_manifest_lines",
-    "SELECT archive, sha256(content) || '|' || replace(path, '/', chr(92)) AS line FROM archive_members",
+    """SELECT archive, sha256(content) || '|' || replace(path, '/', chr(92)) AS line FROM archive_members
+    UNION ALL SELECT DISTINCT archive, '# Root: ' || archive FROM archive_members""",
 )
 def fi_1_lines(t):
     return integrity.manifest_text(integrity.generate_manifest(t.archive_members, "sha256"))

@@ -152,7 +152,7 @@ def gd_5(t):
 
 @query(
     "gd_6_finance_payroll_metrics",
-    f"""SELECT department, count(*) AS employee_count, {dbl('sum(CAST(base_salary AS DECIMAL(12,2)))')} AS total_base_salary,
+    f"""SELECT department, count(DISTINCT e.employee_id) AS employee_count, {dbl('sum(CAST(base_salary AS DECIMAL(12,2)))')} AS total_base_salary,
     {dbl('sum(CAST(bonus AS DECIMAL(12,2)))')} AS total_bonus,
     {dbl('sum(CAST(base_salary AS DECIMAL(12,2))) + sum(CAST(bonus AS DECIMAL(12,2)))')} AS total_compensation,
     {REPORT_SQL}, 'payroll' AS domain
@@ -161,7 +161,8 @@ def gd_5(t):
 )
 def gd_6(t):
     silver = cleanse.default_rules().apply(t.simple_payroll, POD, "finance", "payroll", PROCESSED_AT)
-    metrics = gold.finance_payroll_metrics(gold.with_department(silver, t.silver_hr))
+    paid = gold.per_employee(silver, ["base_salary", "bonus"])
+    metrics = gold.finance_payroll_metrics(gold.with_department(paid, t.silver_hr))
     return gold.with_report_columns(metrics, AS_OF, pod_id=POD, company="finance", domain="payroll")
 
 
@@ -204,11 +205,12 @@ def gd_9(t):
 @query(
     "gd_10_department_payroll_totals",
     f"""SELECT department, count(*) AS employee_count, {dbl('sum(salary)')} AS monthly_payroll, {dbl('sum(bonus)')} AS monthly_bonus, {REPORT_SQL}
-    FROM (SELECT e.department, e.salary, CAST(p.bonus AS DECIMAL(10,2)) AS bonus FROM silver_hr e JOIN simple_payroll p ON e.employee_id = CAST(p.employee_id AS BIGINT))
+    FROM (SELECT e.employee_id, any_value(e.department) AS department, any_value(e.salary) AS salary, sum(CAST(p.bonus AS DECIMAL(12,2))) AS bonus
+      FROM silver_hr e JOIN simple_payroll p ON e.employee_id = CAST(p.employee_id AS BIGINT) GROUP BY e.employee_id)
     GROUP BY 1""",
 )
 def gd_10(t):
-    pay = t.simple_payroll.select(F.col("employee_id").try_cast("long").alias("employee_id"), money.money("bonus").alias("bonus"))
+    pay = gold.per_employee(t.simple_payroll, ["bonus"])
     rows = t.silver_hr.select("employee_id", "department", "salary").join(pay, "employee_id")
     return gold.department_payroll_totals(rows, AS_OF, pod_id=POD, company="finance")
 
@@ -252,11 +254,10 @@ def gd_14(t):
 @query(
     "gd_15_active_without_payroll",
     f"""SELECT employee_id, first_name, last_name, department, employment_status, hire_date, annual_salary, total_payments, last_payment_date
-    FROM ({_summary_sql('year(p.payment_date) = 2000')}) WHERE employment_status = 'Active' AND coalesce(total_payments, 0) = 0""",
+    FROM ({SUMMARY_SQL}) WHERE employment_status = 'Active' AND coalesce(total_payments, 0) = 0""",
 )
 def gd_15(t):
-    recent = gold.employee_payroll_summary(t.silver_hr, t.silver_payroll, POD, PROCESSED_AT, year=2000)
-    return gold.active_without_payroll(recent)
+    return gold.active_without_payroll(summary(t))
 
 
 @query(

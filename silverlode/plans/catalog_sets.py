@@ -89,7 +89,8 @@ RULES_SQL = """(VALUES ('r1', 'podA', NULL, 'bronze_to_silver', 95.0), ('r2', NU
 
 @query(
     "jn_8_wildcard_rules",
-    f"""SELECT e.execution_id, r.rule_id FROM execution_log e JOIN {RULES_SQL}
+    f"""SELECT e.execution_id, r.rule_id FROM (SELECT * REPLACE (CASE WHEN company_key % 7 <> 0 THEN company END AS company)
+    FROM execution_log) e JOIN {RULES_SQL}
     ON (r.pod_id IS NULL OR r.pod_id = e.pod_id) AND (r.company IS NULL OR r.company = e.company)
     AND (r.stage IS NULL OR r.stage = e.stage) AND e.data_quality_score < r.floor_score""",
 )
@@ -100,8 +101,11 @@ def jn_8(t):
         "rule_id string, pod_id string, company string, stage string, floor_score double",
     )
     keys = ["pod_id", "company", "stage"]
-    runs_ = t.execution_log.select("execution_id", *keys, "data_quality_score")
-    joined = runs_.join(alerts.resolve_wildcards(runs_, rules, keys), keys)
+    # Some runs do not know their company; only open rules match them.
+    company = F.when(F.col("company_key") % 7 != 0, F.col("company")).alias("company")
+    runs_ = t.execution_log.select("execution_id", "pod_id", company, "stage", "data_quality_score")
+    applicable = alerts.resolve_wildcards(runs_, rules, keys)
+    joined = runs_.alias("l").join(applicable.alias("r"), alerts.same_keys("l", "r", keys))
     return joined.where("data_quality_score < floor_score").select("execution_id", "rule_id")
 
 
@@ -132,12 +136,12 @@ def jn_10(t):
 
 @query(
     "jn_11_runs_with_config",
-    """SELECT execution_id, cost_center, sla_hours FROM execution_log e
-    JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company""",
+    """SELECT execution_id, CASE WHEN c.company IS NULL THEN 'UNASSIGNED' ELSE cost_center END AS cost_center, sla_hours,
+    c.company IS NOT NULL AS configured FROM execution_log e LEFT JOIN company_config c ON e.pod_id = c.pod_id AND e.company = c.company""",
 )
 def jn_11(t):
     return runs.with_config(t.execution_log, t.company_config, ["cost_center", "sla_hours"]).select(
-        "execution_id", "cost_center", "sla_hours"
+        "execution_id", "cost_center", "sla_hours", "configured"
     )
 
 
@@ -169,14 +173,17 @@ def ag_3(t):
 
 @query(
     "ag_4_conditional_distinct",
-    """SELECT department, count(DISTINCT CASE WHEN employment_status = 'Active' THEN employee_id END) AS active,
-    count(DISTINCT CASE WHEN employment_status = 'Terminated' THEN employee_id END) AS gone FROM silver_hr GROUP BY 1""",
+    """SELECT year(payment_date) AS pay_year, count(DISTINCT CASE WHEN payment_method = 'Check' THEN employee_id END) AS by_check,
+    count(DISTINCT CASE WHEN payment_method = 'Direct Deposit' THEN employee_id END) AS by_deposit FROM silver_payroll GROUP BY 1""",
 )
 def ag_4(t):
-    # employee_id is unique in silver, so conditional counts need no Expand.
-    status = F.col("employment_status")
-    return t.silver_hr.groupBy("department").agg(
-        F.count_if(status == "Active").alias("active"), F.count_if(status == "Terminated").alias("gone")
+    # One row per employee, year and method first, so the distinct counts need no Expand.
+    method, person = F.col("payment_method"), F.col("employee_id")
+    paid = t.silver_payroll.groupBy(F.year("payment_date").alias("pay_year"), person).agg(
+        F.bool_or(method == "Check").alias("check"), F.bool_or(method == "Direct Deposit").alias("deposit")
+    )
+    return paid.where(person.isNotNull()).groupBy("pay_year").agg(
+        F.count_if("check").alias("by_check"), F.count_if("deposit").alias("by_deposit")
     )
 
 

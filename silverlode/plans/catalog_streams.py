@@ -125,14 +125,16 @@ def st_5(t):
 def st_6(t):
     landing, target, checkpoint = folders(t, "dedup")
     schema = event_waves(t)[0].schema
-    again = [wave.unionByName(wave.where("event_id % 3 = 0")) for wave in event_waves(t)]
+    # Every third event comes again, and some of the first third come weeks late.
+    first, second, third = event_waves(t)
+    late = F.col("event_id") % 7 == 0
+    again = [wave.unionByName(wave.where("event_id % 3 = 0")) for wave in (first.where(~late), second, third.unionByName(first.where(late)))]
 
     def run():
         stream = jobs.landing_stream(t.spark, landing, schema)
-        jobs.ingest(jobs.deduplicate(stream, ["event_id"], "ts", NOTHING_LATE), target, checkpoint)
+        jobs.ingest_distinct(stream, target, checkpoint, ["event_id"], "ts")
 
-    with jobs.state_partitions(t.spark, t.spark.sparkContext.defaultParallelism):
-        deliver(again, landing, run)
+    deliver(again, landing, run)
     return t.spark.read.parquet(target).select("event_id", "event_type")
 
 

@@ -13,7 +13,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.functions import paths
@@ -114,41 +114,48 @@ def member_digests(spark: SparkSession, path: str, algorithm: str = "sha512", gl
     )
 
 
+def inside_manifests(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """(archive, manifest_path, line) of the manifests that archives carry themselves."""
+
+    def read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row, stream in _each_member(batch):
+                lines = io.TextIOWrapper(stream, encoding="utf-8", errors="replace").read().splitlines()
+                yield pd.DataFrame({"archive": row.archive, "manifest_path": row.member_path, "line": lines})
+
+    named = _spread(spark, path, glob).where(paths.has_extension("member_path", ".hash"))
+    return named.mapInPandas(read_lines, "archive string, manifest_path string, line string")
+
+
+def safe_member(member: Column) -> Column:
+    """The member's path with forward slashes; null if it could leave the target folder.
+
+    Absolute paths, drive letters and ``..`` segments are refused.
+    """
+    clean = F.replace(member, F.lit("\\"), F.lit("/"))
+    leaves = clean.startswith("/") | clean.rlike("^[A-Za-z]:") | clean.rlike(r"(^|/)\.\.(/|$)") | (clean == "")
+    return F.when(~leaves, clean)
+
+
 def place_members(spark: SparkSession, path: str, target: str, glob: str = "*.zip") -> DataFrame:
     """Unpack every member below ``target``/company/type, keeping folders.
 
-    Returns (archive, member_path, target_path, size_bytes).  Writing is
+    Returns (archive, member_path, target_path, size_bytes).  Members whose path could
+    leave the target are not written; their ``target_path`` is null.  Writing is
     idempotent, so a lost executor's members are simply written again.
     """
+    safe = safe_member(F.col("member_path"))
     routed = (
         _spread(spark, path, glob)
         .withColumn("company", F.coalesce(paths.routed_company("archive"), F.lit("unrouted")))
         .withColumn("kind", F.coalesce(F.lower(paths.routed_type("archive")), F.lit("unknown")))
-        .withColumn("target_path", F.concat_ws("/", F.lit(target), "company", "kind", "archive", "member_path"))
+        .withColumn("target_path", F.when(safe.isNotNull(), F.concat_ws("/", F.lit(target), "company", "kind", "archive", safe)))
     )
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, stream in _each_member(batch):
+            for row, stream in _each_member(batch[batch["target_path"].notna()]):
                 write_stream(row.target_path, stream)
             yield batch[["archive", "member_path", "target_path", "size_bytes"]]
 
     return routed.mapInPandas(copy, "archive string, member_path string, target_path string, size_bytes long")
-
-
-def write_archives(members: DataFrame, target: str) -> DataFrame:
-    """Pack (archive, path, content) rows into one ZIP per archive; archives must be small.
-
-    Returns (archive, archive_path, member_count).  Used to stage deliveries.
-    """
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        name, buf = pdf["archive"].iloc[0], io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-            for path, content in sorted(zip(pdf["path"], pdf["content"], strict=True)):
-                z.writestr(zipfile.ZipInfo(path), content)
-        buf.seek(0)
-        write_stream(f"{target}/{name}", buf)
-        return pd.DataFrame({"archive": [name], "archive_path": [f"{target}/{name}"], "member_count": [len(pdf)]})
-
-    return members.groupBy("archive").applyInPandas(pack, "archive string, archive_path string, member_count long")

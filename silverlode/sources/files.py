@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,19 @@ def read_csv(
     return reader.csv(path)
 
 
+# Where a partitioned table without rows keeps its schema.
+SCHEMA_FOLDER = "_schema"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The table at ``path``; without any file, an empty one of the declared schema."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as err:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(err.getCondition() or err):
+            raise
+        declared = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
+        return spark.read.schema(T.StructType.fromJson(json.loads(declared["value"]))).parquet(path)
 
 
 def read_named(spark: SparkSession, name: str) -> DataFrame:

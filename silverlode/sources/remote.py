@@ -1,4 +1,4 @@
-"""Opening and writing files by URI inside tasks."""
+"""Opening and writing files by path or URI inside tasks."""
 
 from __future__ import annotations
 
@@ -10,11 +10,23 @@ from typing import BinaryIO
 from pyarrow import fs
 
 COPY_BYTES = 1 << 20
+URI = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(/.*)?$", re.S)
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI such as ``file:/x``, ``hdfs://...`` or ``s3a://...``."""
-    return fs.FileSystem.from_uri(re.sub(r"^s3a:", "s3:", re.sub(r"^file:/+", "file:///", uri)))
+    """File system and path of ``/x``, ``file:/x``, ``hdfs://host/x`` or ``s3a://bucket/x``.
+
+    Paths are taken as they are: spaces, ``#``, ``%`` and ``?`` are ordinary characters.
+    """
+    local = re.match(r"^file:/+", uri)
+    if local:
+        return fs.LocalFileSystem(), "/" + uri[local.end() :]
+    parts = URI.match(uri)
+    if not parts:
+        return fs.LocalFileSystem(), uri
+    scheme, host, path = parts.groups()
+    filesystem, root = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{host}")
+    return filesystem, root.rstrip("/") + (path or "/")
 
 
 def open_read(uri: str):

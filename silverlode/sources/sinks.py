@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from silverlode.functions import dates
 
+from .files import SCHEMA_FOLDER
+
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Adaptive re-distribution before a write.
@@ -48,9 +50,18 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 
 def create_empty(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """An empty table whose schema readers can rely on."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """An empty table whose schema readers can rely on.
+
+    A partitioned table without rows has no file, so its schema is kept beside the
+    partitions, in a folder that readers of the data skip; ``files.read_table`` uses it.
+    """
+    empty = spark.createDataFrame([], schema)
+    if not partition_by:
+        empty.write.mode("ignore").parquet(path)
+        return
+    empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    declared = spark.createDataFrame([(schema.json(),)], "value string")
+    declared.coalesce(1).write.mode("ignore").text(f"{path}/{SCHEMA_FOLDER}")
 
 
 def create_if_absent(spark: SparkSession, name: str, ddl: str, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -96,10 +107,24 @@ def insert_row(df: DataFrame, values: dict) -> DataFrame:
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Load conversion to a declared schema; values that do not fit become null."""
+    """Load conversion to a declared schema; values that do not fit become null.
+
+    ``lost_values`` counts them.
+    """
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def lost_values(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+    """(column, not_converted, truncated): what ``cast_to`` and ``truncate_to`` lose, in one pass."""
+    lengths = lengths or {}
+    rows = []
+    for f in schema.fields:
+        lost = F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        cut = F.count_if(F.length(f.name) > lengths[f.name]) if f.name in lengths else F.lit(0).cast("long")
+        rows.append(F.struct(F.lit(f.name).alias("column"), lost.alias("not_converted"), cut.alias("truncated")))
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def truncate_to(df: DataFrame, lengths: dict[str, int]) -> DataFrame:
     """Cut text columns to their declared lengths (the load allows truncation)."""
     return df.withColumns({c: F.substring(c, 1, n) for c, n in lengths.items()})

@@ -6,13 +6,11 @@ The unit of work is one sheet, whose size the file format itself bounds to
 
 from __future__ import annotations
 
-import io
 import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +19,7 @@ from pyspark.sql import types as T
 
 from .archives import task_count
 from .files import list_files
-from .remote import open_read, write_stream
+from .remote import open_read
 
 # Spreadsheet XML namespaces, and the day spreadsheet date serials
 # count from with their shape.
@@ -71,7 +69,12 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
 def _rows(z: zipfile.ZipFile, part: str) -> Iterator[list[str | None]]:
     shared = _shared_strings(z)
     with z.open(part) as stream:
-        for _, el in ET.iterparse(stream):
+        parents = []
+        for event, el in ET.iterparse(stream, events=("start", "end")):
+            if event == "start":
+                parents.append(el)
+                continue
+            parents.pop()
             if el.tag != f"{MAIN}row":
                 continue
             cells: dict[int, str | None] = {}
@@ -83,7 +86,20 @@ def _rows(z: zipfile.ZipFile, part: str) -> Iterator[list[str | None]]:
                 elif v is not None and v.text is not None:
                     cells[at] = shared[int(v.text)] if kind == "s" else v.text
             yield [cells.get(i) for i in range(max(cells) + 1)] if cells else []
-            el.clear()
+            # Rows read are dropped from the tree, so a long sheet does not grow it.
+            parents[-1].remove(el)
+
+
+def _distinct_names(header: list[str | None]) -> list[str | None]:
+    """Header names, with the repeated ones numbered: ``Pay``, ``Pay (2)``."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in header:
+        if name:
+            seen[name] = seen.get(name, 0) + 1
+            name = name if seen[name] == 1 else f"{name} ({seen[name]})"
+        out.append(name)
+    return out
 
 
 def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,7 +107,7 @@ def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, sheet, part in batch[["path", "sheet", "part"]].itertuples(index=False):
             with open_read(path) as f, zipfile.ZipFile(f) as z:
                 rows = _rows(z, part)
-                header, out = next(rows, []), []
+                header, out = _distinct_names(next(rows, [])), []
                 for n, row in enumerate(rows, start=1):
                     cells = {h: v for h, v in zip(header, row, strict=False) if h and v is not None}
                     out.append((path, sheet, n, json.dumps(cells)))
@@ -148,52 +164,3 @@ def project_sheet(tall: DataFrame, sheet: str, schema: T.StructType) -> DataFram
 def load_sheet(spark: SparkSession, path: str, sheet: str, schema: T.StructType) -> DataFrame:
     """Typed rows of one sheet of all workbooks below ``path``."""
     return project_sheet(read_workbooks(spark, path, sheets=[sheet]), sheet, schema)
-
-
-def _letters(i: int) -> str:
-    s = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        s = chr(65 + r) + s
-    return s
-
-
-def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
-    """A minimal workbook holding ``sheets``: name -> rows, the first one the header."""
-    head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    main, rel, pkg = MAIN[1:-1], REL[1:-1], PKG[1:-1]
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        refs, rels = [], []
-        for n, (name, rows) in enumerate(sheets.items(), start=1):
-            refs.append(f'<sheet name="{escape(name)}" sheetId="{n}" r:id="rId{n}"/>')
-            rels.append(f'<Relationship Id="rId{n}" Type="{rel}/worksheet" Target="worksheets/sheet{n}.xml"/>')
-            body = []
-            for r, row in enumerate(rows, start=1):
-                cells = []
-                for i, v in enumerate(row):
-                    if isinstance(v, (int, float)):
-                        cells.append(f'<c r="{_letters(i)}{r}"><v>{v}</v></c>')
-                    elif v is not None:
-                        cells.append(f'<c r="{_letters(i)}{r}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>')
-                body.append(f'<row r="{r}">{"".join(cells)}</row>')
-            z.writestr(f"xl/worksheets/sheet{n}.xml", f'{head}<worksheet xmlns="{main}"><sheetData>{"".join(body)}</sheetData></worksheet>')
-        z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{"".join(refs)}</sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="{pkg}">{"".join(rels)}</Relationships>')
-    return buf.getvalue()
-
-
-def write_workbooks(rows: DataFrame, target: str) -> DataFrame:
-    """Stage workbooks from (company, file_name, sheet, row_no, cells array) rows.
-
-    Each (company, file_name) group must fit one workbook.
-    """
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        company, name = pdf["company"].iloc[0], pdf["file_name"].iloc[0]
-        sheets = {s: [list(c) for c in g.sort_values("row_no")["cells"]] for s, g in pdf.groupby("sheet")}
-        write_stream(f"{target}/{company}/{name}", io.BytesIO(workbook_bytes(sheets)))
-        return pd.DataFrame({"company": [company], "file_name": [name], "sheets": [len(sheets)]})
-
-    return rows.groupBy("company", "file_name").applyInPandas(pack, "company string, file_name string, sheets long")

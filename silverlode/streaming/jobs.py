@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +55,31 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
     )
 
 
+DAY = "delivery_day"
+
+
+def ingest_distinct(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], time_column: str) -> None:
+    """Landing -> bronze: append the first delivery of every key, however late it comes.
+
+    Deliveries of one key carry the same ``time_column``.  Bronze is partitioned by its
+    day, and a batch is compared with the stored keys of its own days only.  A retried
+    batch finds what it stored before, so nothing is stored twice.
+    """
+    kept = T.StructType([*stream.schema.fields, T.StructField(DAY, T.DateType())])
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark, day = batch.sparkSession, F.col(DAY)
+        rows = batch.withColumn(DAY, F.to_date(time_column))
+        days = [r[0] for r in rows.select(DAY).distinct().collect()]  # calendar days of one batch
+        stored = files.read_or_empty(spark, target, kept)[0].where(day.isin([d for d in days if d]) | day.isNull())
+        first = rows.dropDuplicates([*keys, DAY]).alias("l")
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, DAY)]
+        new = first.join(stored.select(*keys, DAY).alias("r"), same, "left_anti")
+        sinks.append(new, target, [DAY])
+
+    each_batch(stream, put, checkpoint)
+
+
 def each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     _finish(stream.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint))
 
@@ -68,8 +92,17 @@ def version_path(root: str, batch_id: int) -> str:
 
 
 def read_version(spark: SparkSession, root: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    """State written by an earlier micro-batch, empty before the first."""
-    return files.read_or_empty(spark, version_path(root, batch_id), schema)[0]
+    """State written by an earlier micro-batch, empty before the first; lost state is an error."""
+    state, status = files.read_or_empty(spark, version_path(root, batch_id), schema)
+    if batch_id >= 0 and status == "NO_DATA":
+        raise RuntimeError(f"the state of batch {batch_id} below {root} is gone")
+    return state
+
+
+def drop_version(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Remove a state that no retry can need any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, batch_id))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BUCKET = "bucket"
@@ -168,11 +201,17 @@ ARRIVALS = T.StructType(
 )
 
 
+RELEASED = T.StructType(
+    [T.StructField("pod_id", T.StringType()), T.StructField("company", T.StringType()), T.StructField("version", T.IntegerType())]
+)
+
+
 def completeness_stream(stream: DataFrame, config: DataFrame, state: str, released: str, checkpoint: str) -> None:
-    """Release each company once, in the micro-batch that brings its last missing domain.
+    """Release each company once, in the first micro-batch that finds it complete.
 
-    State is the distinct (company, domain) arrivals seen so far, a table bounded
-    by the configuration and not by the number of files.
+    State is the distinct (company, domain) arrivals seen so far and the companies
+    released, both bounded by the configuration and not by the number of files.  What
+    counts as complete may change with the configuration between batches.
     """
 
     def gate(batch: DataFrame, batch_id: int) -> None:
@@ -181,9 +220,10 @@ def completeness_stream(stream: DataFrame, config: DataFrame, state: str, releas
         now = before.unionByName(_data_arrivals(batch)).distinct()
         now.write.mode("overwrite").parquet(version_path(state, batch_id))
         now = spark.read.schema(ARRIVALS).parquet(version_path(state, batch_id))
-        done_before = _complete(config, before)
-        newly = _complete(config, now).join(done_before, ["pod_id", "company"], "left_anti")
+        earlier = all_versions(spark, released, RELEASED).where(F.col("version") < batch_id)
+        newly = _complete(config, now).join(earlier, ["pod_id", "company"], "left_anti")
         newly.write.mode("overwrite").parquet(version_path(released, batch_id))
+        drop_version(spark, state, batch_id - 2)
 
     each_batch(stream, gate, checkpoint)
 
@@ -194,7 +234,8 @@ def _data_arrivals(batch: DataFrame) -> DataFrame:
 
 def _complete(config: DataFrame, arrivals: DataFrame) -> DataFrame:
     listed = arrivals.withColumn("file_name", F.lit("arrived.csv"))
-    gate = tenants.completeness_gate(config, listed)
+    # A company that asks for nothing is never released.
+    gate = tenants.completeness_gate(config.where(F.size("domains") > 0), listed)
     return gate.where("status = 'COMPLETE'").select("pod_id", "company")
 
 
@@ -220,13 +261,11 @@ def alert_stream(
         newest.groupBy("alert_rule_id").agg(F.max("last_sent").alias("last_sent")).write.mode("overwrite").parquet(
             version_path(state, batch_id)
         )
+        drop_version(spark, state, batch_id - 2)
 
     each_batch(stream, evaluate, checkpoint)
 
 
 def all_versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Union of what every micro-batch wrote."""
-    try:
-        return spark.read.schema(schema).parquet(f"{root}/version=*")
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return files.read_or_empty(spark, root, schema)[0]

@@ -120,3 +120,49 @@ def test_truncated_mean(spark):
 def test_lineage_balances(frames):
     row = runs.lineage_reconciliation(frames.execution_log).agg(F.sum("unbalanced_runs")).first()
     assert row[0] == 0
+
+
+def test_failed_runs_are_closed_and_unknown_ones_recorded(frames):
+    log = frames.execution_log
+    starts = runs.start_events(log.where("company_key % 2 = 0"))
+    closed = runs.close_runs(starts, runs.end_events(log), runs.error_events(log))
+    told = {r.execution_id: r for r in log.collect()}
+    for r in closed.collect():
+        run = told[r.execution_id]
+        assert r.status == run.status
+        assert r.error_message == run.error_message
+        assert (r.company == "Unknown") == (run.company_key % 2 != 0)
+    # Of an end and an error at one moment, the error counts.
+    both = runs.error_events(log).limit(1)
+    end = both.select("execution_id", "event_time").selectExpr("*", "'END' AS event", "'SUCCESS' AS status", "map('a','b') AS dimensions")
+    row = runs.close_runs(runs.start_events(log.limit(0)), end, both).first()
+    assert row.status == "FAILED" and row.duration_seconds == 0
+
+
+def test_null_keys_match_open_rules_only(spark):
+    rules = [
+        ("any", "n", "ERROR_RATE", None, None, None, None, 50.0, "GREATER_THAN", "INFO", "EMAIL", True, 1),
+        ("pod", "n", "ERROR_RATE", "p", None, None, None, 50.0, "GREATER_THAN", "INFO", "EMAIL", True, 1),
+        ("company", "n", "ERROR_RATE", None, "c1", None, None, 50.0, "GREATER_THAN", "INFO", "EMAIL", True, 1),
+        ("domain", "n", "ERROR_RATE", None, None, "hr", None, 50.0, "GREATER_THAN", "INFO", "EMAIL", True, 1),
+    ]
+    log = spark.createDataFrame(
+        [("e1", "p", None, "hr", "s", "FAILED"), ("e2", None, "c1", None, None, "FAILED"), ("e3", None, None, None, None, "FAILED")],
+        "execution_id string, pod_id string, company string, domain string, stage string, status string",
+    ).selectExpr(
+        "*", "1 AS execution_duration_seconds", "1 AS data_quality_score", "1 AS dbu_consumed", "TIMESTAMP_NTZ '2024-01-01' AS execution_start_time",
+        "TIMESTAMP_NTZ '2024-01-01' AS execution_end_time", "TIMESTAMP_NTZ '2024-01-01' AS file_arrival_time",
+    )
+    fired = alerts.evaluate_alerts(log, spark.createDataFrame(rules, alerts.ALERT_RULE)).collect()
+    assert sorted((r.execution_id, r.alert_rule_id) for r in fired) == [
+        ("e1", "any"), ("e1", "domain"), ("e1", "pod"), ("e2", "any"), ("e2", "company"), ("e3", "any"),
+    ]
+
+
+def test_runs_without_configuration_stay(spark, frames):
+    log, config = frames.execution_log, frames.company_config.limit(2)
+    joined = runs.with_config(log, config, ["cost_center", "sla_hours"])
+    assert joined.count() == log.count()
+    assert joined.where("NOT configured AND (cost_center <> 'UNASSIGNED' OR sla_hours IS NOT NULL)").count() == 0
+    costs = runs.cost_records(log, config)
+    assert costs.count() == log.count()

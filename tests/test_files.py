@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from silverlode.functions import paths
 from silverlode.operators import integrity
-from silverlode.sources import archives, files, manifests, sinks, workbooks
+from silverlode.plans import deliveries
+from silverlode.sources import archives, files, manifests, remote, sinks, workbooks
 from silverlode.sources.remote import write_stream
 
 GOOD = {"employees.csv": b"id,salary\n5,92000\n", "payroll.csv": b"id,pay\n", "departments.csv": b"id\n"}
@@ -126,7 +127,7 @@ def test_routing(spark):
 
 
 def test_workbook_cells(spark, tmp_path):
-    book = workbooks.workbook_bytes(
+    book = deliveries.workbook_bytes(
         {"Staff & Co": [["Id", "When", "Pay"], ["a<b", "2020-01-15", 10.5], [None, 43845, "n/a"], [], ["c", "soon", 3]], "Empty": []}
     )
     (tmp_path / "acme").mkdir()
@@ -149,7 +150,7 @@ def test_workbook_shared_strings_and_gaps(spark, tmp_path):
         f'<worksheet xmlns="{main}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row>'
         '<row r="2"><c r="C2"><v>7</v></c></row></sheetData></worksheet>'
     )
-    base = zipfile.ZipFile(io.BytesIO(workbooks.workbook_bytes({"S": []})))
+    base = zipfile.ZipFile(io.BytesIO(deliveries.workbook_bytes({"S": []})))
     parts = {n: base.read(n) for n in base.namelist()}
     parts["xl/worksheets/sheet1.xml"] = sheet.encode()
     parts["xl/sharedStrings.xml"] = f'<sst xmlns="{main}"><si><t>A</t></si><si><r><t>C</t></r><r><t>C</t></r></si></sst>'.encode()
@@ -199,3 +200,74 @@ def test_publishing_replaces_and_leaves_no_temporary(tmp_path):
 def test_expired_snapshots_keep_the_live_one(spark):
     df = spark.sql("SELECT t AS table_name, CAST(s AS TIMESTAMP_NTZ) AS snapshot_at FROM VALUES ('a','2024-01-01'),('a','2024-01-05'),('b','2024-01-01') v(t,s)")
     assert [r.table_name for r in sinks.expired_snapshots(df, "2024-02-01 00:00:00", 24).collect()] == ["a"]
+
+
+@pytest.mark.parametrize(
+    "name,safe",
+    [
+        ("a/b.txt", "a/b.txt"), ("a\\b.txt", "a/b.txt"), ("..x/y..", "..x/y.."), ("../x", None), ("a/../../x", None),
+        ("a\\..\\x", None), ("/etc/x", None), ("C:\\x", None), ("\\\\host\\x", None), ("a/..", None), ("", None),
+    ],
+)
+def test_members_that_could_leave_the_target_are_refused(spark, name, safe):
+    df = spark.createDataFrame([(name,)], "m string")
+    assert df.select(archives.safe_member(F.col("m"))).first()[0] == safe
+
+
+def test_unpacking_stays_below_its_target(spark, tmp_path):
+    (tmp_path / "in dir").mkdir()
+    with zipfile.ZipFile(tmp_path / "in dir" / "ACME_HR_1 #2%.zip", "w") as z:
+        z.writestr("../../../../esc.txt", "bad")
+        z.writestr("ok file#1%.txt", "good")
+    placed = archives.place_members(spark, f"{tmp_path}/in dir", f"{tmp_path}/out dir/deep/er/x").collect()
+    assert {r.member_path: r.target_path is None for r in placed} == {"../../../../esc.txt": True, "ok file#1%.txt": False}
+    files_there = [p.name for p in tmp_path.rglob("*.txt")]
+    assert files_there == ["ok file#1%.txt"]
+
+
+def test_locate_takes_paths_as_they_are():
+    for path in ("/a b/c#d%20?.zip", "rel/x y"):
+        assert remote.locate(path)[1] == path
+    assert remote.locate("file:///a b#c")[1] == "/a b#c" and remote.locate("file:/x")[1] == "/x"
+
+
+def test_archives_without_manifest_or_root_are_errors(spark):
+    empty = "archive string, manifest_path string, line string"
+    members = [("ok", "top/a.txt", "1"), ("ok", "top/b.txt", "2"), ("bad", "A.TXT", "1"), ("none", "a.txt", "1"), ("noroot", "a.txt", "1")]
+    inside = [("ok", "m.hash", "# Root: x"), ("ok", "m.hash", "1|a.txt"), ("ok", "m.hash", "2|b.txt"), ("noroot", "m.hash", "1|a.txt")]
+    beside = [("bad", "bad.hash", "# Root: y"), ("bad", "bad.hash", "9|a.txt"), ("ok", "ok.hash", "# Root: z"), ("ok", "ok.hash", "0|a.txt")]
+    frames_ = (
+        spark.createDataFrame([(a,) for a in ("ok", "bad", "none", "noroot", "hollow")], "archive string"),
+        spark.createDataFrame(members, "archive string, path string, actual string"),
+        spark.createDataFrame(inside, empty),
+        spark.createDataFrame(beside, empty),
+    )
+    for ignore_case, counts in ((False, (0, 0, 1, 1)), (True, (0, 1, 0, 0))):
+        results, summary = integrity.validate_archives(*frames_, ignore_case=ignore_case)
+        got = {r.archive: (r.exit_code, r.status) for r in summary.collect()}
+        assert got == {
+            "ok": (0, "PASS"), "bad": (3, "FAIL"), "none": (2, "ERROR"), "noroot": (2, "ERROR"), "hollow": (2, "ERROR"),
+        }
+        bad = summary.where("archive = 'bad'").first()
+        assert (bad.ok_count, bad.fail_count, bad.missing_count, bad.extra_count) == counts
+        assert {r.archive for r in results.collect()} == {"ok", "bad"}
+
+
+def test_the_worst_of_equal_moments_decides(spark):
+    rows = [("a", "2024-01-01", s, 0, 0, 0, 0) for s in ("PASS", "FAIL", "PASS")] + [("b", "2024-01-02", "PASS", 0, 0, 0, 0), ("b", "2024-01-01", "FAIL", 0, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "archive string, validated_at string, status string, o int, f int, m int, e int")
+    assert {r.archive: r.go for r in integrity.latest_status(df).collect()} == {"a": False, "b": True}
+
+
+def test_partitioned_tables_without_rows_can_be_read(spark, tmp_path):
+    schema = T.StructType.fromDDL("a int, p string")
+    sinks.create_empty(spark, f"{tmp_path}/t", schema, ["p"])
+    assert files.read_table(spark, f"{tmp_path}/t").schema == schema
+    sinks.append(spark.createDataFrame([(1, "x")], schema), f"{tmp_path}/t", ["p"])
+    assert [tuple(r) for r in files.read_table(spark, f"{tmp_path}/t").collect()] == [(1, "x")]
+
+
+def test_load_conversion_reports_what_it_loses(spark):
+    df = spark.createDataFrame([("1", "abc"), ("x", "abcdef"), (None, None)], "n string, t string")
+    lost = sinks.lost_values(df, T.StructType.fromDDL("n int, t string"), {"t": 3})
+    assert [tuple(r) for r in lost.collect()] == [("n", 1, 0), ("t", 0, 1)]

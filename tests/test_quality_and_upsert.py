@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,3 +182,12 @@ def test_priority_order(spark):
     cfg = config(spark, pod_id="podA", company="aa", priority="LOW")
     assert [r.priority for r in tenants.enabled_companies(cfg, "podA").collect()] == ["HIGH"] * 4 + ["LOW"]
     assert [r.priority for r in tenants.enabled_companies(cfg, "podA", alphabetical=True).collect()][0] == "LOW"
+
+
+def test_upsert_refuses_several_rows_for_a_key(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, v string")
+    with pytest.raises(Exception, match="several rows for key"):
+        upsert.upsert(target, twice, ["k"]).collect()
+    latest = upsert.upsert(target, twice, ["k"], newest_first=["v"])
+    assert sorted(map(tuple, latest.collect())) == [(1, "y"), (2, "b"), (3, "z")]

@@ -77,3 +77,49 @@ def test_a_batch_retried_after_a_crash_loses_nothing(spark, tmp_path, rows, monk
 def test_high_water_mark_of_an_empty_start(spark):
     df = spark.createDataFrame([], "ts int")
     assert jobs.high_water_mark(df, "ts").first().high_water_mark is None
+
+
+def test_late_first_deliveries_reach_bronze_once(spark, tmp_path, rows):
+    root = f"file://{tmp_path}"
+    waves = [
+        [(1, "2024-01-02 10:00:00", "a"), (1, "2024-01-02 10:00:00", "a"), (None, "2024-01-02 11:00:00", "n")],
+        [(2, "2024-01-01 09:00:00", "late"), (1, "2024-01-02 10:00:00", "again"), (None, "2024-01-02 11:00:00", "n")],
+        [(3, "2024-01-02 10:30:00", "c"), (4, None, "timeless")],
+        [(4, None, "timeless")],
+    ]
+    for wave in waves:
+        schema = deliver(spark, f"{root}/in", wave)
+        stream = jobs.landing_stream(spark, f"{root}/in", schema)
+        jobs.ingest_distinct(stream, f"{root}/out", f"{root}/cp", ["event_id"], "ts")
+    stored = spark.read.parquet(f"{root}/out")
+    assert rows(stored, "event_id") == sorted([(1,), (2,), (3,), (4,), (None,)], key=repr)
+
+
+ARRIVED = "pod_id string, company string, domain string, file_name string"
+
+
+def test_a_company_completed_by_a_new_configuration_is_released_once(spark, tmp_path, frames):
+    root = f"file://{tmp_path}"
+    shape = frames.company_config.limit(1)
+
+    def config(domains):
+        changes = {"pod_id": F.lit("p"), "company": F.lit("c"), "enabled": F.lit(True), "domains": F.array(*[F.lit(d) for d in domains])}
+        return shape.withColumns(changes)
+
+    def run(arrived, domains):
+        df = spark.createDataFrame([("p", "c", d, "x.csv") for d in arrived], ARRIVED)
+        df.write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(spark, f"{root}/in", df.schema)
+        jobs.completeness_stream(stream, config(domains), f"{root}/state", f"{root}/out", f"{root}/cp")
+        return jobs.all_versions(spark, f"{root}/out", jobs.RELEASED).count()
+
+    assert run(["hr"], ["hr", "payroll"]) == 0
+    # The missing domain is taken off the list; the next batch releases the company.
+    assert run(["hr"], ["hr"]) == 1
+    assert run(["payroll"], ["hr", "payroll"]) == 1
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["version=1", "version=2"]
+
+
+def test_lost_state_is_an_error(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="is gone"):
+        jobs.read_version(spark, f"file://{tmp_path}/state", 3, jobs.ARRIVALS)
