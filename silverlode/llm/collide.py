@@ -1,14 +1,23 @@
-"""Links between nodes that share a token, without writing out all pairs of a token's list.
+"""Links between sets that share a token, without writing out all pairs of a token's list.
 
-A first round compares every node with one pivot of its lists.  Nodes linked that
-way share a component, and pairs inside a component cannot change the components
-any more.  A second round compares all remaining pairs of a list whose nodes lie in
-different components.  Together the links give the same components as all pairs.
+Lists of equal tokens may be long, so their members are not compared with each other at
+first.  Every list has a pivot, its most connected member, and every member is compared
+with the pivots of its lists.  The comparison leaves, per member and pivot, the exact
+number of common shingles and the shingles that the pivot lacks.  Two members of a
+pivot's lists that are not linked through it can only be similar if
+
+* they share one of those lacking shingles, or
+* all they share lies in the pivot, and then both counts bound their intersection.
+
+Lacking shingles that more than ``COMMON`` members have are counted to the pivot instead
+(the bound holds for any fixed set), so lists stay short in both cases.  Each is a join
+that finds next to nothing in a group of near copies of one text, where all pairs would
+be its square.  The links found have the components of all links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,79 +28,161 @@ from . import hashing
 from .common import materialize
 from .components import components
 
+COMMON = 32
 
-def shared_lists(tokens: DataFrame) -> DataFrame:
-    """Rows of ``tokens(token, node, ...)`` whose token has several nodes, with the list's smallest node as ``pivot``."""
-    lists = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
-    return tokens.join(lists.where("n > 1").drop("n"), "token")
 
+def pivot_pairs(tokens: DataFrame) -> DataFrame:
+    """Distinct ``(a, b)``: the pivots ``a`` of the lists of ``tokens(token, node)`` and their other members ``b``."""
+    lists = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    hits = materialize(tokens.select("token", "node").join(lists, "token"), "hits")
+    weights = hits.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = hits.select("token", "node").join(weights, "node")
+    pivots = weighed.groupBy("token").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("a"))
+    met = hits.join(pivots, "token").select("a", F.col("node").alias("b"))
+    return met.where("a != b").distinct()
 
-def pivot_pairs(hits: DataFrame) -> DataFrame:
-    """One pair ``(a, b)`` per node ``b``: the pivot that most of its lists name."""
-    counts = hits.where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
-    best = counts.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("a"))
-    return best.select("a", F.col("node").alias("b"))
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` with both texts and signatures; ``a``, which many may share, joins last."""
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("signature").alias("sig_b"))
+    pivot = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("signature").alias("sig_a"))
+    both = pairs.join(other, "b").join(pivot, "a")
+    return both.select("a", "b", *[F.col(f"text_{x}").cast("binary").alias(f"text_{x}") for x in "ab"], "sig_a", "sig_b")
 
-def cross_pairs(hits: DataFrame, found: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
-    """Distinct pairs of one list whose nodes lie in different components and pass ``near``."""
-    labelled = (
-        hits.drop("pivot")
-        .join(found, "node", "left")
-        .withColumn("label", F.coalesce("component", "node"))
-        .drop("component")
-    )
-    labelled = materialize(labelled, "labelled")
-    spans = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    members = materialize(labelled.join(spans.where("lo < hi").select("token"), "token"), "open")
-    l, r = members.alias("l"), members.alias("r")
-    met = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.label") < F.col("r.label")) & near("l", "r"))
-    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
+def compared(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Every pair with ``size_a``, ``size_b``, ``common`` and ``lacking``, the shingles of ``b`` that ``a`` lacks.
 
-def similar_sizes(left: str, right: str, percent: int) -> Column:
-    """Sets whose sizes allow a Jaccard similarity of ``percent`` at all."""
-    a, b = F.col(f"{left}.size"), F.col(f"{right}.size")
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
+    The lacking ones are cut to 32 bits: equal ones stay equal, and a chance collision
+    only adds a pair that is verified in full.
+    """
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, min_matches: int = 0) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b, text_a, text_b = (c.to_pylist() for c in batch.columns[:4])
+            sizes_a, sizes_b, commons, lacking = [], [], [], []
+            last_text, pivot = None, None
+            for one, other in zip(text_a, text_b, strict=True):
+                if one != last_text:
+                    last_text, pivot = one, next(hashing.shingle_sets([one], shingle))
+                mine = next(hashing.shingle_sets([other], shingle))
+                rest = mine[~hashing.contained(mine, pivot)]
+                sizes_a.append(len(pivot))
+                sizes_b.append(len(mine))
+                commons.append(len(mine) - len(rest))
+                lacking.append((rest >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            columns = [batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in (sizes_a, sizes_b, commons)]]
+            columns.append(pa.array(lacking, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "size_a", "size_b", "common", "lacking"])
+
+    schema = "a long, b long, size_a long, size_b long, common long, lacking array<int>"
+    return _with_texts(pairs, texts).mapInArrow(work, schema)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, min_matches: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets reach ``percent`` Jaccard similarity.
 
-    ``texts`` is ``(node, text, signature)``.  Pairs with fewer than ``min_matches``
-    equal signature coordinates are skipped before their sets are built.
+    Pairs with fewer than ``min_matches`` equal signature coordinates are skipped
+    before their sets are built.
     """
-    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("signature").alias("sig_b"))
-    pivot = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("signature").alias("sig_a"))
-    # The pivot may be shared by many pairs, so it joins last.
-    both = pairs.join(other, "b").join(pivot, "a")
-    both = both.select("a", "b", *[F.col(f"text_{x}").cast("binary").alias(f"text_{x}") for x in "ab"], "sig_a", "sig_b")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, text_a, text_b, sig_a, sig_b = (c.to_pylist() for c in batch.columns)
             keep = []
-            last_text, last_set = None, None
+            last_text, pivot = None, None
             for i in range(len(a)):
                 if min_matches:
                     same = np.frombuffer(sig_a[i], np.uint32) == np.frombuffer(sig_b[i], np.uint32)
                     if np.count_nonzero(same) < min_matches:
                         continue
                 if text_a[i] != last_text:
-                    last_text, last_set = text_a[i], next(hashing.shingle_sets([text_a[i]], shingle))
+                    last_text, pivot = text_a[i], next(hashing.shingle_sets([text_a[i]], shingle))
                 mine = next(hashing.shingle_sets([text_b[i]], shingle))
-                common = hashing.overlap(last_set, mine)
-                if 100 * common >= percent * (len(last_set) + len(mine) - common):
+                common = int(np.count_nonzero(hashing.contained(mine, pivot)))
+                if 100 * common >= percent * (len(pivot) + len(mine) - common):
                     keep.append(i)
-            yield pa.RecordBatch.from_pydict(
-                {"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())}
-            )
+            index = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index)], names=["a", "b"])
+
+    return _with_texts(pairs, texts).mapInArrow(work, "a long, b long").distinct()
 
-    return both.mapInArrow(check, "a long, b long").distinct()
+
+def similar_sizes(left: str, right: str, percent: int) -> Column:
+    """Sets whose sizes allow a Jaccard similarity of ``percent`` at all."""
+    a, b = F.col(f"{left}.size"), F.col(f"{right}.size")
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def link(hits: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verified links ``(a, b)`` that give the components of all verified pairs sharing a list."""
-    first = materialize(verify(pivot_pairs(hits)), "links")
-    second = verify(cross_pairs(hits, components(first), near))
-    return first.union(materialize(second, "links"))
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+
+
+def remaining_pairs(against: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may be linked though their labels ``found`` differ, given ``compared`` rows.
+
+    Pairs with the pivot itself have been compared already.
+    """
+    direct = 100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
+    members = against.select(
+        "a", F.col("b").alias("node"), F.col("size_b").alias("size"), "size_a", "common", direct.alias("linked")
+    )
+    members = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    members = materialize(members, "members")
+    groups = members.groupBy("a").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("size").alias("least")
+    )
+    groups = materialize(groups.where("lo < hi").select("a", "least"), "groups")
+    members = materialize(members.join(groups, "a"), "open")
+
+    def apart(left: str, right: str) -> Column:
+        return (F.col(f"{left}.label") != F.col(f"{right}.label")) & similar_sizes(left, right, percent)
+
+    # Members that share a shingle their pivot lacks.
+    lacking = against.select("a", F.col("b").alias("node"), "lacking")
+    lacking = lacking.join(members.select("a", "node", "size", "label"), ["a", "node"])
+    shingles = materialize(lacking, "lacking").select("a", F.explode("lacking").alias("shingle"), "node", "size", "label")
+    several = shingles.groupBy("a", "shingle").agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
+    )
+    several = several.where("lo < hi").select("a", "shingle", "n")
+    shingles = materialize(shingles.join(several, ["a", "shingle"]), "shared")
+    l, r = shingles.where(F.col("n") <= COMMON).alias("l"), shingles.where(F.col("n") <= COMMON).alias("r")
+    on = (F.col("l.a") == F.col("r.a")) & (F.col("l.shingle") == F.col("r.shingle"))
+    outside = _ordered(l.join(r, on & (F.col("l.label") < F.col("r.label")) & apart("l", "r")))
+
+    # Members whose pivot, with the common shingles, could hold all that they share.
+    extra = shingles.where(F.col("n") > COMMON).groupBy("a", "node").agg(F.count("*").alias("extra"))
+    plain = members.join(extra, ["a", "node"], "left")
+    plain = plain.withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
+    plain = materialize(plain, "bounds")
+
+    def bound(side: str, size: Column) -> Column:
+        return (100 + percent) * F.col(f"{side}.common") >= percent * (F.col(f"{side}.size") + size)
+
+    # Two members that are both linked to the pivot have one label.
+    loose = plain.alias("l").where(~F.col("l.linked") & bound("l", F.col("l.least")))
+    loose = materialize(loose.select("l.*"), "loose").alias("l")
+    r = plain.alias("r")
+    inside = loose.join(
+        r, (F.col("l.a") == F.col("r.a")) & apart("l", "r") & bound("l", F.col("r.size")) & bound("r", F.col("l.size"))
+    )
+    return outside.union(_ordered(inside)).distinct()
+
+
+def link(tokens: DataFrame, texts_of, shingle: int, percent: int, min_matches: int = 0) -> DataFrame:
+    """Links ``(a, b)`` with the components of all similar pairs that share a token.
+
+    ``tokens`` is ``(token, node)``.  ``texts_of`` turns a frame of nodes into
+    ``(node, text, signature)``.
+    """
+    pairs = materialize(pivot_pairs(tokens), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = materialize(texts_of(nodes), "texts")
+    against = materialize(compared(pairs, texts, shingle, percent), "compared")
+    similar = 100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
+    first = against.where(similar).select("a", "b")
+    rest = materialize(remaining_pairs(against, components(first), percent), "rest")
+    return first.union(verified(rest, texts, shingle, percent, min_matches))

@@ -13,17 +13,19 @@ from silverlode.session import configure, scratch_path
 # form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Arrow batches are cut by bytes, so that long texts do not fill a Python worker.
-ARROW_SETTINGS = {
+SETTINGS = {
+    # Arrow batches are cut by bytes, so that long texts do not fill a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    # Steps end in written tables, so a step's shuffle files can go with it.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the operators rely on (idempotent)."""
     configure(spark)
-    for key, value in ARROW_SETTINGS.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 

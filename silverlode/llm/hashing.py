@@ -168,20 +168,10 @@ def signatures(sets: Sequence[np.ndarray], coordinates: int) -> np.ndarray:
     return out
 
 
-def low_bits(signature: np.ndarray) -> np.ndarray:
-    """The lowest bit of the first 64 coordinates as one 64-bit value per row."""
-    bits = np.packbits((signature[:, :64] & 1).astype(np.uint8), axis=1, bitorder="little")
-    padded = np.zeros((len(signature), 8), np.uint8)
-    padded[:, : bits.shape[1]] = bits
-    return padded.view(np.int64).ravel()
-
-
-def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted distinct arrays."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a):
-        return 0
+def contained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which elements of ``a`` lie in ``b``, both sorted and distinct."""
+    if not len(b):
+        return np.zeros(len(a), bool)
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
-    return int(np.count_nonzero(b[at] == a))
+    return b[at] == a

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .collide import link, shared_lists, similar_sizes, verified
-from .common import materialize
+from .collide import link
+from .common import materialize, packed, unpacked
 from .components import components
 
 COORDINATES = 64
@@ -27,40 +27,27 @@ COORDINATES = 64
 MATCHES = 36
 # Postings are counted in a table of fixed size; collisions only blur the order.
 CELLS = 1 << 16
-# Of 64 one-bit sketches about 6.4 differ at a similarity of 0.8; 22 is over six deviations away.
-MOST_BITS = 22
 
-SKETCH = "doc_id long, size long, digest binary, bits long, signature binary"
+SKETCH = "doc_id long, size long, digest binary, signature binary"
 
 
 def sketches(docs: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """Set size, set digest, bit sketch and signature of every row."""
+    """Set size, set digest and signature of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            sizes, digests, bits, signs = [], [], [], []
+            sizes, digests, signs = [], [], []
             for at in range(0, len(texts), 256):
                 sets = list(hashing.shingle_sets(texts[at : at + 256], shingle))
                 full = [s for s in sets if len(s)]
-                sign = hashing.signatures(full, COORDINATES) if full else np.empty((0, COORDINATES), np.uint32)
-                low = iter(zip(sign, hashing.low_bits(sign).tolist(), strict=True))
+                sign = iter(hashing.signatures(full, COORDINATES) if full else ())
                 for s in sets:
                     sizes.append(len(s))
-                    one, bit = next(low) if len(s) else (None, None)
                     digests.append(hashing.digest(s) if len(s) else None)
-                    bits.append(bit)
-                    signs.append(one.tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.array(bits, pa.int64()),
-                    pa.array(signs, pa.binary()),
-                ],
-                names=["doc_id", "size", "digest", "bits", "signature"],
-            )
+                    signs.append(next(sign).tobytes() if len(s) else None)
+            columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "size", "digest", "signature"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
     return rows.mapInArrow(work, SKETCH)
@@ -95,7 +82,7 @@ def posting_counts(classes: DataFrame) -> np.ndarray:
 
 
 def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``(token, node, size, bits)`` of every class's prefix, rarest tokens first."""
+    """``(token, node)`` of every class's prefix, rarest tokens first."""
     prefix = COORDINATES - MATCHES + 1
     shared = classes.sparkSession.sparkContext.broadcast(counts)
 
@@ -103,17 +90,15 @@ def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _tokens(_matrix(batch.column(3)))
+            tokens = _tokens(_matrix(batch.column(1)))
             order = np.lexsort((tokens, shared.value[(tokens % np.uint64(CELLS)).astype(np.int64)]))
             chosen = np.take_along_axis(tokens, order[:, :prefix], axis=1).view(np.int64)
             offsets = np.arange(len(chosen) + 1, dtype=np.int32) * prefix
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["node", "size", "bits", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "tokens"])
 
-    posted = classes.select("node", "size", "bits", "signature").mapInArrow(
-        work, "node long, size long, bits long, tokens array<long>"
-    )
-    return posted.select(F.explode("tokens").alias("token"), "node", "size", "bits")
+    posted = classes.select("node", "signature").mapInArrow(work, "node long, tokens array<long>")
+    return posted.select(F.explode("tokens").alias("token"), "node")
 
 
 def near_duplicates(
@@ -136,22 +121,17 @@ def near_duplicates(
     """
     rows = materialize(sketches(docs, id_column, text_column, shingle), "sketches")
     linkable = rows.where("doc_id is not null and size > 0")
-    first = F.min(F.struct("doc_id", "size", "bits", "signature")).alias("first")
+    first = F.min(F.struct("doc_id", "signature")).alias("first")
     classes = linkable.groupBy("digest").agg(first)
-    classes = materialize(
-        classes.select("digest", F.col("first.doc_id").alias("node"), "first.size", "first.bits", "first.signature"),
-        "classes",
-    )
-    hits = materialize(shared_lists(postings(classes, posting_counts(classes))), "postings")
-    involved = hits.select("node").distinct().join(classes.select("node", "signature"), "node")
+    classes = classes.select("digest", F.col("first.doc_id").alias("node"), "first.signature")
+    classes = materialize(classes, "classes")
     source = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).alias("text"))
-    texts = materialize(source.join(involved, "node"), "texts")
 
-    def near(left: str, right: str):
-        differing = F.bit_count(F.col(f"{left}.bits").bitwiseXOR(F.col(f"{right}.bits")))
-        return similar_sizes(left, right, percent) & (differing <= MOST_BITS)
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        return source.join(nodes.join(classes.select("node", "signature"), "node"), "node")
 
-    links = link(hits, near, lambda pairs: verified(pairs, texts, shingle, percent, MATCHES))
+    links = link(postings(classes, posting_counts(classes)), texts_of, shingle, percent, MATCHES)
+    links = materialize(links, "links")
     named = linkable.select("doc_id", "digest").join(classes.select("digest", "node"), "digest")
     several = named.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     repeated = named.join(several.select("doc_id", "lo"), "doc_id").select("lo", "node").distinct()
@@ -166,3 +146,18 @@ def near_duplicates(
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, that with the smallest id.
+
+    Rows without an id stay.  Equal rows are one document and collapse; rows that share
+    an id with different values stay or go together.
+    """
+    groups = near_duplicates(docs, shingle, percent, id_column, text_column)
+    kept = groups.where("kept and doc_id is not null").select(F.col("doc_id").alias("of")).distinct()
+    rows = packed(docs, id=F.col(f"`{id_column}`").cast("long"))
+    named = rows.join(materialize(kept, "kept"), F.col("id") == F.col("of"), "left_semi")
+    # Equal ids already lie together, so this needs no other shuffle.
+    named = named.dropDuplicates(["id", "row"])
+    return unpacked(named.union(rows.where("id is null").dropDuplicates()), docs.columns)
