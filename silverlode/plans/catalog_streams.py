@@ -56,14 +56,16 @@ def st_2(t):
     waves = [rows.where(F.pmod(F.hash("employee_id", "created_datetime"), F.lit(2)) == i) for i in range(2)]
     schema = rows.schema
 
+    table = (target, ["employee_id", "pod_id"], ["created_datetime", "department"])
+
     def run():
-        jobs.incremental_upsert(
-            jobs.landing_stream(t.spark, landing, schema), target, f"{target}-work", checkpoint,
-            ["employee_id", "pod_id"], ["created_datetime", "department"], schema, buckets=8,
-        )
+        stream = jobs.landing_stream(t.spark, landing, schema)
+        jobs.incremental_upsert(stream, target, checkpoint, *table[1:], schema)
 
-    deliver(waves, landing, run)
-    return t.spark.read.parquet(target).drop(jobs.BUCKET)
+    deliver(waves[:1], landing, run)
+    jobs.compact_changes(t.spark, *table, schema)
+    deliver(waves[1:], landing, run)
+    return jobs.read_upserted(t.spark, *table, schema)
 
 
 @query("st_3_high_water_mark", "SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-21')")

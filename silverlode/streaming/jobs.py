@@ -105,48 +105,74 @@ def drop_version(spark: SparkSession, root: str, batch_id: int) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-BUCKET = "bucket"
+# ---- upserts as change sets ----------------------------------------------------------------
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.hash(*keys), F.lit(buckets)).alias(BUCKET)
+def _sets(spark: SparkSession, table: str) -> dict[str, list[int]]:
+    """Numbers of the ``change`` sets and the ``base`` tables below ``table``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    home = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"change": [], "base": []}
+    if home.exists(path):
+        for status in home.listStatus(path):
+            kind, _, number = status.getPath().getName().partition("=")
+            if kind in found:
+                found[kind].append(int(number))
+    return found
 
 
 def incremental_upsert(
-    stream: DataFrame,
-    table: str,
-    work: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    newest_first: Sequence[str],
-    schema: T.StructType,
-    buckets: int = 64,
+    stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
 ) -> None:
-    """Bronze -> silver: the newest row per key of table and micro-batch is kept.
+    """Bronze -> silver: every micro-batch is stored as a change set of its newest rows per key.
 
-    An older row that arrives late does not replace a newer one, so the result
-    does not depend on how deliveries were cut into batches.  The table is
-    partitioned by key hash; a batch rewrites only the buckets it touches.  Their new content is staged first and marked done, so a batch that
-    is retried after a crash replays the staged content instead of merging again
-    into a half-replaced table.  Choose ``buckets`` so that one holds a few GB.
+    A batch writes what it brings and nothing else, whatever the size of the table.
+    Readers take the newest row per key over all sets (``read_upserted``), so an older
+    row that arrives late replaces nothing and the cut of batches does not matter.  A
+    retried batch overwrites its own set.  ``compact_changes`` keeps the sets few.
     """
-    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    marker = T.StructType([T.StructField("id", T.LongType())])
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stage, done = f"{work}/stage/batch={batch_id}", f"{work}/done/batch={batch_id}"
-        if files.read_or_empty(spark, done, marker)[1] == "NO_DATA":
-            rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, key_bucket(keys, buckets))
-            touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-            current = files.read_or_empty(spark, table, full)[0].where(F.col(BUCKET).isin(touched))
-            merged = upsert.latest_per_key(current.unionByName(rows), keys, newest_first)
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-            spark.range(1).write.mode("overwrite").parquet(done)
-        staged = spark.read.schema(full).parquet(stage)
-        sinks.replace_partitions(staged, table, [BUCKET])
-
-    each_batch(stream, merge, checkpoint)
+    def put(batch: DataFrame, batch_id: int) -> None:
+        newest = upsert.latest_per_key(batch.select(*schema.fieldNames()), keys, newest_first)
+        sinks.overwrite(newest, f"{table}/change={batch_id}")
+
+    each_batch(stream, put, checkpoint)
+
+
+def read_upserted(
+    spark: SparkSession, table: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    """The newest row per key of the newest base and the change sets after it."""
+    sets = _sets(spark, table)
+    base = max(sets["base"], default=-1)
+    live = [f"{table}/base={base}"] * (base >= 0) + [f"{table}/change={n}" for n in sorted(sets["change"]) if n > base]
+    if not live:
+        return spark.createDataFrame([], schema)
+    return upsert.latest_per_key(spark.read.schema(schema).parquet(*live), keys, newest_first)
+
+
+def compact_changes(
+    spark: SparkSession, table: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
+) -> None:
+    """Merge all sets into a new base, publish it by a rename and remove what it replaces.
+
+    A job of its own, run when sets have become many.  A crash leaves the old sets in
+    use; batches may arrive meanwhile.
+    """
+    sets = _sets(spark, table)
+    last = max(sets["change"], default=-1)
+    if last <= max(sets["base"], default=-1):
+        return
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    hidden, public = hadoop_path(f"{table}/_base={last}"), hadoop_path(f"{table}/base={last}")
+    home = public.getFileSystem(spark._jsc.hadoopConfiguration())
+    merged = read_upserted(spark, table, keys, newest_first, schema)
+    sinks.overwrite(sinks.balanced(merged), hidden.toString())
+    if not home.rename(hidden, public):
+        raise RuntimeError(f"cannot publish {public.toString()}")
+    for kind, numbers in sets.items():
+        for n in numbers:
+            home.delete(hadoop_path(f"{table}/{kind}={n}"), True)
 
 
 # ---- increments, windows, deduplication -------------------------------------------------

@@ -43,8 +43,11 @@ def test_upsert_does_not_depend_on_delivery_order(spark, tmp_path, rows, order):
     for i in order:
         spark.createDataFrame(waves[i], STAFF).write.mode("append").parquet(f"{root}/in")
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/w", f"{root}/cp", ["k"], ["at"], schema, buckets=4)
-    assert rows(spark.read.parquet(f"{root}/t"), "k", "v") == [(1, "newest"), (2, "only"), (3, "late")]
+        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+        if i == 1:
+            jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
+    table = jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema)
+    assert rows(table, "k", "v") == [(1, "newest"), (2, "only"), (3, "late")]
 
 
 def test_a_batch_retried_after_a_crash_loses_nothing(spark, tmp_path, rows, monkeypatch):
@@ -53,25 +56,42 @@ def test_a_batch_retried_after_a_crash_loses_nothing(spark, tmp_path, rows, monk
 
     def run():
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/w", f"{root}/cp", ["k"], ["at"], schema, buckets=2)
+        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+
+    def crash(df, path, *rest):
+        whole(df.where("k < 5"), path, *rest)
+        raise RuntimeError("executor lost")
 
     spark.createDataFrame([(k, 1, "first") for k in range(20)], STAFF).write.parquet(f"{root}/in")
     run()
     spark.createDataFrame([(k, 2, "second") for k in range(10)], STAFF).write.mode("append").parquet(f"{root}/in")
-    whole = sinks.replace_partitions
-
-    def crash(df, path, partition_by):
-        # The worst moment: every touched partition already emptied, nothing written.
-        whole(df.where("k < 0"), path, partition_by)
-        (tmp_path / "t" / "bucket=0").rename(tmp_path / "gone")
-        raise RuntimeError("executor lost")
-
-    monkeypatch.setattr(sinks, "replace_partitions", crash)
+    whole = sinks.overwrite
+    monkeypatch.setattr(sinks, "overwrite", crash)
+    # Half of the batch's set is written; then half of a base.
     with pytest.raises(Exception, match="executor lost"):
         run()
-    monkeypatch.setattr(sinks, "replace_partitions", whole)
+    monkeypatch.setattr(sinks, "overwrite", whole)
     run()
-    assert rows(spark.read.parquet(f"{root}/t"), "k", "v") == sorted([(k, "second" if k < 10 else "first") for k in range(20)], key=repr)
+    monkeypatch.setattr(sinks, "overwrite", crash)
+    with pytest.raises(Exception, match="executor lost"):
+        jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
+    expected = sorted([(k, "second" if k < 10 else "first") for k in range(20)], key=repr)
+    assert rows(jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
+    monkeypatch.setattr(sinks, "overwrite", whole)
+    jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
+    assert rows(jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name[0] not in "._") == ["base=1"]
+
+
+def test_a_small_batch_writes_a_small_set(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    schema = spark.createDataFrame([], STAFF).schema
+    for rows_ in ([(k, 1, "first") for k in range(2000)], [(k, 2, "second") for k in range(0, 2000, 100)]):
+        spark.createDataFrame(rows_, STAFF).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(spark, f"{root}/in", schema)
+        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+    assert spark.read.parquet(f"{root}/t/change=1").count() == 20
+    assert jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema).where("v = 'second'").count() == 20
 
 
 def test_high_water_mark_of_an_empty_start(spark):
