@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, materialize
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State lies in RocksDB; its files are not pre-allocated, since there are many small stores.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def content_digest(text: Column) -> Column:
@@ -47,16 +52,18 @@ def update_state(
     source = spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
     rows = _rows(source, id_column, text_column, digest)
     seen = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("n"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         writer = seen.writeStream.outputMode("update").format("noop").option("checkpointLocation", state)
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
