@@ -168,6 +168,11 @@ def signatures(sets: Sequence[np.ndarray], coordinates: int) -> np.ndarray:
     return out
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """The lowest bits of 64 coordinates as one 64-bit value per row."""
+    return np.packbits((signature[:, :64] & 1).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()
+
+
 def contained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which elements of ``a`` lie in ``b``, both sorted and distinct."""
     if not len(b):

@@ -82,7 +82,7 @@ def posting_counts(classes: DataFrame) -> np.ndarray:
 
 
 def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``(token, node)`` of every class's prefix, rarest tokens first."""
+    """``(token, node, size, bits)`` of every class's prefix, rarest tokens first."""
     prefix = COORDINATES - MATCHES + 1
     shared = classes.sparkSession.sparkContext.broadcast(counts)
 
@@ -90,15 +90,19 @@ def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _tokens(_matrix(batch.column(1)))
+            signature = _matrix(batch.column(2))
+            tokens = _tokens(signature)
             order = np.lexsort((tokens, shared.value[(tokens % np.uint64(CELLS)).astype(np.int64)]))
             chosen = np.take_along_axis(tokens, order[:, :prefix], axis=1).view(np.int64)
             offsets = np.arange(len(chosen) + 1, dtype=np.int32) * prefix
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "tokens"])
+            bits = pa.array(hashing.low_bits(signature))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], bits, lists], names=["node", "size", "bits", "tokens"])
 
-    posted = classes.select("node", "signature").mapInArrow(work, "node long, tokens array<long>")
-    return posted.select(F.explode("tokens").alias("token"), "node")
+    posted = classes.select("node", "size", "signature").mapInArrow(
+        work, "node long, size long, bits long, tokens array<long>"
+    )
+    return posted.select(F.explode("tokens").alias("token"), "node", "size", "bits")
 
 
 def near_duplicates(
@@ -121,9 +125,9 @@ def near_duplicates(
     """
     rows = materialize(sketches(docs, id_column, text_column, shingle), "sketches")
     linkable = rows.where("doc_id is not null and size > 0")
-    first = F.min(F.struct("doc_id", "signature")).alias("first")
+    first = F.min(F.struct("doc_id", "size", "signature")).alias("first")
     classes = linkable.groupBy("digest").agg(first)
-    classes = classes.select("digest", F.col("first.doc_id").alias("node"), "first.signature")
+    classes = classes.select("digest", F.col("first.doc_id").alias("node"), "first.size", "first.signature")
     classes = materialize(classes, "classes")
     source = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).alias("text"))
 

@@ -111,7 +111,7 @@ def repeated_paragraphs(
     documents hold posts its tokens once.
     """
     places = materialize(units(docs, id_column, text_column, shingle, min_words), "paragraphs")
-    first = F.min(F.struct("doc_id", "start", "end", "tokens")).alias("first")
+    first = F.min(F.struct("doc_id", "start", "end", "size", "tokens")).alias("first")
     classes = places.groupBy("digest").agg(first, F.max("doc_id").alias("last"))
     classes = materialize(
         classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first.*", "last"), "classes"
@@ -125,7 +125,9 @@ def repeated_paragraphs(
         none = F.lit(None).cast("binary").alias("signature")
         return source.join(named, "doc_id").select("node", span.alias("text"), none)
 
-    links = link(classes.select(F.explode("tokens").alias("token"), "node"), texts_of, shingle, percent)
+    # Bands of three coordinates hardly meet by chance, so they need no sketch.
+    tokens = classes.select(F.explode("tokens").alias("token"), "node", "size", F.lit(0).cast("long").alias("bits"))
+    links = link(tokens, texts_of, shingle, percent)
     found = components(links)
     named = classes.join(found, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     clusters = named.groupBy("component_id").agg(
