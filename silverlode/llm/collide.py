@@ -29,7 +29,7 @@ from . import hashing
 from .common import materialize
 from .components import components
 
-SHORT = 8
+SHORT = 24
 COMMON = 32
 # Of 64 one-bit sketches 6.4 differ on average at a similarity of 0.8, with a deviation
 # of 2.4; 20 are over five deviations away.  Unrelated sets differ in 32.
