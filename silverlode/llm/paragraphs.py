@@ -4,6 +4,11 @@ A paragraph ends at a line end, or at the end of a sentence of at least ``SENTEN
 words.  These cuts depend on the text near them alone, so a passage pasted into other
 text is cut alike everywhere, also in the middle of a line.  Short sentences are
 joined with what follows, which keeps paragraphs long enough to be telling.
+
+Passages without such cuts of their own (short or unpunctuated sentences, lines broken
+elsewhere) are found by windows of ``WINDOW`` words, compared exactly.  They begin where
+the words' hash is least among ``EVERY`` neighbours, so whatever stands around an exact
+copy of ``n`` words and however it is cut, neighbouring windows cover ``n - 22`` of them.
 """
 
 from __future__ import annotations
@@ -21,6 +26,11 @@ from .common import materialize, packed, unpacked
 from .components import components
 
 SENTENCE = 12
+# Windows follow each other by EVERY words at most, so they leave no gap, and 47 equal
+# words hold 25 that are covered.
+WINDOW = 13
+EVERY = 12
+ANCHOR = 3
 # 6 bands of 3 coordinates: a pair of similarity 0.8 meets with a probability of
 # 1 - (1 - 0.8**3)**6 = 0.986, one of 0.9 with 0.9996, an equal one always.
 BANDS = 6
@@ -42,26 +52,62 @@ def cuts(text: bytes, starts: np.ndarray, ends: np.ndarray, sentence: int) -> np
     return at[(length >= sentence) | line_end[at]]
 
 
+def _sliding(values: np.ndarray, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over every ``EVERY`` neighbouring values."""
+    out, width = values, 1
+    while width < EVERY:
+        step = min(width, EVERY - width)
+        out, width = pick(out[:-step], out[step:]), width + step
+    return out
+
+
+def windows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every window; texts of fewer than ``WINDOW + EVERY`` words have none."""
+    if len(words) < WINDOW + EVERY:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    keys = hashing.shingle_hashes(words, ANCHOR)
+    edge = np.zeros(EVERY - 1, np.uint64)
+    # Least of some run of neighbours: the largest of the least values of its runs is its own.
+    least = np.concatenate((edge, _sliding(keys, np.minimum), edge))
+    at = np.flatnonzero(_sliding(least, np.maximum) == keys)
+    at = at[at + WINDOW <= len(words)]
+    hashes = hashing.shingle_hashes(words, WINDOW)[at]
+    if np.any(hashes[1:] == hashes[:-1]):
+        # Text that repeats itself: equal windows do not overlap.
+        last: dict[int, int] = {}
+        keep = []
+        for i, (place, value) in enumerate(zip(at.tolist(), hashes.tolist(), strict=True)):
+            if place - last.get(value, -WINDOW) >= WINDOW:
+                last[value] = place
+                keep.append(i)
+        at, hashes = at[keep], hashes[keep]
+    return at, hashes
+
+
 def units(
     docs: DataFrame, id_column: str, text_column: str, shingle: int, min_words: int, sentence: int = SENTENCE
 ) -> DataFrame:
     """Paragraphs of at least ``min_words`` words with place, set size, digest and band tokens.
 
-    ``start`` and ``end`` count characters, ``first`` and ``words`` count words.
+    Whatever has the length at which sentences are cut is judged too.  ``start`` and
+    ``end`` count characters, ``first`` and ``words`` count words.  Windows have a hash
+    of 8 bytes as digest and neither size nor tokens.
     """
+    shortest = min(min_words, sentence)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             sets = []
+            marks: list[list] = [[] for _ in range(5)]
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = (text or b"").lower()
                 words, starts, ends = hashing.text_words(text)
-                if len(words) < min_words:
+                if len(words) < shortest:
                     continue
                 last = cuts(text, starts, ends, sentence)
                 first = np.concatenate(([0], last[:-1] + 1))
-                long = last + 1 - first >= min_words
+                long = last + 1 - first >= shortest
                 chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
                 for a, b in zip(first[long].tolist(), last[long].tolist(), strict=True):
                     values = hashing.distinct(hashing.shingle_hashes(words[a : b + 1], shingle))
@@ -69,6 +115,12 @@ def units(
                     row = (doc, int(chars[starts[a]]), int(chars[ends[b]]), a, len(values), b + 1 - a, hashing.digest(words[a : b + 1]))
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
+                at, hashes = windows(words)
+                if len(at):
+                    place = (np.full(len(at), doc), chars[starts[at]], chars[ends[at + WINDOW - 1]], at, hashes)
+                    for column, values in zip(marks, place, strict=True):
+                        column.append(values)
+            names = [f.split()[0] for f in UNITS.split(", ")]
             if sets:
                 sign = hashing.signatures(sets, BANDS * ROWS).astype(np.uint64).reshape(-1, BANDS, ROWS)
                 factors = hashing.constants(BANDS * ROWS, 91).reshape(BANDS, ROWS)
@@ -76,7 +128,14 @@ def units(
                 offsets = np.arange(len(sets) + 1, dtype=np.int32) * BANDS
                 columns = [pa.array(c, pa.int64()) for c in out[:6]] + [pa.array(out[6], pa.binary())]
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.ravel())))
-                names = [f.split()[0] for f in UNITS.split(", ")]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+            if marks[0]:
+                *place, hashes = (np.concatenate(c) for c in marks)
+                n = len(hashes)
+                columns = [pa.array(c.astype(np.int64)) for c in place]
+                columns += [pa.nulls(n, pa.int64()), pa.array(np.full(n, WINDOW, np.int64))]
+                columns.append(pa.array(hashes.view("V8").tolist(), pa.binary()))
+                columns.append(pa.nulls(n, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
@@ -97,9 +156,12 @@ def repeated_paragraphs(
     Returns one row per recurring paragraph, survivors too: ``doc_id``, ``start`` and
     ``end`` (characters), ``words``, ``component_id`` (a number per cluster),
     ``keep_doc_id`` and ``keep_start`` (the cluster's first paragraph by id and place)
-    and ``kept`` (true for that one).  Paragraphs of fewer than ``min_words`` words are
-    not judged, and a run of neighbouring recurring paragraphs counts from
-    ``min_span`` words on, so stock phrases stay.
+    and ``kept`` (true for that one).  Paragraphs of fewer than ``min_words`` and
+    ``SENTENCE`` words are not judged, and a run of neighbouring recurring paragraphs
+    counts from ``min_span`` words on, so stock phrases stay.
+
+    Windows that recur exactly are rows as well, in clusters of their own, of negative
+    numbers.  They overlap with paragraphs and each other.
 
     * Null or empty texts have no paragraph; rows without an id take no part.
     * A paragraph that recurs only under its own id (in one text, or in repeated rows)
@@ -111,6 +173,8 @@ def repeated_paragraphs(
     documents hold posts its tokens once.
     """
     places = materialize(units(docs, id_column, text_column, shingle, min_words), "paragraphs")
+    marks = places.where("tokens is null")
+    places = places.where("tokens is not null")
     first = F.min(F.struct("doc_id", "start", "end", "size", "tokens")).alias("first")
     classes = places.groupBy("digest").agg(first, F.max("doc_id").alias("last"))
     classes = materialize(
@@ -131,18 +195,33 @@ def repeated_paragraphs(
     found = components(links)
     named = classes.join(found, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     clusters = named.groupBy("component_id").agg(
-        F.min(F.struct("doc_id", "start")).alias("keep"), F.max("last").alias("last")
+        F.min(F.struct("doc_id", "start", "end")).alias("keep"), F.max("last").alias("last")
     )
     clusters = clusters.where("keep.doc_id < last").drop("last")
     shared = named.select("digest", "component_id").join(clusters, "component_id")
     rows = places.select("doc_id", "start", "end", "first", "words", "digest").join(shared, "digest")
 
+    # Few windows recur, so only those are carried further.
+    several = marks.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
+    several = several.where("least < last").select("digest")
+    again = materialize(marks.join(several, "digest").drop("size", "tokens"), "windows")
+    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "start", "end")).alias("keep"))
+    firsts = materialize(firsts.withColumn("component_id", -1 - F.monotonically_increasing_id()), "first-windows")
+    rows = rows.unionByName(again.join(firsts, "digest").select(rows.columns))
+    # What overlaps the copy that stays, in a text that repeats itself, stays with it.
+    inside = (F.col("doc_id") == F.col("keep.doc_id")) & (F.col("start") > F.col("keep.start"))
+    rows = rows.where(~(inside & (F.col("start") < F.col("keep.end"))))
+
     # Neighbours: at most a judged paragraph's length of unjudged words between them.
-    order = Window.partitionBy("doc_id").orderBy("first", "digest")
-    gap = F.col("first") - F.lag(F.col("first") + F.col("words")).over(order)
-    rows = rows.withColumn("run", F.when(gap < min_words, 0).otherwise(1))
+    order = Window.partitionBy("doc_id").orderBy("first", "words", "digest")
+    until = F.col("first") + F.col("words")
+    before = F.max(until).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", before)
+    rows = rows.withColumn("run", F.when(F.col("first") - F.col("before") < min_words, 0).otherwise(1))
     rows = rows.withColumn("run", F.sum("run").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    span_words = F.sum("words").over(Window.partitionBy("doc_id", "run"))
+    # Words that several rows cover count once.
+    fresh = until - F.greatest("first", F.coalesce("before", "first"))
+    span_words = F.sum(F.greatest(fresh, F.lit(0))).over(Window.partitionBy("doc_id", "run"))
     rows = rows.withColumn("span", span_words).where(F.col("span") >= min_span)
     return rows.select(
         "doc_id",
@@ -161,7 +240,7 @@ def without_repeats(
 ) -> DataFrame:
     """``docs`` with the paragraphs that ``repeats`` marks as not kept cut out of their texts.
 
-    The spans of one document are gathered; their number is bounded by its length.
+    Overlapping spans are cut once; an earlier copy of every word that goes is left.  The spans of one document are gathered; their number is bounded by its length.
     Texts without such spans, null texts and rows without an id stay as they are.
     """
     dropped = repeats.where("not kept").groupBy(F.col("doc_id").alias("of"))
@@ -169,7 +248,7 @@ def without_repeats(
     rows = packed(docs, text_column, id=F.col(f"`{id_column}`").cast("long"), text=F.col(f"`{text_column}`"))
     cut = F.expr(
         """aggregate(spans, named_struct('at', 0L, 'text', ''),
-            (s, x) -> named_struct('at', x.end, 'text', concat(s.text,
+            (s, x) -> named_struct('at', greatest(s.at, x.end), 'text', concat(s.text,
                 substring(text, cast(s.at as int) + 1, cast(x.start - s.at as int)))),
             s -> concat(s.text, substring(text, cast(s.at as int) + 1)))"""
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,54 @@ def test_repeated_passages_are_found_inside_other_text(planted):
         assert all((r.keep_doc_id, r.keep_start) == first for r in group)
 
 
+def short_sentences(seed, n):
+    """``n`` invented words in sentences of 3 to 15 words."""
+    rng, out = random.Random(seed), []
+    while len(out) < n:
+        sentence = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(rng.randint(3, 15))]
+        sentence[-1] += "."
+        out += sentence
+    return " ".join(out[:n])
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda s, n: " ".join(w.replace(".", "") + "." * (i % 13 == 12) for i, w in enumerate(prose(s, n).split())),
+        short_sentences,
+        lambda s, n: prose(s, n).replace(".", ""),
+        lambda s, n: prose(s, n).replace(".", ".***"),
+    ],
+    ids=["thirteen words", "three to fifteen words", "no sentences", "marks behind the stop"],
+)
+def test_passages_of_any_sentences_are_found_in_the_middle_of_a_line(llm, make):
+    rows, passages = [], {}
+    for k in range(25):
+        passages[k] = make(1000 + k, 51 + k)
+        for copy in range(2):
+            around = [make(5000 + 10 * k + 5 * copy + side, 23 + 9 * copy + k) for side in range(2)]
+            rows.append((2 * k + copy, f"{around[0]} {passages[k]} {around[1]}"))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    found = repeated_paragraphs(docs)
+    covered = collections.defaultdict(set)
+    for r in found.collect():
+        covered[r.doc_id] |= set(range(r.start, r.end))
+    left = {r.doc_id: r.text for r in without_repeats(docs, found).collect()}
+    for i, text in rows:
+        at = text.index(passages[i // 2])
+        inside = set(range(at, at + len(passages[i // 2])))
+        assert len(covered[i] & inside) > 0.4 * len(inside) and len(covered[i] - inside) < 0.25 * len(inside)
+        # The first copy stays whole, the second loses what was found.
+        assert left[i] == (text if i % 2 == 0 else "".join(c for at, c in enumerate(text) if at not in covered[i]))
+
+
+def test_a_text_that_repeats_itself_keeps_one_copy(llm):
+    docs = llm.createDataFrame([(1, "la li lu " * 40), (2, "la li lu " * 40)], "doc_id long, text string")
+    found = repeated_paragraphs(docs)
+    left = {r.doc_id: r.text.split() for r in without_repeats(docs, found).collect()}
+    assert len(left[1]) >= 13 and len(left[2]) < 60
+
+
 def test_paragraph_clusters_equal_brute_force(llm):
     rows = [(i, edited(prose(i % 7, 20), i, i % 3)) for i in range(70)]
     docs = llm.createDataFrame(rows, "doc_id long, text string")
