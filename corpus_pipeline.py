@@ -45,8 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out, so that sources reach their target weights."""
     prepare(spark)
-    counts = mixing.mix_counts(docs, SOURCE_WEIGHTS, BUDGET_SHARE, MAX_EPOCHS)
-    return mixing.mixed(docs, counts)
+    return mixing.mixed_rows(docs, SOURCE_WEIGHTS, BUDGET_SHARE, MAX_EPOCHS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

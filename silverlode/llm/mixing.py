@@ -74,6 +74,17 @@ def order_key(doc_id: Column, text: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), name))
 
 
+def measures(docs: DataFrame, seed: int, id_column: str, text_column: str, source_column: str) -> dict[str, Column]:
+    """What decides how often a row is taken: its id, source, words and place."""
+    doc_id, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`").cast("string")
+    return {
+        "doc_id": doc_id,
+        "source": F.col(f"`{source_column}`").cast("string"),
+        "size": word_count(text),
+        "key": order_key(doc_id, text, seed),
+    }
+
+
 def mix_counts(
     docs: DataFrame,
     weights: Sequence[int],
@@ -100,14 +111,17 @@ def mix_counts(
     * Other columns are not read; an empty table gives an empty result.
     * The words taken of a source miss its target by half of one document at most.
     """
-    doc_id, text = F.col(id_column).cast("long"), F.col(text_column).cast("string")
-    sizes = docs.select(
-        doc_id.alias("doc_id"),
-        F.col(source_column).cast("string").alias("source"),
-        word_count(text).alias("size"),
-        order_key(doc_id, text, seed).alias("key"),
-    )
-    sizes = materialize(sizes, "sizes")
+    own = measures(docs, seed, id_column, text_column, source_column)
+    sizes = materialize(docs.select(*[c.alias(n) for n, c in own.items()]), "sizes")
+    joined = repeated(sizes, source_plan(sizes, weights, budget_share, max_epochs))
+    return joined.select(
+        "doc_id", "source", "key", "size", "source_size", "target", "repeats",
+        (F.col("size") * F.col("repeats")).cast("long").alias("taken"),
+    )
+
+
+def source_plan(sizes: DataFrame, weights: Sequence[int], budget_share: float, max_epochs: int) -> DataFrame:
+    """Per source ``of``: target, whole epochs and where its seeded order is cut."""
     ranked = ranked_sources(sizes)
     turn = F.array(*[F.lit(w) for w in weights])
     weighted = ranked.withColumn("weight", turn[(F.col("rank") % len(weights)).cast("int")])
@@ -138,25 +152,48 @@ def mix_counts(
     cut = cut.select(F.col("source").alias("cut_of"), "cut")
     plan = plan.join(cut, F.col("of").eqNullSafe(F.col("cut_of")), "left")
     plan = plan.join(last, F.col("of").eqNullSafe(F.col("last_of")), "left")
-    plan = materialize(plan.select("of", "source_size", "target", "whole", "extra", "cut", "last"), "plan")
+    return materialize(plan.select("of", "source_size", "target", "whole", "extra", "cut", "last"), "plan")
 
+
+def repeated(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with their source's plan and their own ``repeats``."""
+    cell = F.substring("key", 1, HEX)
     more = (F.col("extra") > 0) & (
         (cell < F.col("cut"))
         | ((cell == F.col("cut")) & (F.struct("key", "doc_id", "size") <= F.col("last")))
     )
     repeats = (F.col("whole") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)).cast("int")
-    joined = sizes.join(plan, same).withColumn("repeats", repeats)
-    return joined.select(
-        "doc_id", "source", "key", "size", "source_size", "target", "repeats",
-        (F.col("size") * F.col("repeats")).cast("long").alias("taken"),
-    )
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("repeats", repeats)
+
+
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[int],
+    budget_share: float,
+    max_epochs: int = 2,
+    seed: int = 17,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """``docs`` with every row repeated by its own count of ``mix_counts``; others go.
+
+    Rows without an id, and rows that share one, are counted by themselves, so the words
+    of each source are those that ``mix_counts`` takes.
+    """
+    own = measures(docs, seed, id_column, text_column, source_column)
+    sizes = materialize(docs.select(*[c.alias(n) for n, c in own.items()]), "sizes")
+    counted = repeated(packed(docs, **own), source_plan(sizes, weights, budget_share, max_epochs))
+    counted = counted.where("repeats > 0")
+    return unpacked(counted.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats")))), docs.columns)
 
 
 def mixed(docs: DataFrame, counts: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with every document repeated as often as ``counts`` says; others go.
 
     Rows of ``docs`` that share an id are repeated alike, by the largest count of the
-    id.  Rows without an id are dropped: nothing tells which count is theirs.
+    id.  Rows without an id are dropped: nothing tells which count is theirs.  Where
+    ids may be null or shared, ``mixed_rows`` repeats each row by its own count.
     """
     per_id = counts.groupBy(F.col("doc_id").alias("of")).agg(F.max("repeats").alias("repeats"))
     rows = packed(docs, id=F.col(f"`{id_column}`").cast("long"))

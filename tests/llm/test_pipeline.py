@@ -11,7 +11,7 @@ import corpus_pipeline
 from silverlode.llm import toxicity
 from silverlode.llm.common import materialize
 from silverlode.llm.queries import QUERIES, sentencepiece_model
-from tests.llm.conftest import words
+from tests.llm.conftest import prose, words
 from tests.llm.test_duplicates import brute_components
 from tests.llm.test_filters import brute_lines
 from tests.llm.test_mixing_tokens_vectors import brute_mix
@@ -67,6 +67,25 @@ def test_sources_reach_their_targets(stages):
     assert all(abs(taken[s] - t) <= longest[s] / 2 + 1e-6 for s, t in target.items()) and max(times.values()) <= 2
 
 
+def test_mixing_counts_rows_without_an_id_and_rows_that_share_one_by_themselves(llm):
+    # Every source holds null ids and ids that it shares with others.
+    rows = [(i if i % 4 else None, prose(i, 5 + i % 40), "abcdef"[i % 6]) for i in range(300)]
+    rows += [(i, prose(900 + i, 20 + i % 7), "abcdef"[(i + 1) % 6]) for i in range(1, 300, 9)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.mix_sources(llm, docs, SMALL)
+    assert out.columns == docs.columns
+    times = collections.Counter((r.doc_id, r.text, r.source) for r in out.collect())
+    target, _ = brute_mix(rows, (5, 2, 1), "1.5", 2)
+    taken, longest = collections.Counter(), collections.Counter()
+    for row in rows:
+        n = len(words(row[1]))
+        taken[row[2]] += n * times[row]
+        longest[row[2]] = max(longest[row[2]], n)
+    assert set(times) <= set(rows) and max(times.values()) == 2
+    assert any(i is None for i, *_ in times)
+    assert all(abs(taken[s] - t) <= longest[s] / 2 + 1e-6 for s, t in target.items())
+
+
 def test_tokens_are_those_of_sentencepiece(stages):
     theirs = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model())
     expected = sorted((r.doc_id, theirs.encode(r.text)) for r in stages[4].collect())
