@@ -265,33 +265,56 @@ def _complete(config: DataFrame, arrivals: DataFrame) -> DataFrame:
     return gate.where("status = 'COMPLETE'").select("pod_id", "company")
 
 
-LAST_SENT = T.StructType([T.StructField("alert_rule_id", T.StringType()), T.StructField("last_sent", T.LongType())])
+ALERT_MINUTES = T.StructType(
+    [
+        T.StructField("alert_rule_id", T.StringType()),
+        T.StructField("cooldown_minutes", T.IntegerType()),
+        T.StructField("minute", T.LongType()),
+        T.StructField("firings", T.LongType()),
+    ]
+)
 
 
 def alert_stream(
     stream: DataFrame, rules: DataFrame, state: str, sent: str, checkpoint: str
 ) -> None:
-    """Evaluate rules on arriving runs and write the alerts that pass the cooldown.
-
-    State is the last minute sent per rule.
+    """Evaluate rules on arriving runs and keep the alerts that pass the cooldown.
+
+    State are the firing minutes per rule with their number of firings, one row per
+    rule and minute however many runs arrive.  Every batch adds its firings and decides
+    all minutes anew in their own order, so the result is that of one batch over all
+    runs, whatever the cut and the order of the deliveries.  ``sent`` holds a whole
+    table per batch, the last two of them; ``alerts_sent`` reads the newest.  A run that
+    comes late may add an alert, and take back one that its alert's cooldown covers.
     """
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        last = read_version(spark, state, batch_id - 1, LAST_SENT)
-        minutes = alerts.firing_minutes(alerts.evaluate_alerts(batch, rules))
-        decided = alerts.apply_cooldown(minutes, last).where("sent").drop("sent")
-        decided.write.mode("overwrite").parquet(version_path(sent, batch_id))
-        written = spark.read.schema(decided.schema).parquet(version_path(sent, batch_id))
-        newest = last.unionByName(written.select("alert_rule_id", F.col("minute").alias("last_sent")))
-        newest.groupBy("alert_rule_id").agg(F.max("last_sent").alias("last_sent")).write.mode("overwrite").parquet(
-            version_path(state, batch_id)
+        known = read_version(spark, state, batch_id - 1, ALERT_MINUTES)
+        arrived = alerts.firing_minutes(alerts.evaluate_alerts(batch, rules)).select(ALERT_MINUTES.names)
+        minutes = known.unionByName(arrived).groupBy("alert_rule_id", "minute").agg(
+            F.max("cooldown_minutes").alias("cooldown_minutes"), F.sum("firings").alias("firings")
         )
-        drop_version(spark, state, batch_id - 2)
+        minutes.write.mode("overwrite").parquet(version_path(state, batch_id))
+        decided = alerts.apply_cooldown(read_version(spark, state, batch_id, ALERT_MINUTES))
+        decided.where("sent").select(ALERT_MINUTES.names).write.mode("overwrite").parquet(version_path(sent, batch_id))
+        for root in (state, sent):
+            drop_version(spark, root, batch_id - 2)
 
     each_batch(stream, evaluate, checkpoint)
 
 
+def alerts_sent(spark: SparkSession, sent: str) -> DataFrame:
+    """The alerts of all runs that have arrived, empty before the first batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sent)
+    home = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in home.listStatus(path)] if home.exists(path) else []
+    # A version is whole once its job has been committed.
+    whole = [n for n in names if home.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{sent}/{n}/_SUCCESS"))]
+    newest = max((int(n.partition("=")[2]) for n in whole if n.startswith("version=")), default=-1)
+    return read_version(spark, sent, newest, ALERT_MINUTES)
+
+
 def all_versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Union of what every micro-batch wrote."""
     return files.read_or_empty(spark, root, schema)[0]

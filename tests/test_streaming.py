@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.operators import alerts
 from silverlode.sources import sinks
 from silverlode.streaming import jobs
 
@@ -143,3 +146,32 @@ def test_a_company_completed_by_a_new_configuration_is_released_once(spark, tmp_
 def test_lost_state_is_an_error(spark, tmp_path):
     with pytest.raises(RuntimeError, match="is gone"):
         jobs.read_version(spark, f"file://{tmp_path}/state", 3, jobs.ARRIVALS)
+
+
+RUNS = """execution_id string, pod_id string, company string, domain string, stage string, execution_start_time timestamp_ntz,
+    execution_end_time timestamp_ntz, file_arrival_time timestamp_ntz, execution_duration_seconds int,
+    data_quality_score double, status string, dbu_consumed double"""
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [2, 1, 0]])
+def test_alerts_do_not_depend_on_the_cut_and_order_of_deliveries(spark, tmp_path, rows, order):
+    root = f"file://{tmp_path}"
+    # Two runs a minute; waves end in the middle of a minute.
+    start = dt.datetime(2024, 1, 1)
+    at = [start + dt.timedelta(minutes=i // 2 * 3, seconds=30 * (i % 2)) for i in range(45)]
+    runs = [(f"e{i:02d}", "p", "c", "d", "s", t, t, t, 100, 1.0, "OK", 1.0) for i, t in enumerate(at)]
+    log = spark.createDataFrame(runs, RUNS)
+    anywhere = (None, None, None, None, 10.0, "GREATER_THAN", "HIGH", "mail", True)
+    rules = spark.createDataFrame(
+        [("free", "n", "DURATION", *anywhere, None), ("calm", "n", "DURATION", *anywhere, 10)], alerts.ALERT_RULE
+    )
+    waves = [runs[:15], runs[15:29], runs[29:]]
+    for i in order:
+        spark.createDataFrame(waves[i], RUNS).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(spark, f"{root}/in", log.schema)
+        jobs.alert_stream(stream, rules, f"{root}/state", f"{root}/sent", f"{root}/cp")
+    whole = alerts.apply_cooldown(alerts.firing_minutes(alerts.evaluate_alerts(log, rules))).where("sent")
+    columns = ["alert_rule_id", "minute", "firings"]
+    expected = rows(whole, *columns)
+    assert {r[0] for r in expected} == {"free", "calm"} and sum(r[2] for r in expected if r[0] == "free") == 45
+    assert rows(jobs.alerts_sent(spark, f"{root}/sent"), *columns) == expected
