@@ -171,8 +171,6 @@ class Encoder:
         self.whole = build(model)
         self.units = build(model)
         self.units.normalizer = self.units.pre_tokenizer = None
-        steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-        self.units.decoder = decoders.Sequence(steps)
         marker = any(text == MARK for text, _, kind in model.pieces if kind == NORMAL)
         plain = all(kind != USER_DEFINED for *_, kind in model.pieces)
         self.by_unit = marker and plain and splits_at_spaces(model)
@@ -183,10 +181,11 @@ class Encoder:
         self.place: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.empty(0, np.int32)
-        self.faithful = np.empty(0, bool)
 
-    def _split(self, text: str) -> list[str]:
-        marked = self.whole.normalizer.normalize_str(text) if self.model.rules else self._marked(text)
+    def _normal(self, text: str) -> str:
+        return self.whole.normalizer.normalize_str(text) if self.model.rules else self._marked(text)
+
+    def _split(self, marked: str) -> list[str]:
         if not self.by_unit:
             return [marked] if marked else []
         if not marked.startswith(MARK) or MARK * 2 in marked or marked.endswith(MARK):
@@ -201,37 +200,34 @@ class Encoder:
         return text.replace(" ", MARK)
 
     def _learn(self, new: list[str]) -> None:
-        """Encode and decode the units ``new``, many at a time where their ids can be told apart."""
+        """Encode the units ``new``, many at a time where their ids can be told apart."""
         single = [u for u in new if u[0] == " "]
         joined = ["".join(single[i : i + self.JOINED]) for i in range(0, len(single), self.JOINED)]
         others = [u for u in new if u[0] != " "]
         marked = [u.replace(" ", MARK) for u in joined + others]
         ids = [np.array(e.ids, np.int32) for e in self.units.encode_batch_fast(marked, add_special_tokens=False)]
-        back = self.units.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
-        same = [a.replace(MARK, " ") == b for a, b in zip(marked, back, strict=True)]
         flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
         # Exactly the first piece of a unit with one marker starts with it.
         in_joined = sum(map(len, ids[: len(joined)]))
         begins = np.concatenate((np.flatnonzero(self.opens[flat[:in_joined]]), [in_joined]))
         lengths = np.concatenate((np.diff(begins), [len(x) for x in ids[len(joined) :]])).astype(np.int64)
-        sizes = [min(self.JOINED, len(single) - i) for i in range(0, len(single), self.JOINED)] + [1] * len(others)
-        faithful = np.repeat(np.array(same, bool), sizes)
-        # Of units that do not come back together, each is looked at alone.
-        bounds = np.concatenate(([0], np.cumsum(lengths)))
-        for i in np.flatnonzero(~faithful[: len(single)]).tolist():
-            alone = self.units.decode(flat[bounds[i] : bounds[i + 1]].tolist(), skip_special_tokens=False)
-            faithful[i] = alone == single[i]
         first = len(self.place)
         self.place.update(zip(single + others, range(first, first + len(new)), strict=True))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
         self.flat = np.concatenate((self.flat, flat))
-        self.faithful = np.concatenate((self.faithful, faithful))
+
+    def _returns(self, marked: list[str], ids: list[np.ndarray]) -> np.ndarray:
+        """Whether the ids of each whole text, decoded as ``decoded`` does, give it back."""
+        back = self.whole.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        prefix = " " if self.model.dummy_prefix else ""
+        return np.array([b == m.replace(MARK, " ").removeprefix(prefix) for m, b in zip(marked, back, strict=True)], bool)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in a row, ids per text, and whether decoding gives each text back."""
         if len(self.place) > self.REMEMBERED:
             self._forget()
-        split = [self._split(t) for t in texts]
+        marked = [self._normal(t) for t in texts]
+        split = [self._split(m) for m in marked]
         new = list(dict.fromkeys(u for units in split for u in units if u not in self.place))
         if new:
             self._learn(new)
@@ -241,8 +237,8 @@ class Encoder:
         done = np.cumsum(size)
         at = np.arange(done[-1] if len(done) else 0) + np.repeat(begin - (done - size), size)
         ends = np.concatenate(([0], done))[np.cumsum(counts)]
-        lost = np.concatenate(([0], np.cumsum(~self.faithful[places])))[np.concatenate(([0], np.cumsum(counts)))]
-        return self.flat[at], np.diff(ends, prepend=0), np.diff(lost) == 0
+        flat, sizes = self.flat[at], np.diff(ends, prepend=0)
+        return flat, sizes, self._returns(marked, np.split(flat, ends[:-1]) if texts else [])
 
 
 def read_model(path: str) -> bytes:

@@ -147,6 +147,15 @@ def unigram_model(extra=b"") -> bytes:
     return out + extra + field(2, field(3, 1)) + field(3, field(1, b"identity") + field(3, 1) + field(4, 1) + field(5, 1))
 
 
+def test_round_trip_tells_of_the_ids_of_the_whole_text():
+    encoder = pieces.Encoder(pieces.parse_model(sentencepiece_model()))
+    texts = ["some words of a text", "other words", ""]
+    assert encoder.encode(texts)[2].tolist() == [True, True, True]
+    # Units are remembered with their ids; wrong ones must show in the text.
+    encoder.flat[encoder.starts[encoder.place[" some"]]] += 1
+    assert encoder.encode(texts)[2].tolist() == [False, True, True]
+
+
 def test_unigram_models_have_the_ids_of_sentencepiece():
     data = unigram_model()
     theirs = sentencepiece.SentencePieceProcessor(model_proto=data)
