@@ -55,6 +55,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def div(a: Column, b: Column) -> Column:
+    """Whole quotient of whole numbers."""
+    return F.call_function("div", a, b)
+
+
 def packed(df: DataFrame, *without: str, **named: Column) -> DataFrame:
     """The columns of ``df`` but ``without`` as one struct ``row``, next to ``named`` ones.
 

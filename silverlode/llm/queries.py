@@ -13,6 +13,7 @@ from . import mixing, site_lines
 from .exact_stream import exact_duplicates
 from .near_dup import near_duplicates
 from .paragraphs import repeated_paragraphs
+from .periodic import periodic_runs, planted, run_digests
 from .pieces import encoded, read_model
 from .registry import ORACLE_SQL, QUERIES, query, table
 from .toxicity import toxicity
@@ -107,3 +108,8 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     cleaned = site_lines.cleaned_lines(docs, F.col("source"))
     return cleaned.withColumnsRenamed({"_lines": "n_lines", "_dropped": "n_dropped"})
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    return run_digests(periodic_runs(planted(table(spark, sf_dir, "documents"))))
