@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlode.session import scratch_path
 
-from . import mixing, site_lines
+from . import chat, merkle, mixing, site_lines
 from .exact_stream import exact_duplicates
 from .near_dup import near_duplicates
 from .paragraphs import repeated_paragraphs
@@ -113,3 +113,14 @@ def op10(spark, sf_dir):
 @query("op11_periodic_runs")
 def op11(spark, sf_dir):
     return run_digests(periodic_runs(planted(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_merkle_manifest", merkle.ORACLE)
+def op12(spark, sf_dir):
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op13_chat_format", chat.ORACLE)
+def op13(spark, sf_dir):
+    messages = chat.threads(chat.with_hostile(table(spark, sf_dir, "conversations")))
+    return chat.read_back(chat.conversations(messages, "conv_id", "message", "parent"))
