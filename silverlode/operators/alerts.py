@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,37 +120,148 @@ def breaches(value: Column, operator: Column, threshold: Column) -> Column:
     )
 
 
-def evaluate_alerts(log: DataFrame, rules: DataFrame) -> DataFrame:
+OPERATORS = ("GREATER_THAN", "LESS_THAN", "EQUALS")
+# Rules up to this number, some 100 bytes each, are broadcast; beyond, runs are shuffled to their rules.
+MOST_BROADCAST = 20_000
+# Copies of the rules that name no key, so that runs meet them on a key that is not hot.
+COPIES = 16
+
+RUNG = T.StructType(
+    [
+        T.StructField("threshold_value", T.DoubleType()),
+        T.StructField("alert_rule_id", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("cooldown_minutes", T.IntegerType()),
+    ]
+)
+Kinds = dict[str, tuple[str, str]]
+
+
+def threshold_table(active: DataFrame, given: Sequence[str], kinds: Kinds) -> DataFrame:
+    """One row per combination of the ``given`` keys, with its rules sorted by threshold.
+
+    Each of ``kinds`` is the name of a column and the metric and operator of its rules.
+    """
+    rule = F.struct(*RUNG.names)
+    ladders = [
+        F.sort_array(F.collect_list(F.when((F.col("rule_type") == metric) & (F.col("threshold_operator") == operator), rule))).alias(c)
+        for c, (metric, operator) in kinds.items()
+    ]
+    return active.groupBy(*given).agg(*ladders)
+
+
+def _small_table(spark: SparkSession, active: list[Row], given: Sequence[str], kinds: Kinds) -> DataFrame:
+    """``threshold_table`` of rules that the driver holds."""
+    rows: dict[tuple, dict[str, list]] = {}
+    names = {kind: c for c, kind in kinds.items()}
+    for r in active:
+        ladders = rows.setdefault(tuple(r[k] for k in given), {c: [] for c in kinds})
+        ladders[names[r.rule_type, r.threshold_operator]].append(tuple(r[c] for c in RUNG.names))
+    for ladders in rows.values():
+        for ladder in ladders.values():
+            ladder.sort(key=lambda rule: (math.isnan(rule[0]), rule[0], rule[1]))
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in given] + [T.StructField(c, T.ArrayType(RUNG)) for c in kinds])
+    return spark.createDataFrame([(*keys, *ladders.values()) for keys, ladders in rows.items()], schema)
+
+
+def _below(rules: Column, value: Column, equal: bool) -> Column:
+    """Number of the sorted rules whose threshold lies below ``value`` (or at it), by bisection."""
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        threshold = F.get(rules, middle)["threshold_value"]
+        under = threshold <= value if equal else threshold < value
+        nearer = F.when(
+            under, F.struct((middle + 1).alias("low"), at["high"].alias("high"))
+        ).otherwise(F.struct(at["low"].alias("low"), middle.alias("high")))
+        return F.when(at["low"] < at["high"], nearer).otherwise(at)
+
+    rounds = F.sequence(F.lit(1), F.length(F.bin(F.size(rules))))
+    whole = F.struct(F.lit(0).alias("low"), F.size(rules).alias("high"))
+    return F.aggregate(rounds, whole, halve, lambda at: at["low"])
+
+
+def _may_breach(rules: Column, value: Column, operator: str) -> Column:
+    """Whether any rule of a ladder fires, by its lowest and its highest threshold."""
+    lowest, highest = F.get(rules, F.lit(0))["threshold_value"], F.get(rules, F.size(rules) - 1)["threshold_value"]
+    if operator == "GREATER_THAN":
+        return value > lowest
+    return value < highest if operator == "LESS_THAN" else (value >= lowest) & (value <= highest)
+
+
+def _breached(rules: Column, value: Column, operator: str) -> Column:
+    """The rules of a ladder that fire: up to the value, above it, or those that equal it."""
+    first = F.lit(0) if operator == "GREATER_THAN" else _below(rules, value, equal=operator == "LESS_THAN")
+    last = F.size(rules) if operator == "LESS_THAN" else _below(rules, value, equal=operator == "EQUALS")
+    # A ladder of one rule that may fire does.
+    return F.when(F.size(rules) == 1, rules).otherwise(F.slice(rules, first + 1, last - first))
+
+
+def _hit(metric: str, value: Column, rule: Column) -> Column:
+    return F.struct(F.lit(metric).alias("rule_type"), value.alias("metric_value"), rule.alias("rule"))
+
+
+def evaluate_alerts(log: DataFrame, rules: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """One firing per run and applicable rule whose threshold it breaches.
 
-    A run is joined as one row, with its metrics as columns, to the rules of its tenant;
-    only the metric a rule names is looked at.  Rules open in every key meet all runs;
-    they are not resolved per tenant but joined on the metric they name.  Keys that a
-    run lacks match open rules only.
+    Rules are compiled once: per combination of the keys they name, metric and operator
+    a ladder of thresholds in ascending order.  A run looks its ladders up by one
+    equi-join per combination that occurs (16 at most) and searches them by bisection,
+    so it stays one row until a rule fires, however many rules there are.  Rules that
+    name no key are joined on one of ``COPIES`` numbers.  Keys that a run lacks match
+    open rules only.  ``log`` may be a stream.  Up to ``most_broadcast`` rules are
+    compiled on the driver and broadcast; more are compiled and joined by shuffles.
     """
-    run = log.select(
-        "execution_id", *KEYS, F.col("execution_start_time").alias("fired_at"),
-        *[v.alias(f"_{k}") for k, v in metric_values().items()],
-    )
-    active = rules.where("enabled").select(
+    values = metric_values()
+    active = rules.where("enabled").where(F.col("rule_type").isin(*values) & F.col("threshold_operator").isin(*OPERATORS)).select(
         "alert_rule_id", *KEYS, "rule_type", "threshold_value", "threshold_operator", "severity", "cooldown_minutes"
     )
-    anywhere = functools.reduce(lambda a, b: a & b, [F.col(k).isNull() for k in KEYS])
-    detail = F.struct(*[c for c in active.columns if c not in KEYS])
-    named = resolve_wildcards(log, active.where(~anywhere), KEYS).drop("generality")
-    per_tenant = named.groupBy(*KEYS).agg(F.collect_list(detail).alias("_rules"))
-    joined = run.alias("l").join(per_tenant.alias("r"), same_keys("l", "r", KEYS))
-    own = joined.select("l.*", F.inline("r._rules"))
-    metrics = F.explode(F.array(*[F.lit(k) for k in metric_values()])).alias("rule_type")
-    common = run.select(*run.columns, metrics).join(active.where(anywhere).drop(*KEYS), "rule_type")
-    both = own.unionByName(common)
-    value = F.coalesce(*[F.when(F.col("rule_type") == k, F.col(f"_{k}")) for k in metric_values()])
-    hit = breaches(value, F.col("threshold_operator"), F.col("threshold_value"))
-    return both.where(value.isNotNull() & hit).select(
-        "alert_rule_id", "execution_id", *KEYS, "rule_type", value.alias("metric_value"), "threshold_value", "severity",
-        "cooldown_minutes", "fired_at",
+    held = active.limit(most_broadcast + 1).collect()
+    few = len(held) <= most_broadcast
+    # At most 16 combinations of keys, with 15 of metric and operator each.
+    kinds: dict[tuple, set[tuple[str, str]]] = {}
+    shape = [F.col(k).isNotNull().alias(k) for k in KEYS]
+    distinct = active.select(*shape, "rule_type", "threshold_operator").distinct()
+    for r in held if few else distinct.collect():
+        pattern = tuple(r[k] is not None if few else r[k] for k in KEYS)
+        kinds.setdefault(pattern, set()).add((r.rule_type, r.threshold_operator))
+    runs = log.select(
+        "execution_id", *KEYS, F.col("execution_start_time").alias("fired_at"), *[v.alias(f"_{k}") for k, v in values.items()]
     )
-
+    may, hits = [], []
+    for n, pattern in enumerate(sorted(kinds)):
+        given = [k for k, is_named in zip(KEYS, pattern, strict=True) if is_named]
+        columns = {f"_rules_{n}_{i}": kind for i, kind in enumerate(sorted(kinds[pattern]))}
+        if few:
+            own = [r for r in held if tuple(r[k] is not None for k in KEYS) == pattern]
+            table = _small_table(log.sparkSession, own, given, columns)
+        else:
+            same = [F.col(k).isNotNull() == F.lit(p) for k, p in zip(KEYS, pattern, strict=True)]
+            table = threshold_table(active.where(functools.reduce(lambda a, b: a & b, same)), given, columns)
+        if given:
+            on = {k: f"_of_{k}" for k in given}
+            table = table.withColumnsRenamed(on)
+        else:
+            on = {"_spread": "_copy"}
+            table = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+            runs = runs.withColumn("_spread", F.pmod(F.xxhash64("execution_id"), F.lit(COPIES)).cast("int"))
+        meet = functools.reduce(lambda a, b: a & b, [F.col(left) == F.col(right) for left, right in on.items()])
+        runs = runs.join(F.broadcast(table) if few else table, meet, "left").drop(*on.values())
+        for column, (metric, operator) in columns.items():
+            ladder, value = F.col(column), F.col(f"_{metric}")
+            may.append(F.coalesce(_may_breach(ladder, value, operator), F.lit(False)))
+            found = _breached(ladder, value, operator)
+            hits.append(F.when(may[-1], F.transform(found, functools.partial(_hit, metric, value))))
+    if not hits:
+        nothing = f"array<struct<rule_type:string,metric_value:double,rule:{RUNG.simpleString()}>>"
+        may, hits = [F.lit(False)], [F.array().cast(nothing)]
+    fired = runs.where(functools.reduce(lambda a, b: a | b, may)).select(
+        "execution_id", *KEYS, "fired_at", F.explode(F.flatten(F.array_compact(F.array(*hits)))).alias("hit")
+    )
+    return fired.select(
+        "hit.rule.alert_rule_id", "execution_id", *KEYS, "hit.rule_type", "hit.metric_value", "hit.rule.threshold_value",
+        "hit.rule.severity", "hit.rule.cooldown_minutes", "fired_at",
+    )
 
 
 # ---- cooldown ---------------------------------------------------------------------------

@@ -435,23 +435,36 @@ def gov_30(t):
 
 # ---- alerts and retries ------------------------------------------------------------------------------------------
 
-# The rules and policies the alert and retry queries run with.
+# Rules for the cases the alert queries must show: every operator, every metric, keys
+# given alone and together, ladders of several thresholds, one rule that is off, one
+# that names a tenant without runs.
 ALERT_ROWS = [
-    ("rule-1", "Quality floor", "QUALITY", None, None, None, None, 92.5, "LESS_THAN", "CRITICAL", "PAGERDUTY", True, 45),
-    ("rule-2", "Slow cleansing", "DURATION", None, None, None, "bronze_to_silver", 600.0, "GREATER_THAN", "WARNING", "SLACK", True, 30),
-    ("rule-3", "Dear runs of pod A", "COST", "podA", None, None, None, 10.0, "GREATER_THAN", "INFO", "EMAIL", True, 120),
-    ("rule-4", "Company 1 failed", "ERROR_RATE", "podB", "company_1", None, None, 100.0, "EQUALS", "CRITICAL", "PAGERDUTY", True, 15),
-    ("rule-5", "Switched off", "QUALITY", None, None, None, None, 101.0, "LESS_THAN", "INFO", "EMAIL", False, 5),
-    ("rule-6", "Long wait", "SLA", None, None, None, None, 28800.0, "GREATER_THAN", "WARNING", "TEAMS", True, None),
-    ("rule-7", "Payroll failed", "ERROR_RATE", None, None, "payroll", None, 50.0, "GREATER_THAN", "CRITICAL", "PAGERDUTY", True, 10),
+    ("any-eq", "Failure of any run", "ERROR_RATE", None, None, None, None, 100.0, "EQUALS", "WARNING", "TEAMS", True, None),
+    ("any-lt-1", "Score in the lowest fifth", "QUALITY", None, None, None, None, 85.0, "LESS_THAN", "WARNING", "TEAMS", True, 7),
+    ("any-lt-2", "Score at the bottom", "QUALITY", None, None, None, None, 82.0, "LESS_THAN", "CRITICAL", "PHONE", True, 3),
+    ("any-gt", "Answer later than half a day", "SLA", None, None, None, None, 43200.0, "GREATER_THAN", "INFO", "DIGEST", True, 90),
+    ("domain-lt", "Suspiciously short run", "DURATION", None, None, "finance", None, 20.0, "LESS_THAN", "INFO", "DIGEST", True, 240),
+    ("stage-gt-1", "Gold build above its share", "COST", None, None, None, "silver_to_gold", 6.25, "GREATER_THAN", "INFO", "DIGEST", True, 15),
+    ("stage-gt-2", "Gold build far above its share", "COST", None, None, None, "silver_to_gold", 17.5, "GREATER_THAN", "WARNING", "TEAMS", True, 15),
+    ("company-gt", "Company 11 is slow", "DURATION", None, "company_11", None, None, 700.0, "GREATER_THAN", "WARNING", "PHONE", True, 20),
+    ("pod-domain-eq", "Marked score", "QUALITY", "podD", None, "payroll", None, 96.0, "EQUALS", "INFO", "DIGEST", True, 1),
+    ("pod-company-stage-lt", "Cheap build", "COST", "podC", "company_12", None, "silver_to_gold", 2.0, "LESS_THAN", "INFO", "DIGEST", True, 60),
+    ("all-gt", "Fully named", "DURATION", "podE", "company_4", "hr", "bronze_to_silver", 50.0, "GREATER_THAN", "CRITICAL", "PHONE", True, 5),
+    ("off", "Switched off", "ERROR_RATE", None, None, None, None, -1.0, "GREATER_THAN", "CRITICAL", "PHONE", False, 2),
+    ("nobody", "Tenant without runs", "COST", "podZ", None, None, None, 0.0, "GREATER_THAN", "CRITICAL", "PHONE", True, 2),
 ]
 
+# Policies for the cases the retry queries must show: every combination of given keys, two
+# equally general ones, one that is off, one without errors, one that allows no retry.
 RETRY_ROWS = [
-    ("policy-1", "podA", "company_5", "bronze_to_silver", 4, 90, True, 1.25, ["RESOURCE_EXHAUSTED", "SCHEMA_MISMATCH"], True),
-    ("policy-2", "podA", None, "silver_to_gold", 2, 25, False, None, ["TIMEOUT"], True),
-    ("policy-3", None, None, "bronze_to_silver", 2, 45, True, 1.5, ["TIMEOUT", "TRANSIENT_ERROR"], True),
-    ("policy-4", None, None, "silver_to_gold", 3, 20, True, 3.0, ["RESOURCE_EXHAUSTED", "TRANSIENT_ERROR"], True),
-    ("policy-5", "podC", None, "bronze_to_silver", 1, 10, False, None, ["TIMEOUT"], False),
+    ("everywhere-bronze", None, None, "bronze_to_silver", 1, 5, True, 4.0, ["SCHEMA_MISMATCH"], True),
+    ("everywhere-gold-a", None, None, "silver_to_gold", 4, 75, False, None, ["TRANSIENT_ERROR", "SCHEMA_MISMATCH"], True),
+    ("everywhere-gold-b", None, None, "silver_to_gold", 9, 1, True, 1.5, ["TIMEOUT"], True),
+    ("pod-bronze", "podE", None, "bronze_to_silver", 0, 15, False, None, ["TIMEOUT"], True),
+    ("pod-gold", "podB", None, "silver_to_gold", 5, 12, True, 1.1, None, True),
+    ("company-bronze", None, "company_8", "bronze_to_silver", 3, 33, True, 2.5, ["RESOURCE_EXHAUSTED"], True),
+    ("both-gold", "podD", "company_13", "silver_to_gold", 2, 8, True, None, ["TIMEOUT", "RESOURCE_EXHAUSTED"], True),
+    ("both-off", "podA", "company_10", "bronze_to_silver", 7, 2, True, 3.0, ["TIMEOUT"], False),
 ]
 
 

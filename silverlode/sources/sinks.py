@@ -33,6 +33,12 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def overwrite_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str]) -> None:
+    """Catalog table ``name`` over ``path`` with one sorted file per bucket of ``keys``."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     out = balanced(df, *partition_by) if partition_by else df
     out.write.mode("append").partitionBy(*partition_by).parquet(path)

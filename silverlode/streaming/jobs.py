@@ -8,16 +8,15 @@ micro-batch overwrites its own output, so effects are exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions import paths
-from silverlode.operators import alerts, tenants, upsert
-from silverlode.sources import files, sinks
+from silverlode.operators import tenants
+from silverlode.sources import files
 
 
 def landing_stream(
@@ -27,22 +26,6 @@ def landing_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(file_format).load(path)
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """Start stateful queries with ``n`` state partitions.
-
-    The number is fixed for a checkpoint by its first run, whatever the session
-    uses for other shuffles; about the cores of the cluster is a good choice.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _finish(writer) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
@@ -55,31 +38,6 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
     )
 
 
-DAY = "delivery_day"
-
-
-def ingest_distinct(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], time_column: str) -> None:
-    """Landing -> bronze: append the first delivery of every key, however late it comes.
-
-    Deliveries of one key carry the same ``time_column``.  Bronze is partitioned by its
-    day, and a batch is compared with the stored keys of its own days only.  A retried
-    batch finds what it stored before, so nothing is stored twice.
-    """
-    kept = T.StructType([*stream.schema.fields, T.StructField(DAY, T.DateType())])
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        spark, day = batch.sparkSession, F.col(DAY)
-        rows = batch.withColumn(DAY, F.to_date(time_column))
-        days = [r[0] for r in rows.select(DAY).distinct().collect()]  # calendar days of one batch
-        stored = files.read_or_empty(spark, target, kept)[0].where(day.isin([d for d in days if d]) | day.isNull())
-        first = rows.dropDuplicates([*keys, DAY]).alias("l")
-        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, DAY)]
-        new = first.join(stored.select(*keys, DAY).alias("r"), same, "left_anti")
-        sinks.append(new, target, [DAY])
-
-    each_batch(stream, put, checkpoint)
-
-
 def each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     _finish(stream.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint))
 
@@ -105,76 +63,6 @@ def drop_version(spark: SparkSession, root: str, batch_id: int) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-# ---- upserts as change sets ----------------------------------------------------------------
-
-
-def _sets(spark: SparkSession, table: str) -> dict[str, list[int]]:
-    """Numbers of the ``change`` sets and the ``base`` tables below ``table``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    home = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[str, list[int]] = {"change": [], "base": []}
-    if home.exists(path):
-        for status in home.listStatus(path):
-            kind, _, number = status.getPath().getName().partition("=")
-            if kind in found:
-                found[kind].append(int(number))
-    return found
-
-
-def incremental_upsert(
-    stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
-) -> None:
-    """Bronze -> silver: every micro-batch is stored as a change set of its newest rows per key.
-
-    A batch writes what it brings and nothing else, whatever the size of the table.
-    Readers take the newest row per key over all sets (``read_upserted``), so an older
-    row that arrives late replaces nothing and the cut of batches does not matter.  A
-    retried batch overwrites its own set.  ``compact_changes`` keeps the sets few.
-    """
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        newest = upsert.latest_per_key(batch.select(*schema.fieldNames()), keys, newest_first)
-        sinks.overwrite(newest, f"{table}/change={batch_id}")
-
-    each_batch(stream, put, checkpoint)
-
-
-def read_upserted(
-    spark: SparkSession, table: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
-) -> DataFrame:
-    """The newest row per key of the newest base and the change sets after it."""
-    sets = _sets(spark, table)
-    base = max(sets["base"], default=-1)
-    live = [f"{table}/base={base}"] * (base >= 0) + [f"{table}/change={n}" for n in sorted(sets["change"]) if n > base]
-    if not live:
-        return spark.createDataFrame([], schema)
-    return upsert.latest_per_key(spark.read.schema(schema).parquet(*live), keys, newest_first)
-
-
-def compact_changes(
-    spark: SparkSession, table: str, keys: Sequence[str], newest_first: Sequence[str], schema: T.StructType
-) -> None:
-    """Merge all sets into a new base, publish it by a rename and remove what it replaces.
-
-    A job of its own, run when sets have become many.  A crash leaves the old sets in
-    use; batches may arrive meanwhile.
-    """
-    sets = _sets(spark, table)
-    last = max(sets["change"], default=-1)
-    if last <= max(sets["base"], default=-1):
-        return
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    hidden, public = hadoop_path(f"{table}/_base={last}"), hadoop_path(f"{table}/base={last}")
-    home = public.getFileSystem(spark._jsc.hadoopConfiguration())
-    merged = read_upserted(spark, table, keys, newest_first, schema)
-    sinks.overwrite(sinks.balanced(merged), hidden.toString())
-    if not home.rename(hidden, public):
-        raise RuntimeError(f"cannot publish {public.toString()}")
-    for kind, numbers in sets.items():
-        for n in numbers:
-            home.delete(hadoop_path(f"{table}/{kind}={n}"), True)
-
-
 # ---- increments, windows, deduplication -------------------------------------------------
 
 
@@ -220,6 +108,74 @@ def deduplicate(stream: DataFrame, keys: Sequence[str], time_column: str, latene
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+# ---- windows beside late rows ------------------------------------------------------------
+
+ACCOUNT = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("delivered", T.LongType()),
+        T.StructField("counted", T.LongType()),
+        T.StructField("late", T.LongType()),
+        T.StructField("newest", T.TimestampType()),
+    ]
+)
+
+
+def count_windows(stream: DataFrame, time_column: str, width: str, lateness: str, target: str, checkpoint: str) -> None:
+    """Count outcomes per tumbling window and keep the rows that come too late beside them.
+
+    A window is closed once the newest time of earlier batches, less ``lateness``, has
+    reached its end; rows for closed windows, and rows without a time, are late.  They are
+    separated before the aggregation and stored as they are, so that per batch
+    ``counted + late = delivered`` (``accounts``).  A batch stores its own partial counts,
+    which ``counted_windows`` adds up; the only state is the newest time.  A retried batch
+    overwrites its own output.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = read_version(spark, f"{target}/accounts", batch_id - 1, ACCOUNT)
+        newest = before.agg(F.max("newest")).first()[0]
+        time = F.col(time_column).cast("timestamp")
+        bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+        late = time.isNull() | F.coalesce(F.window(time, width)["end"] <= bound, F.lit(False))
+        seen = Observation()
+        watched = batch.observe(
+            seen, F.count("*").alias("delivered"), F.count_if(late).alias("late"), F.max(time).alias("newest")
+        )
+        counts = watched.where(~late).groupBy(F.window(time, width)["start"].alias("window_start")).agg(
+            F.count("*").alias("total"),
+            F.count_if(F.col("event_type") != "error").alias("succeeded"),
+            F.count_if(F.col("event_type") == "error").alias("failed"),
+        )
+        counts.write.mode("overwrite").parquet(version_path(f"{target}/counts", batch_id))
+        batch.where(late).write.mode("overwrite").parquet(version_path(f"{target}/late", batch_id))
+        # Plans of an empty batch are cut short before anything is observed.
+        told = {"delivered": 0, "late": 0, "newest": None} if batch.isEmpty() else seen.get
+        latest = max((t for t in (newest, told["newest"]) if t is not None), default=None)
+        row = (batch_id, told["delivered"], told["delivered"] - told["late"], told["late"], latest)
+        account = spark.createDataFrame([row], ACCOUNT)
+        account.coalesce(1).write.mode("overwrite").parquet(version_path(f"{target}/accounts", batch_id))
+
+    each_batch(stream, put, checkpoint)
+
+
+def counted_windows(spark: SparkSession, target: str) -> DataFrame:
+    """Figures of every window over all batches."""
+    parts = spark.read.parquet(f"{target}/counts").groupBy("window_start")
+    return parts.agg(*[F.sum(c).alias(c) for c in ("total", "succeeded", "failed")])
+
+
+def late_rows(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The rows that came after their window was closed."""
+    return all_versions(spark, f"{target}/late", schema)
+
+
+def accounts(spark: SparkSession, target: str) -> DataFrame:
+    """Per batch, what was delivered, counted and late."""
+    return spark.read.schema(ACCOUNT).parquet(f"{target}/accounts")
+
+
 # ---- stateful gates ----------------------------------------------------------------------
 
 ARRIVALS = T.StructType(
@@ -265,56 +221,6 @@ def _complete(config: DataFrame, arrivals: DataFrame) -> DataFrame:
     return gate.where("status = 'COMPLETE'").select("pod_id", "company")
 
 
-ALERT_MINUTES = T.StructType(
-    [
-        T.StructField("alert_rule_id", T.StringType()),
-        T.StructField("cooldown_minutes", T.IntegerType()),
-        T.StructField("minute", T.LongType()),
-        T.StructField("firings", T.LongType()),
-    ]
-)
-
-
-def alert_stream(
-    stream: DataFrame, rules: DataFrame, state: str, sent: str, checkpoint: str
-) -> None:
-    """Evaluate rules on arriving runs and keep the alerts that pass the cooldown.
-
-    State are the firing minutes per rule with their number of firings, one row per
-    rule and minute however many runs arrive.  Every batch adds its firings and decides
-    all minutes anew in their own order, so the result is that of one batch over all
-    runs, whatever the cut and the order of the deliveries.  ``sent`` holds a whole
-    table per batch, the last two of them; ``alerts_sent`` reads the newest.  A run that
-    comes late may add an alert, and take back one that its alert's cooldown covers.
-    """
-
-    def evaluate(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = read_version(spark, state, batch_id - 1, ALERT_MINUTES)
-        arrived = alerts.firing_minutes(alerts.evaluate_alerts(batch, rules)).select(ALERT_MINUTES.names)
-        minutes = known.unionByName(arrived).groupBy("alert_rule_id", "minute").agg(
-            F.max("cooldown_minutes").alias("cooldown_minutes"), F.sum("firings").alias("firings")
-        )
-        minutes.write.mode("overwrite").parquet(version_path(state, batch_id))
-        decided = alerts.apply_cooldown(read_version(spark, state, batch_id, ALERT_MINUTES))
-        decided.where("sent").select(ALERT_MINUTES.names).write.mode("overwrite").parquet(version_path(sent, batch_id))
-        for root in (state, sent):
-            drop_version(spark, root, batch_id - 2)
-
-    each_batch(stream, evaluate, checkpoint)
-
-
-def alerts_sent(spark: SparkSession, sent: str) -> DataFrame:
-    """The alerts of all runs that have arrived, empty before the first batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sent)
-    home = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in home.listStatus(path)] if home.exists(path) else []
-    # A version is whole once its job has been committed.
-    whole = [n for n in names if home.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{sent}/{n}/_SUCCESS"))]
-    newest = max((int(n.partition("=")[2]) for n in whole if n.startswith("version=")), default=-1)
-    return read_version(spark, sent, newest, ALERT_MINUTES)
-
-
 def all_versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Union of what every micro-batch wrote."""
     return files.read_or_empty(spark, root, schema)[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 import random
 
 import pytest
@@ -166,3 +168,75 @@ def test_runs_without_configuration_stay(spark, frames):
     assert joined.where("NOT configured AND (cost_center <> 'UNASSIGNED' OR sla_hours IS NOT NULL)").count() == 0
     costs = runs.cost_records(log, config)
     assert costs.count() == log.count()
+
+
+LOG = """execution_id string, pod_id string, company string, domain string, stage string, execution_start_time timestamp_ntz,
+    execution_end_time timestamp_ntz, file_arrival_time timestamp_ntz, execution_duration_seconds int,
+    data_quality_score double, status string, dbu_consumed double"""
+PICKED = ["alert_rule_id", "execution_id", "metric_value"]
+
+
+def random_log(spark, n, seed=1):
+    rnd, start = random.Random(seed), dt.datetime(2024, 1, 1)
+    data = []
+    for i in range(n):
+        at = start + dt.timedelta(seconds=37 * i)
+        data.append((
+            f"e{i}", rnd.choice(["a", "b", None]), rnd.choice(["x", "y", None]), rnd.choice(["hr", "pay"]), rnd.choice(["s", None]),
+            at, rnd.choice([None, at + dt.timedelta(seconds=rnd.randrange(9))]), at, rnd.choice([None, 0, 5, 10]),
+            rnd.choice([None, 80.0, 90.0, float("nan")]), rnd.choice(["OK", "FAILED"]), rnd.choice([None, 0.5, 1.5]),
+        ))
+    return spark.createDataFrame(data, LOG)
+
+
+def random_rules(spark, n, seed=2):
+    rnd = random.Random(seed)
+    data = [
+        (f"r{i}", "n", rnd.choice(["DURATION", "QUALITY", "ERROR_RATE", "COST", "SLA", "UNKNOWN"]), rnd.choice([None, None, "a", "b"]),
+         rnd.choice([None, None, "x"]), rnd.choice([None, None, "hr"]), rnd.choice([None, None, "s"]),
+         rnd.choice([0.0, 0.5, 1.0, 5.0, 85.0, 90.0, 100.0]), rnd.choice(["GREATER_THAN", "LESS_THAN", "EQUALS", "OTHER"]),
+         "HIGH", "mail", rnd.random() < 0.9, rnd.choice([None, 3]))
+        for i in range(n)
+    ]
+    return spark.createDataFrame(data, alerts.ALERT_RULE)
+
+
+def brute_firings(log, rules):
+    runs_ = log.select("execution_id", *alerts.KEYS, *[v.alias(k) for k, v in alerts.metric_values().items()])
+    out, active, metrics = [], rules.where("enabled").collect(), set(alerts.metric_values())
+    for run in runs_.collect():
+        for rule in active:
+            v = run[rule.rule_type] if rule.rule_type in metrics else None
+            if v is None or any(rule[k] is not None and rule[k] != run[k] for k in alerts.KEYS):
+                continue
+            v, t = (math.inf if math.isnan(v) else v), rule.threshold_value
+            if {"GREATER_THAN": v > t, "LESS_THAN": v < t, "EQUALS": v == t}.get(rule.threshold_operator):
+                out.append((rule.alert_rule_id, run.execution_id))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most_broadcast", [1000, 10])
+def test_firings_equal_brute_force(spark, rows, most_broadcast):
+    log, rules = random_log(spark, 150), random_rules(spark, 120)
+    found = alerts.evaluate_alerts(log, rules, most_broadcast)
+    expected = brute_firings(log, rules)
+    assert len(expected) > 500 and rows(found, "alert_rule_id", "execution_id") == expected
+
+
+def test_no_rules_fire_nothing(spark):
+    log = random_log(spark, 5)
+    assert alerts.evaluate_alerts(log, random_rules(spark, 3).limit(0)).count() == 0
+    assert alerts.evaluate_alerts(log.limit(0), random_rules(spark, 3)).count() == 0
+
+
+def test_a_run_stays_one_row_whatever_the_number_of_open_rules(spark, plan):
+    log = random_log(spark, 300)
+    anywhere = [(f"r{i}", "n", "DURATION", None, None, None, None, float(i), "GREATER_THAN", "HIGH", "mail", True, 1) for i in range(10_000)]
+    found = alerts.evaluate_alerts(log, spark.createDataFrame(anywhere, alerts.ALERT_RULE))
+    # Durations of 10 lie above the ten lowest thresholds, durations of 5 above five.
+    counts = {r[0]: r[1] for r in log.groupBy("execution_duration_seconds").count().collect()}
+    assert found.count() == 10 * counts[10] + 5 * counts[5]
+    # Rules are copied a fixed number of times; runs are turned into rows by their firings alone.
+    text = plan(found)
+    assert text.count("Generate explode") == 2
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlode.operators import alerts
 from silverlode.sources import sinks
-from silverlode.streaming import jobs
+from silverlode.streaming import changesets, jobs, keyed
 
 EVENTS = "event_id long, ts string, event_type string"
 
@@ -46,10 +46,10 @@ def test_upsert_does_not_depend_on_delivery_order(spark, tmp_path, rows, order):
     for i in order:
         spark.createDataFrame(waves[i], STAFF).write.mode("append").parquet(f"{root}/in")
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+        changesets.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
         if i == 1:
-            jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
-    table = jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema)
+            changesets.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema, 3)
+    table = changesets.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema)
     assert rows(table, "k", "v") == [(1, "newest"), (2, "only"), (3, "late")]
 
 
@@ -59,7 +59,7 @@ def test_a_batch_retried_after_a_crash_loses_nothing(spark, tmp_path, rows, monk
 
     def run():
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+        changesets.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
 
     def crash(df, path, *rest):
         whole(df.where("k < 5"), path, *rest)
@@ -75,15 +75,21 @@ def test_a_batch_retried_after_a_crash_loses_nothing(spark, tmp_path, rows, monk
         run()
     monkeypatch.setattr(sinks, "overwrite", whole)
     run()
-    monkeypatch.setattr(sinks, "overwrite", crash)
+    whole_base = sinks.overwrite_bucketed
+
+    def crash_base(df, *rest):
+        whole_base(df.where("k < 5"), *rest)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(sinks, "overwrite_bucketed", crash_base)
     with pytest.raises(Exception, match="executor lost"):
-        jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
+        changesets.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema, 3)
     expected = sorted([(k, "second" if k < 10 else "first") for k in range(20)], key=repr)
-    assert rows(jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
-    monkeypatch.setattr(sinks, "overwrite", whole)
-    jobs.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema)
-    assert rows(jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
-    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name[0] not in "._") == ["base=1"]
+    assert rows(changesets.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
+    monkeypatch.setattr(sinks, "overwrite_bucketed", whole_base)
+    changesets.compact_changes(spark, f"{root}/t", ["k"], ["at"], schema, 3)
+    assert rows(changesets.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema), "k", "v") == expected
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name[0] not in "._") == ["base=1.3"]
 
 
 def test_a_small_batch_writes_a_small_set(spark, tmp_path):
@@ -92,9 +98,9 @@ def test_a_small_batch_writes_a_small_set(spark, tmp_path):
     for rows_ in ([(k, 1, "first") for k in range(2000)], [(k, 2, "second") for k in range(0, 2000, 100)]):
         spark.createDataFrame(rows_, STAFF).write.mode("append").parquet(f"{root}/in")
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+        changesets.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
     assert spark.read.parquet(f"{root}/t/change=1").count() == 20
-    assert jobs.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema).where("v = 'second'").count() == 20
+    assert changesets.read_upserted(spark, f"{root}/t", ["k"], ["at"], schema).where("v = 'second'").count() == 20
 
 
 def test_high_water_mark_of_an_empty_start(spark):
@@ -102,20 +108,122 @@ def test_high_water_mark_of_an_empty_start(spark):
     assert jobs.high_water_mark(df, "ts").first().high_water_mark is None
 
 
-def test_late_first_deliveries_reach_bronze_once(spark, tmp_path, rows):
+def test_first_deliveries_reach_bronze_once(spark, tmp_path, rows):
     root = f"file://{tmp_path}"
     waves = [
-        [(1, "2024-01-02 10:00:00", "a"), (1, "2024-01-02 10:00:00", "a"), (None, "2024-01-02 11:00:00", "n")],
-        [(2, "2024-01-01 09:00:00", "late"), (1, "2024-01-02 10:00:00", "again"), (None, "2024-01-02 11:00:00", "n")],
+        [(1, "2024-01-02 10:00:00", "a"), (1, "2024-01-02 10:00:00", "a"), (None, "2024-01-02 11:00:00", "n"),
+         (None, "2024-01-02 11:00:00", "n")],
+        # Late, again, again under another day, and another row without a key.
+        [(2, "2024-01-01 09:00:00", "late"), (1, "2024-01-02 10:00:00", "a"), (1, "2024-03-05 10:00:00", "moved"),
+         (None, "2024-01-02 11:00:00", "n")],
         [(3, "2024-01-02 10:30:00", "c"), (4, None, "timeless")],
-        [(4, None, "timeless")],
+        [(4, None, "timeless"), (3, None, "timeless")],
+    ]
+    session = keyed.stateful_session(spark, 2)
+    for wave in waves:
+        schema = deliver(spark, f"{root}/in", wave)
+        stream = jobs.landing_stream(session, f"{root}/in", schema)
+        keyed.ingest_distinct(stream, f"{root}/out", f"{root}/cp", ["event_id"], "ts")
+    stored = spark.read.parquet(f"{root}/out")
+    expected = [(1, "a"), (2, "late"), (3, "c"), (4, "timeless")] + [(None, "n")] * 3
+    assert rows(stored, "event_id", "event_type") == sorted(expected, key=repr)
+    assert (tmp_path / "cp" / "state" / "0").exists()
+
+
+def test_keys_of_several_columns_pass_if_any_is_null(spark, tmp_path, rows):
+    root = f"file://{tmp_path}"
+    schema = "a long, b string, ts timestamp"
+    at = dt.datetime(2024, 1, 1)
+    session = keyed.stateful_session(spark, 2)
+    for _ in range(2):
+        spark.createDataFrame([(1, "x", at), (1, None, at), (None, "x", at)], schema).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(session, f"{root}/in", spark.read.parquet(f"{root}/in").schema)
+        keyed.ingest_distinct(stream, f"{root}/out", f"{root}/cp", ["a", "b"], "ts")
+    expected = [(1, "x")] + [(1, None), (None, "x")] * 2
+    assert rows(spark.read.parquet(f"{root}/out"), "a", "b") == sorted(expected, key=repr)
+
+
+def test_a_stateful_session_leaves_the_callers_settings(spark):
+    before = dict(spark.conf.getAll)
+    session = keyed.stateful_session(spark, 3)
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert dict(spark.conf.getAll) == before
+
+
+def test_the_base_is_not_shuffled_by_readers(spark, tmp_path, rows, plan):
+    root = f"file://{tmp_path}"
+    schema = spark.createDataFrame([], STAFF).schema
+    table = (f"{root}/t", ["k"], ["at"], schema)
+
+    def arrive(data):
+        spark.createDataFrame(data, STAFF).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(spark, f"{root}/in", schema)
+        changesets.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema)
+
+    arrive([(k, 1, "first") for k in range(1000)] + [(None, 1, "nobody")])
+    changesets.compact_changes(spark, *table, buckets=4)
+    clean = changesets.read_upserted(spark, *table)
+    assert "Exchange" not in plan(clean) and "Window" not in plan(clean)
+    arrive([(k, 2, "second") for k in range(0, 1000, 10)] + [(5, 0, "older"), (2000, 1, "new"), (None, 3, "nobody again")])
+    read = changesets.read_upserted(spark, *table)
+    text = plan(read)
+    # The second scan is that for rows without a key.
+    assert text.count("Bucketed: true") == 2 and text.count("PushedFilters: [IsNull(k)]") == 2 and "SelectedBucketsCount: 4 out of 4" in text
+    # Between the join and the scan of the base's buckets there is neither an exchange nor a rank.
+    left = text[text.index("SortMergeJoin") : text.index("Bucketed: true")]
+    assert "Exchange" not in left and "Window" not in left, text
+    values = {r.k: r.v for r in read.collect()}
+    assert len(values) == 1002 and values[5] == "first" and values[2000] == "new" and values[None] == "nobody again"
+    assert sum(v == "second" for v in values.values()) == 100
+    assert changesets.read_upserted(spark, *table).count() == 1002
+
+
+def test_reading_as_of_a_moment(spark, tmp_path, rows):
+    root = f"file://{tmp_path}"
+    schema = spark.createDataFrame([], STAFF).schema
+    table = (f"{root}/t", ["k"], ["at"], schema)
+    for day in range(1, 5):
+        spark.createDataFrame([(1, day, f"day {day}"), (day * 10, day, "own")], STAFF).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(spark, f"{root}/in", schema)
+        changesets.incremental_upsert(stream, f"{root}/t", f"{root}/cp", ["k"], ["at"], schema, arrived=f"2024-01-0{day} 12:00:00")
+        if day == 2:
+            changesets.compact_changes(spark, *table, buckets=2, keep=True)
+
+    def as_of(moment):
+        return rows(changesets.read_upserted(spark, *table, as_of=moment), "k", "v")
+
+    assert as_of("2024-01-01 11:59:59") == []
+    assert as_of("2024-01-01 12:00:00") == as_of("2024-01-02 11:00:00") == [(1, "day 1"), (10, "own")]
+    assert as_of("2024-01-03 00:00:00") == [(1, "day 2"), (10, "own"), (20, "own")]
+    assert as_of("2024-01-03 12:00:00") == [(1, "day 3"), (10, "own"), (20, "own"), (30, "own")]
+    assert as_of("2030-01-01 00:00:00") == rows(changesets.read_upserted(spark, *table), "k", "v")
+    changesets.compact_changes(spark, *table, buckets=2)
+    assert len(as_of("2024-01-04 12:00:00")) == 5
+    with pytest.raises(RuntimeError, match="compacted"):
+        as_of("2024-01-03 12:00:00")
+
+
+def test_counted_and_late_rows_are_all_that_was_delivered(spark, tmp_path, rows):
+    root = f"file://{tmp_path}"
+    waves = [
+        [(1, "2024-01-01 10:10:00", "error"), (2, "2024-01-01 10:50:00", "click"), (3, None, "click")],
+        [(4, "2024-01-01 15:00:00", "click"), (5, "2024-01-01 10:20:00", "click")],
+        # The newest time is 15:00, so windows that end by 13:00 are closed.
+        [(6, "2024-01-01 12:59:59", "click"), (7, "2024-01-01 13:00:00", "error"), (8, "2024-01-01 10:30:00", "error")],
+        [],
+        [(9, "2024-01-01 12:10:00", "click")],
     ]
     for wave in waves:
         schema = deliver(spark, f"{root}/in", wave)
         stream = jobs.landing_stream(spark, f"{root}/in", schema)
-        jobs.ingest_distinct(stream, f"{root}/out", f"{root}/cp", ["event_id"], "ts")
-    stored = spark.read.parquet(f"{root}/out")
-    assert rows(stored, "event_id") == sorted([(1,), (2,), (3,), (4,), (None,)], key=repr)
+        jobs.count_windows(stream, "ts", "1 hour", "2 hours", f"{root}/out", f"{root}/cp")
+    counts = {r.window_start.hour: (r.total, r.succeeded, r.failed) for r in jobs.counted_windows(spark, f"{root}/out").collect()}
+    assert counts == {10: (3, 2, 1), 15: (1, 1, 0), 13: (1, 0, 1)}
+    assert rows(jobs.late_rows(spark, f"{root}/out", schema), "event_id") == [(3,), (6,), (8,), (9,)]
+    told = jobs.accounts(spark, f"{root}/out")
+    assert told.where("counted + late <> delivered").count() == 0
+    assert told.groupBy().sum("delivered", "late").first()[:] == (9, 4)
 
 
 ARRIVED = "pod_id string, company string, domain string, file_name string"
@@ -153,25 +261,83 @@ RUNS = """execution_id string, pod_id string, company string, domain string, sta
     data_quality_score double, status string, dbu_consumed double"""
 
 
-@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [2, 1, 0]])
-def test_alerts_do_not_depend_on_the_cut_and_order_of_deliveries(spark, tmp_path, rows, order):
+ANYWHERE = (None, None, None, None, 10.0, "GREATER_THAN", "HIGH", "mail", True)
+
+
+def start_of(minute):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+
+
+def slow_run(name, at):
+    return (name, "p", "c", "d", "s", at, at, at, 100, 1.0, "OK", 1.0)
+
+
+def quiet_run(name, at):
+    return (name, "p", "c", "d", "s", at, None, at, None, None, "RUNNING", None)
+
+
+@pytest.fixture
+def alert_job(spark, tmp_path):
+    """Deliver runs to an alert stream with a bound of two hours."""
     root = f"file://{tmp_path}"
-    # Two runs a minute; waves end in the middle of a minute.
-    start = dt.datetime(2024, 1, 1)
-    at = [start + dt.timedelta(minutes=i // 2 * 3, seconds=30 * (i % 2)) for i in range(45)]
-    runs = [(f"e{i:02d}", "p", "c", "d", "s", t, t, t, 100, 1.0, "OK", 1.0) for i, t in enumerate(at)]
-    log = spark.createDataFrame(runs, RUNS)
-    anywhere = (None, None, None, None, 10.0, "GREATER_THAN", "HIGH", "mail", True)
     rules = spark.createDataFrame(
-        [("free", "n", "DURATION", *anywhere, None), ("calm", "n", "DURATION", *anywhere, 10)], alerts.ALERT_RULE
+        [("free", "n", "DURATION", *ANYWHERE, None), ("calm", "n", "DURATION", *ANYWHERE, 10)], alerts.ALERT_RULE
     )
+    session = keyed.stateful_session(spark, 2)
+
+    def run(data):
+        df = spark.createDataFrame(data, RUNS)
+        df.write.mode("append").parquet(f"{root}/in")
+        stream = jobs.landing_stream(session, f"{root}/in", df.schema)
+        keyed.alert_stream(stream, rules, "2 hours", f"{root}/out", f"{root}/cp")
+
+    run.rules, run.target = rules, f"{root}/out"
+    return run
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [2, 1, 0]])
+def test_alerts_within_the_bound_do_not_depend_on_deliveries(spark, rows, alert_job, order):
+    # Two runs a minute; waves end in the middle of a minute.
+    runs = [slow_run(f"e{i:02d}", start_of(i // 2 * 2) + dt.timedelta(seconds=30 * (i % 2))) for i in range(45)]
     waves = [runs[:15], runs[15:29], runs[29:]]
     for i in order:
-        spark.createDataFrame(waves[i], RUNS).write.mode("append").parquet(f"{root}/in")
-        stream = jobs.landing_stream(spark, f"{root}/in", log.schema)
-        jobs.alert_stream(stream, rules, f"{root}/state", f"{root}/sent", f"{root}/cp")
-    whole = alerts.apply_cooldown(alerts.firing_minutes(alerts.evaluate_alerts(log, rules))).where("sent")
+        alert_job(waves[i])
+    alert_job([quiet_run("ahead", start_of(1000))])
+    log = spark.createDataFrame(runs, RUNS)
+    whole = alerts.apply_cooldown(alerts.firing_minutes(alerts.evaluate_alerts(log, alert_job.rules))).where("sent")
     columns = ["alert_rule_id", "minute", "firings"]
     expected = rows(whole, *columns)
     assert {r[0] for r in expected} == {"free", "calm"} and sum(r[2] for r in expected if r[0] == "free") == 45
-    assert rows(jobs.alerts_sent(spark, f"{root}/sent"), *columns) == expected
+    assert rows(keyed.alerts_sent(spark, alert_job.target), *columns) == expected
+    assert keyed.late_firings(spark, alert_job.target).count() == 0
+
+
+def test_sent_alerts_stay_and_late_firings_are_counted(spark, rows, alert_job):
+    zero = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) // 60
+
+    def sent():
+        return {(r, m - zero) for r, m in rows(keyed.alerts_sent(spark, alert_job.target), "alert_rule_id", "minute")}
+
+    alert_job([slow_run("a", start_of(100)), slow_run("b", start_of(105))])
+    assert sent() == set()  # Nothing is final yet.
+    alert_job([slow_run("c", start_of(300))])
+    before = sent()
+    assert before == {("free", 100), ("free", 105), ("calm", 100)}
+    # A firing before the alert that was sent would have held it, but its minute is final.
+    alert_job([slow_run("d", start_of(95)), slow_run("e", start_of(95)), slow_run("f", start_of(185))])
+    alert_job([quiet_run("ahead", start_of(1000))])
+    assert before <= sent() and sent() - before == {("free", 185), ("calm", 185), ("free", 300), ("calm", 300)}
+    late = {(r, m - zero, n) for r, m, n in rows(keyed.late_firings(spark, alert_job.target), "alert_rule_id", "minute", "firings")}
+    assert late == {("free", 95, 2), ("calm", 95, 2)}
+    held = keyed.decided_minutes(spark, alert_job.target).where("outcome = 'held'")
+    assert [(r[0], r[1] - zero) for r in rows(held, "alert_rule_id", "minute")] == [("calm", 105)]
+
+
+def test_alert_state_and_output_do_not_grow_with_the_past(spark, tmp_path, alert_job):
+    for wave in range(6):
+        alert_job([slow_run(f"w{wave}r{i}", start_of(wave * 1000 + i)) for i in range(20)])
+    versions = keyed.decided_minutes(spark, alert_job.target).groupBy("version").count().collect()
+    # 20 minutes of two rules a wave, each written once.
+    assert sum(r["count"] for r in versions) == 5 * 40 and max(r["count"] for r in versions) == 40
+    state = spark.read.format("statestore").option("stateVarName", "open").load(f"file://{tmp_path}/cp")
+    assert state.count() == 40
