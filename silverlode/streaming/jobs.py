@@ -140,18 +140,18 @@ def count_windows(stream: DataFrame, time_column: str, width: str, lateness: str
         bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
         late = time.isNull() | F.coalesce(F.window(time, width)["end"] <= bound, F.lit(False))
         seen = Observation()
-        watched = batch.observe(
-            seen, F.count("*").alias("delivered"), F.count_if(late).alias("late"), F.max(time).alias("newest")
-        )
-        counts = watched.where(~late).groupBy(F.window(time, width)["start"].alias("window_start")).agg(
+        counts = batch.where(~late).groupBy(F.window(time, width)["start"].alias("window_start")).agg(
             F.count("*").alias("total"),
             F.count_if(F.col("event_type") != "error").alias("succeeded"),
             F.count_if(F.col("event_type") == "error").alias("failed"),
         )
         counts.write.mode("overwrite").parquet(version_path(f"{target}/counts", batch_id))
-        batch.where(late).write.mode("overwrite").parquet(version_path(f"{target}/late", batch_id))
-        # Plans of an empty batch are cut short before anything is observed.
-        told = {"delivered": 0, "late": 0, "newest": None} if batch.isEmpty() else seen.get
+        # Observed where no shuffle follows: a plan that turns out empty behind one loses its metrics.
+        watched = batch.observe(
+            seen, F.count("*").alias("delivered"), F.count_if(late).alias("late"), F.max(time).alias("newest")
+        )
+        watched.where(late).write.mode("overwrite").parquet(version_path(f"{target}/late", batch_id))
+        told = seen.get
         latest = max((t for t in (newest, told["newest"]) if t is not None), default=None)
         row = (batch_id, told["delivered"], told["delivered"] - told["late"], told["late"], latest)
         account = spark.createDataFrame([row], ACCOUNT)
