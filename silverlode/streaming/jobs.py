@@ -146,12 +146,12 @@ def count_windows(stream: DataFrame, time_column: str, width: str, lateness: str
             F.count_if(F.col("event_type") == "error").alias("failed"),
         )
         counts.write.mode("overwrite").parquet(version_path(f"{target}/counts", batch_id))
-        # Observed where no shuffle follows: a plan that turns out empty behind one loses its metrics.
+        # Observed where no shuffle follows: a plan that turns out empty loses its metrics.
         watched = batch.observe(
             seen, F.count("*").alias("delivered"), F.count_if(late).alias("late"), F.max(time).alias("newest")
         )
         watched.where(late).write.mode("overwrite").parquet(version_path(f"{target}/late", batch_id))
-        told = seen.get
+        told = {"delivered": 0, "late": 0, "newest": None} if batch.isEmpty() else seen.get
         latest = max((t for t in (newest, told["newest"]) if t is not None), default=None)
         row = (batch_id, told["delivered"], told["delivered"] - told["late"], told["late"], latest)
         account = spark.createDataFrame([row], ACCOUNT)
