@@ -36,37 +36,45 @@ def constants(n: int, salt: int) -> np.ndarray:
     return _tables[n, salt]
 
 
-def _byte_values() -> np.ndarray:
-    """A 64-bit value per byte; white space has 0."""
-    if "bytes" not in _tables:
-        _tables["bytes"] = constants(256, 77).copy()
-        _tables["bytes"][[32, 9, 10, 11, 12, 13]] = 0
-    return _tables["bytes"]
+# Places in a word that have a table of their own; later ones are mixed with their block.
+PLACES = 64
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_tables.get("up", ())) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _tables[name] = np.multiply.accumulate(steps)
-    return _tables["up"], _tables["down"]
+def _letters() -> np.ndarray:
+    """A random 64-bit value per place in a word and byte, flat."""
+    if "letters" not in _tables:
+        _tables["letters"] = mix(constants(PLACES * 256, 77))
+    return _tables["letters"]
+
+
+def _is_space() -> np.ndarray:
+    if "space" not in _tables:
+        _tables["space"] = np.zeros(256, bool)
+        _tables["space"][[32, 9, 10, 11, 12, 13]] = True
+    return _tables["space"]
 
 
 def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of every word of ``data``."""
+    """Hash, start and end of every word of ``data``.
+
+    A word's hash is the mixed sum of values drawn for each place and byte, so no
+    structure of words makes them collide; a polynomial modulo 2**64 would let words
+    of a thousand letters meet by exchanging two letters.
+    """
     codes = np.frombuffer(data, dtype=np.uint8)
-    values = _byte_values()[codes]
-    inside = values != 0
+    inside = ~_is_space()[codes]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends
-    up, down = _power_tables(len(codes))
-    sums = np.add.reduceat(values * up[: len(codes)], starts)
-    return mix(sums * down[starts]), starts, ends
+    sizes = ends - starts
+    firsts = np.cumsum(sizes) - sizes
+    place = np.arange(firsts[-1] + sizes[-1]) - np.repeat(firsts, sizes)
+    values = _letters()[(place % PLACES << 8) | codes[inside]]
+    if sizes.max() > PLACES:
+        far = np.flatnonzero(place >= PLACES)
+        values[far] = mix(values[far] + (place[far] // PLACES).astype(np.uint64) * np.uint64(_BASE))
+    return mix(np.add.reduceat(values, firsts) + sizes.astype(np.uint64)), starts, ends
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, packed, unpacked, word_count
+from .ranks import ranked
 
 HEX = 3
 
@@ -107,7 +108,7 @@ def mix_counts(
       whole part of their source's epochs, which moves no words.
     * Sources without words have the target 0 and repeat nothing.
     * Rows without an id are ordered by their text.  Rows equal in id, source and size
-      are interchangeable.
+      are interchangeable; of those at the cut as many are taken as are needed.
     * Other columns are not read; an empty table gives an empty result.
     * The words taken of a source miss its target by half of one document at most.
     """
@@ -146,8 +147,10 @@ def source_plan(sizes: DataFrame, weights: Sequence[int], budget_share: float, m
     )
     order = Window.partitionBy("d.source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(order))
-    chosen = inside.where(F.col("upto") - F.col("size") / 2 <= F.col("extra"))
-    last = chosen.groupBy("d.source").agg(F.max(F.struct("key", "doc_id", "size")).alias("last"))
+    chosen = F.col("upto") - F.col("size") / 2 <= F.col("extra")
+    equal = inside.groupBy("d.source", "key", "doc_id", "size")
+    equal = equal.agg(F.count_if(chosen).alias("ties"), F.count("*").alias("same")).where("ties > 0")
+    last = equal.groupBy("source").agg(F.max(F.struct("key", "doc_id", "size", "ties", "same")).alias("last"))
     last = last.select(F.col("source").alias("last_of"), "last")
     cut = cut.select(F.col("source").alias("cut_of"), "cut")
     plan = plan.join(cut, F.col("of").eqNullSafe(F.col("cut_of")), "left")
@@ -156,14 +159,28 @@ def source_plan(sizes: DataFrame, weights: Sequence[int], budget_share: float, m
 
 
 def repeated(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` with their source's plan and their own ``repeats``."""
-    cell = F.substring("key", 1, HEX)
-    more = (F.col("extra") > 0) & (
-        (cell < F.col("cut"))
-        | ((cell == F.col("cut")) & (F.struct("key", "doc_id", "size") <= F.col("last")))
-    )
-    repeats = (F.col("whole") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)).cast("int")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("repeats", repeats)
+    """``rows`` with their source's plan and their own ``repeats``.
+
+    ``last`` of the plan is the last row in the seeded order that is taken once more, with
+    the number of rows equal to it (``same``) and how many of these are taken (``ties``).
+    """
+    cell, here = F.substring("key", 1, HEX), F.struct("key", "doc_id", "size")
+    last = F.struct("last.key", "last.doc_id", "last.size")
+    inside = F.coalesce((F.col("extra") > 0) & (cell == F.col("cut")), F.lit(False))
+    more = ((F.col("extra") > 0) & (cell < F.col("cut"))) | (inside & (here <= last))
+
+    def counted(some: DataFrame, once_more: Column) -> DataFrame:
+        extra = F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0)
+        return some.withColumn("repeats", (F.col("whole") + extra).cast("int"))
+
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    if plan.where("last.same > last.ties").isEmpty():
+        return counted(joined, more)
+    # Some sources are cut between equal rows; these are numbered, however many they are.
+    edge = F.coalesce(inside & (here == last) & (F.col("last.same") > F.col("last.ties")), F.lit(False))
+    numbered = ranked(joined.where(edge), ["of"], ["key"], "mix-edge")
+    split = counted(numbered, F.col("rank") < F.col("last.ties")).drop("rank")
+    return counted(joined.where(~edge), more).unionByName(split)
 
 
 def mixed_rows(
@@ -179,7 +196,8 @@ def mixed_rows(
     """``docs`` with every row repeated by its own count of ``mix_counts``; others go.
 
     Rows without an id, and rows that share one, are counted by themselves, so the words
-    of each source are those that ``mix_counts`` takes.
+    of each source are those that ``mix_counts`` takes.  Nulls, empty texts, repeated rows
+    and an empty table are treated as there; extra columns may have any name.
     """
     own = measures(docs, seed, id_column, text_column, source_column)
     sizes = materialize(docs.select(*[c.alias(n) for n, c in own.items()]), "sizes")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
+from .common import packed, unpacked
 from .linear import Model, Settings, fit, scored
 
 SETTINGS = Settings()
@@ -91,6 +92,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the model rejects (columns ``doc_id`` and ``text``)."""
-    found = scored(docs, docs.columns, "text", train(docs, labels), grams, "_toxicity")
-    return found.where("_toxicity < 0.5").drop("_toxicity")
+    """``docs`` without the rows that the model rejects (columns ``doc_id`` and ``text``).
+
+    Null and empty texts have the score of the bias; extra columns may have any name.
+    """
+    rows = packed(docs, text=F.col("text").cast("string"))
+    found = scored(rows, ["row"], "text", train(docs, labels), grams, "score")
+    return unpacked(found.where("score < 0.5"), docs.columns)

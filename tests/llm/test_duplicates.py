@@ -279,3 +279,22 @@ def test_exact_duplicates_of_an_empty_table(llm, no_documents):
     no_documents.write.parquet(path)
     assert exact_duplicates(llm, path, scratch_path(llm, "state")).collect() == []
     assert DOCUMENTS.startswith("doc_id")
+
+
+def exchanged(n):
+    """Two words of ``n`` letters, one with a and b exchanged at every place; polynomials modulo 2**64 cannot tell them apart."""
+    first = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_with_exchanged_letters_have_hashes_of_their_own(llm):
+    for n in (2, 64, 65, 1024, 4096):
+        a, b = exchanged(n)
+        found = hashing.text_words(f"{a} {b} {a}".encode())[0]
+        assert found[0] == found[2] != found[1]
+    a, b = exchanged(1024)
+    docs = llm.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs, 4).collect()} == {1: 1, 2: 2, 3: 1}
+    # Whatever the place in a block, a word has one hash.
+    long = ("x" * 70 + " ") * 40_000
+    assert len(set(hashing.text_words(long.encode())[0].tolist())) == 1

@@ -240,3 +240,10 @@ def test_site_lines_of_awkward_rows(awkward, no_documents):
     left = cleaned_lines(awkward, F.col("source")).drop("_lines", "_dropped")
     assert left.exceptAll(awkward).count() == 0 == awkward.exceptAll(left).count()
     assert cleaned_lines(no_documents, F.col("source")).collect() == [] and "host" in CLASHING
+
+
+def test_rejecting_toxic_rows_keeps_columns_of_any_name(llm, awkward):
+    docs = awkward.withColumns({"_toxicity": F.lit("mine"), "row": F.lit(1)})
+    labels = llm.createDataFrame([(i, 0) for i in range(10)], "doc_id long, toxic long")
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.where("_toxicity = 'mine'").count() == kept.count() > 0

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from silverlode.llm import pieces, vectors
-from silverlode.llm.mixing import mix_counts, mixed, ranked_sources
+from silverlode.llm.mixing import mix_counts, mixed, mixed_rows, ranked_sources
 from silverlode.llm.queries import sentencepiece_model
 
 from tests.llm.conftest import AWKWARD, prose, words
@@ -80,6 +80,19 @@ def test_mixing_at_its_edges(llm, share, weights, epochs):
         assert r.target == pytest.approx(target[r.source]) and r.repeats <= epochs
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_equal_rows_are_taken_one_by_one(llm, doc_id):
+    # 150 of 100 words: every row once, and five of the ten equal ones once more.
+    rows = [(doc_id, " ".join(["same"] * 10), "a")] * 10
+    docs = llm.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    counts = mix_counts(docs, (1,), 1.5).collect()
+    assert sorted(r.taken for r in counts) == [10] * 5 + [20] * 5
+    assert mixed_rows(docs, (1,), 1.5).count() == 15
+    others = llm.createDataFrame([(i, "one two three", "b") for i in range(30)], docs.schema)
+    both = mix_counts(docs.unionByName(others), (1, 1), 1.5).groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t"))
+    assert all(abs(r.n - r.t) <= 5 for r in both.collect())
+
+
 def test_sources_are_ranked_over_partitions(llm):
     names = [f"s{i:03d}" for i in range(500)] + ["É", "é", "Z", "", None]
     sizes = llm.createDataFrame([(n, 1) for n in names], "source string, size long").repartition(8)

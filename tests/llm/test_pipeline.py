@@ -6,6 +6,7 @@ import collections
 
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from silverlode.llm import toxicity
@@ -102,3 +103,10 @@ def test_run_applies_all_stages(llm, stages):
 @pytest.mark.parametrize("number", range(1, 11))
 def test_every_operator_has_a_query(number):
     assert sum(name.startswith(f"op{number}_") for name in QUERIES) == 1
+
+
+def test_stages_keep_columns_of_any_name(llm, awkward):
+    docs = awkward.withColumns({c: F.lit("mine") for c in ("_lines", "_dropped", "_toxicity", "row", "keys", "rest", "of")})
+    for stage in (corpus_pipeline.drop_boilerplate, corpus_pipeline.drop_near_duplicates, corpus_pipeline.mix_sources):
+        kept = stage(llm, docs, SMALL)
+        assert kept.columns == docs.columns and kept.where("_lines = 'mine'").count() > 0
