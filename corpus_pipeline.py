@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm import mixing, near_dup, pieces, site_lines, toxicity
-from silverlode.llm.common import materialize, prepare
+from silverlode.llm.common import materialize, packed, prepare, unpacked
 from silverlode.llm.queries import BUDGET_SHARE, MAX_EPOCHS, SOURCE_WEIGHTS, sentencepiece_model
 from silverlode.llm.registry import table
 
@@ -25,12 +25,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on a large share of a source's documents go; ``n_chars`` follows the text.
 
-    Documents stay, if need be with an empty text.
+    Documents stay, if need be with an empty text; null texts stay null.  Extra columns
+    may have any name.
     """
     prepare(spark)
-    cleaned = site_lines.cleaned_lines(docs, F.col("source"))
-    length = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", length).select(*docs.columns)
+    text, length = F.col("text").cast("string"), F.col("n_chars")
+    rows = packed(docs, "text", "n_chars", host=F.col("source"), text=text, n_chars=length)
+    cleaned = site_lines.cleaned_lines(rows, F.col("host"))
+    length = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(length)
+    return unpacked(cleaned, docs.columns, text=F.col("text"), n_chars=length)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +46,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out, so that sources reach their target weights."""
+    """Documents repeated or left out, so that sources reach their target weights.
+
+    Texts without words move no words and come as often as their source's whole epochs
+    say.  Null sources are one source; rows without an id are rows of their own.
+    """
     prepare(spark)
     return mixing.mixed_rows(docs, SOURCE_WEIGHTS, BUDGET_SHARE, MAX_EPOCHS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every document that is left; null and empty texts have none."""
     prepare(spark)
     return pieces.encoded(docs, sentencepiece_model(), ["doc_id", "lang", "source"])
 
