@@ -590,7 +590,7 @@ def shipped(t) -> str:
 def delivery_validation(t):
     root = shipped(t)
     beside = manifests.read_manifest_lines(t.spark, root).withColumn("manifest_path", F.concat("archive", F.lit(".hash")))
-    listed = files.list_files(t.spark, root, "*.zip").select(F.col("file_name").alias("archive"))
+    listed = files.list_files(t.spark, root, "*.zip").select(files.below(t.spark, root, F.col("path")).alias("archive"))
     members = archives.member_digests(t.spark, root, "sha256").select("archive", "path", "actual")
     return integrity.validate_archives(listed, members, archives.inside_manifests(t.spark, root), beside)
 
@@ -605,6 +605,39 @@ def fi_3_delivery(t):
     return delivery_validation(t)[1]
 
 
+# The same archive names on two days: on the second every file is changed and one member has a twin path.
+TWO_DAYS_SQL = f"""days AS (SELECT n AS day, 'ACME' || ((doc_id // {DOCS_PER_ARCHIVE}) % 7) || '_HR_' || (doc_id // {DOCS_PER_ARCHIVE}) || '.zip' AS name,
+    'd/' || doc_id || '.txt' AS path, CASE WHEN n = 2 THEN 'new ' || text ELSE text END AS text FROM documents, range(1, 3) r(n))"""
+
+
+def two_days(t) -> str:
+    """Deliveries of two days in folders of their own."""
+    root, doc = scratch_path(t.spark, "days"), F.col("doc_id")
+    number = F.expr(f"doc_id div {DOCS_PER_ARCHIVE}")
+    name = F.concat(F.lit("ACME"), number % 7, F.lit("_HR_"), number, F.lit(".zip")).alias("archive")
+    for day, text in ((1, F.col("text")), (2, F.concat(F.lit("new "), "text"))):
+        members = t.table("documents").select(name, F.concat(F.lit("d/"), doc, F.lit(".txt")).alias("path"), F.encode(text, "utf-8").alias("content"))
+        deliveries.write_archives(members, f"{root}/day{day}").agg(F.sum("member_count")).first()
+    return root
+
+
+@query("fi_1_manifest_of_two_days", f"WITH {TWO_DAYS_SQL} SELECT 'day' || day || '/' || name AS archive, path, octet_length(encode(text)) AS size_bytes, sha256(text) AS actual FROM days")
+def fi_1_days(t):
+    return archives.member_digests(t.spark, two_days(t), "sha256")
+
+
+@query(
+    "fi_8_unzip_two_days",
+    f"WITH {TWO_DAYS_SQL} SELECT 'day' || day AS day, count(*) AS placed, CAST(sum(octet_length(encode(text))) AS BIGINT) AS placed_bytes FROM days GROUP BY 1",
+)
+def fi_8_days(t):
+    target = scratch_path(t.spark, "placed-days")
+    archives.place_members(t.spark, two_days(t), target).agg(F.count("*")).first()  # runs the copying job
+    found = files.list_files(t.spark, target)
+    place = F.split(files.below(t.spark, target, F.col("path")), "/")  # company/kind/day/archive/member...
+    return found.groupBy(place[2].alias("day")).agg(F.count("*").alias("placed"), F.sum("size_bytes").alias("placed_bytes"))
+
+
 @query(
     "fi_11_delivery_zones",
     f"WITH {SHIPPED_SQL} SELECT archive, status, CASE WHEN status = 'PASS' THEN 'staging' ELSE 'quarantine' END AS zone FROM job_summary",

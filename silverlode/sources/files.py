@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> tuple
         return spark.createDataFrame([], schema), "NO_DATA"
 
 
+def below(spark: SparkSession, root: str, path: Column) -> Column:
+    """``path`` relative to the folder ``root``; the file's name where it lies elsewhere or ``root`` is a pattern."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    prefix = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString().rstrip("/") + "/"
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.when(path.startswith(prefix), F.substring(path, F.lit(len(prefix) + 1), F.length(path))).otherwise(name)
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(path, file_name, size_bytes, modified_at); file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from silverlode.functions import paths
 
+from .files import below
+
 # Byte order mark, comment sign, root header and line shape.
 BOM = "﻿"
 COMMENT = "#"
@@ -15,9 +17,15 @@ LINE_REGEX = r"^\s*([0-9A-Fa-f]+)\s*\|\s*(.+?)\s*$"
 
 
 def read_manifest_lines(spark: SparkSession, path: str, glob: str = "*.hash") -> DataFrame:
-    """(archive, line): archive is the manifest file name without its extension."""
-    raw = spark.read.option("pathGlobFilter", glob).text(path)
-    name = paths.base_name(F.col("_metadata.file_path"))
+    """(archive, line) of all manifests below ``path``.
+
+    ``archive`` is the manifest's path below ``path`` without its extension, so it names
+    the archive beside which it lies.
+    """
+    raw = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    # The metadata column has the path as a URI.
+    uri = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    name = below(spark, path, F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
     return raw.select(F.regexp_replace(name, r"\.hash$", "").alias("archive"), F.col("value").alias("line"))
 
 

@@ -271,3 +271,69 @@ def test_load_conversion_reports_what_it_loses(spark):
     df = spark.createDataFrame([("1", "abc"), ("x", "abcdef"), (None, None)], "n string, t string")
     lost = sinks.lost_values(df, T.StructType.fromDDL("n int, t string"), {"t": 3})
     assert [tuple(r) for r in lost.collect()] == [("n", 1, 0), ("t", 0, 1)]
+
+
+def test_archives_of_one_name_stay_apart(spark, tmp_path):
+    for day, text in (("day1", b"one"), ("day2", b"two")):
+        (tmp_path / "in" / day).mkdir(parents=True)
+        (tmp_path / "in" / day / "ACME_HR_1.zip").write_bytes(zip_bytes({"a.txt": text}))
+        digest = hashlib.sha256(b"one").hexdigest()
+        (tmp_path / "in" / day / "ACME_HR_1.zip.hash").write_text(f"# Root: d\n{digest}|a.txt\n")
+    root = f"file://{tmp_path}/in"
+    assert {(r.archive, bytes(r.content)) for r in archives.read_members(spark, root).collect()} == {
+        ("day1/ACME_HR_1.zip", b"one"), ("day2/ACME_HR_1.zip", b"two"),
+    }
+    archives.place_members(spark, root, f"file://{tmp_path}/out").collect()
+    found = {str(p.relative_to(tmp_path / "out")): p.read_bytes() for p in (tmp_path / "out").rglob("*.txt")}
+    assert found == {"acme/hr/day1/ACME_HR_1.zip/a.txt": b"one", "acme/hr/day2/ACME_HR_1.zip/a.txt": b"two"}
+    beside = manifests.read_manifest_lines(spark, root).withColumn("manifest_path", F.lit("beside"))
+    listed = archives.list_members(spark, root).select("archive").distinct()
+    members = archives.member_digests(spark, root, "sha256").select("archive", "path", "actual")
+    _, summary = integrity.validate_archives(listed, members, archives.inside_manifests(spark, root), beside)
+    assert {r.archive: r.status for r in summary.collect()} == {"day1/ACME_HR_1.zip": "PASS", "day2/ACME_HR_1.zip": "FAIL"}
+
+
+def test_members_that_would_be_one_file_are_not_written(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with zipfile.ZipFile(tmp_path / "in" / "x.zip", "w") as z:
+        for name in ("x\\y.txt", "x/y.txt", "x//./z.txt", "x/z.txt", "x/only.txt"):
+            z.writestr(name, name)
+    placed = archives.place_members(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()
+    assert {r.member_path for r in placed if r.target_path} == {"x/only.txt"} and len(placed) == 5
+    assert [p.name for p in (tmp_path / "out").rglob("*.txt")] == ["only.txt"]
+
+
+def test_directories_are_parsed_once_and_unwanted_members_not_read(spark, tmp_path, monkeypatch):
+    content = {f"f{i}.txt": bytes([i]) * 300_000 for i in range(20)}
+    (tmp_path / "a.zip").write_bytes(zip_bytes(content))
+    with zipfile.ZipFile(tmp_path / "a.zip") as z:
+        infos = {i.filename: i for i in z.infolist()}
+    rows = archives.list_members(spark, f"{tmp_path}").toPandas()
+    # Members are read from their offsets: no directory is parsed any more.
+    monkeypatch.setattr(zipfile.ZipFile, "__init__", lambda *a, **k: pytest.fail("directory parsed again"))
+    read = {row.member_path: stream.read() for row, stream in archives._each_member(rows)}
+    assert read == content and set(rows["offset"]) == {i.header_offset for i in infos.values()}
+    monkeypatch.undo()
+    # Damaged members are noticed when they are read, and only then.
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    raw[infos["f3.txt"].header_offset + 40] ^= 0xFF
+    (tmp_path / "a.zip").write_bytes(raw)
+    with pytest.raises(Exception, match="f3.txt|decompressing"):
+        archives.read_members(spark, f"{tmp_path}").collect()
+    others = archives.read_members(spark, f"{tmp_path}", wanted=F.col("member_path") != "f3.txt")
+    assert others.count() == 19
+
+
+def test_stored_empty_and_compressed_members_are_read_alike(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("stored.bin", bytes(range(256)) * 9000, zipfile.ZIP_STORED)
+        z.writestr("packed.bin", b"ab" * 2_000_000, zipfile.ZIP_DEFLATED)
+        z.writestr("empty.bin", b"", zipfile.ZIP_DEFLATED)
+        z.writestr("ümlaut ☃.txt", "x")
+    got = {r.member_path: bytes(r.content) for r in archives.read_members(spark, f"{tmp_path}").collect()}
+    with zipfile.ZipFile(tmp_path / "a.zip") as z:
+        assert got == {n: z.read(n) for n in z.namelist()}
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_LZMA) as z:
+        z.writestr("odd.bin", "x")
+    with pytest.raises(Exception, match="method 14"):
+        archives.read_members(spark, f"{tmp_path}", "b.zip").collect()
