@@ -462,8 +462,9 @@ def src_8(t):
 
 
 def loaded_sheets(t):
-    root = delivered_workbooks(t)
-    return {s: workbooks.load_sheet(t.spark, root, s, schema) for s, schema in SHEETS.items()}
+    staged = scratch_path(t.spark, "sheets")
+    workbooks.stage_sheets(t.spark, delivered_workbooks(t), staged, SHEETS)
+    return {s: workbooks.load_staged(t.spark, staged, s, schema) for s, schema in SHEETS.items()}
 
 
 def _load_sql(sheet: str) -> str:

@@ -1,18 +1,21 @@
 """Workbook sheets (xlsx) as tall rows, and their typed projection.
 
-The unit of work is one sheet, whose size the file format itself bounds to
-1,048,576 rows; sheets are parsed as a stream and leave the task in batches.
+A book is listed once, with its sheets and their sizes.  The unit of work is a run of
+sheets of one book, up to ``TASK_BYTES`` of compressed XML: a task opens the book once and
+parses its shared strings once.  Sheets and columns that are not asked for are not
+opened and not kept.  Sheets, which the file format itself bounds to 1,048,576 rows, are
+parsed as a stream and leave the task in Arrow batches.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,23 +36,38 @@ ROWS_PER_BATCH = 5000
 TASK_BYTES = 8 << 20  # compressed sheet XML grows about tenfold
 
 
+SHEET_SCHEMA = "path string, sheet string, part string, packed_bytes long, run int"
+
+
 def _sheet_parts(z: zipfile.ZipFile) -> dict[str, str]:
     rels = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(f"{PKG}Relationship")}
     book = ET.fromstring(z.read("xl/workbook.xml"))
     return {s.get("name"): "xl/" + rels[s.get(f"{REL}id")].removeprefix("/xl/") for s in book.iter(f"{MAIN}sheet")}
 
 
-def _list_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["path"]:
-            with open_read(path) as f, zipfile.ZipFile(f) as z:
-                parts = _sheet_parts(z)
-            yield pd.DataFrame({"path": path, "sheet": list(parts), "part": list(parts.values())})
+def list_sheets(
+    spark: SparkSession, path: str, glob: str = "*.xlsx", sheets: Sequence[str] | None = None, task_bytes: int = TASK_BYTES
+) -> DataFrame:
+    """(path, sheet, part, packed_bytes, run) of the sheets asked for; every book is opened once.
 
+    ``run`` numbers the runs of sheets that are read together.
+    """
+    asked = None if sheets is None else frozenset(sheets)
 
-def list_sheets(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """(path, sheet, part) of every sheet of every workbook."""
-    return list_files(spark, path, glob).select("path").mapInPandas(_list_sheets, "path string, sheet string, part string")
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with open_read(path) as f, zipfile.ZipFile(f) as z:
+                    found = [(s, p, z.getinfo(p).compress_size) for s, p in _sheet_parts(z).items() if asked is None or s in asked]
+                runs, held = [], 0
+                for _, _, size in found:
+                    new = not runs or held + size > task_bytes
+                    runs.append(runs[-1] + new if runs else 0)
+                    held = size if new else held + size
+                out = pd.DataFrame(found, columns=["sheet", "part", "packed_bytes"])
+                yield out.assign(path=path, run=runs)[["path", "sheet", "part", "packed_bytes", "run"]]
+
+    return list_files(spark, path, glob).select("path").mapInPandas(listed, SHEET_SCHEMA)
 
 
 def _column_index(ref: str) -> int:
@@ -66,8 +84,7 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return ["".join(t.text or "" for t in si.iter(f"{MAIN}t")) for si in root.iter(f"{MAIN}si")]
 
 
-def _rows(z: zipfile.ZipFile, part: str) -> Iterator[list[str | None]]:
-    shared = _shared_strings(z)
+def _rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[list[str | None]]:
     with z.open(part) as stream:
         parents = []
         for event, el in ET.iterparse(stream, events=("start", "end")):
@@ -102,44 +119,69 @@ def _distinct_names(header: list[str | None]) -> list[str | None]:
     return out
 
 
-def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, sheet, part in batch[["path", "sheet", "part"]].itertuples(index=False):
-            with open_read(path) as f, zipfile.ZipFile(f) as z:
-                rows = _rows(z, part)
-                header, out = _distinct_names(next(rows, [])), []
-                for n, row in enumerate(rows, start=1):
-                    cells = {h: v for h, v in zip(header, row, strict=False) if h and v is not None}
-                    out.append((path, sheet, n, json.dumps(cells)))
-                    if len(out) >= ROWS_PER_BATCH:
-                        yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
-                        out = []
-                if out:
-                    yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
+TALL = pa.schema(
+    [("path", pa.string()), ("sheet", pa.string()), ("row_no", pa.int64()), ("cells", pa.map_(pa.string(), pa.string()))]
+)
+
+
+def _batch(path: str, sheet: str, numbers: list[int], cells: list[list[tuple[str, str]]]) -> pa.RecordBatch:
+    n = len(numbers)
+    columns = [pa.array([path] * n), pa.array([sheet] * n), pa.array(numbers, pa.int64()), pa.array(cells, TALL.field(3).type)]
+    return pa.RecordBatch.from_arrays(columns, schema=TALL)
+
+
+def _sheet_batches(z: zipfile.ZipFile, path: str, sheet: str, part: str, shared: list[str], kept) -> Iterator[pa.RecordBatch]:
+    rows = _rows(z, part, shared)
+    header = [h if h and (kept is None or h in kept) else None for h in _distinct_names(next(rows, []))]
+    numbers: list[int] = []
+    cells: list[list[tuple[str, str]]] = []
+    for n, row in enumerate(rows, start=1):
+        numbers.append(n)
+        cells.append([(h, v) for h, v in zip(header, row, strict=False) if h and v is not None])
+        if len(numbers) >= ROWS_PER_BATCH:
+            yield _batch(path, sheet, numbers, cells)
+            numbers, cells = [], []
+    if numbers:
+        yield _batch(path, sheet, numbers, cells)
 
 
 def read_workbooks(
-    spark: SparkSession, path: str, glob: str = "*.xlsx", sheets: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.xlsx",
+    sheets: Sequence[str] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """(company, file_name, sheet, row_no, cells): first row is the header.
 
     ``company`` is the folder above the workbook; ``cells`` maps header to text.
-    Sheets that are not asked for are never opened.
+    Sheets that are not asked for are never opened, other columns are not kept.
     """
-    wanted = list_sheets(spark, path, glob)
-    if sheets is not None:
-        wanted = wanted.where(F.col("sheet").isin(list(sheets)))
+    kept = None if columns is None else frozenset(columns)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by book and run; a book stays open while they are its own.
+        open_path, book, shared, file = None, None, [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["path"] != open_path:
+                    if file:
+                        file.close()
+                    open_path, file = row["path"], open_read(row["path"])
+                    book = zipfile.ZipFile(file)
+                    shared = _shared_strings(book)
+                yield from _sheet_batches(book, open_path, row["sheet"], row["part"], shared, kept)
+        if file:
+            file.close()
+
     tasks = task_count(spark, path, glob, TASK_BYTES)
-    tall = wanted.repartition(tasks, "path", "sheet").mapInPandas(
-        _read_sheets, "path string, sheet string, row_no long, cells string"
+    runs = list_sheets(spark, path, glob, sheets).repartition(tasks, "path", "run").sortWithinPartitions("path", "run", "part")
+    tall = runs.select("path", "sheet", "part").mapInArrow(
+        read, "path string, sheet string, row_no long, cells map<string,string>"
     )
     parts = F.split("path", "/")
     return tall.select(
-        F.element_at(parts, -2).alias("company"),
-        F.element_at(parts, -1).alias("file_name"),
-        "sheet",
-        "row_no",
-        F.from_json("cells", "map<string,string>").alias("cells"),
+        F.element_at(parts, -2).alias("company"), F.element_at(parts, -1).alias("file_name"), "sheet", "row_no", "cells"
     )
 
 
@@ -164,3 +206,16 @@ def project_sheet(tall: DataFrame, sheet: str, schema: T.StructType) -> DataFram
 def load_sheet(spark: SparkSession, path: str, sheet: str, schema: T.StructType) -> DataFrame:
     """Typed rows of one sheet of all workbooks below ``path``."""
     return project_sheet(read_workbooks(spark, path, sheets=[sheet]), sheet, schema)
+
+
+def stage_sheets(spark: SparkSession, path: str, target: str, schemas: dict[str, T.StructType]) -> None:
+    """Read the sheets of ``schemas`` of all workbooks once and store their rows by sheet below ``target``."""
+    columns = {f.name for schema in schemas.values() for f in schema.fields}
+    tall = read_workbooks(spark, path, sheets=list(schemas), columns=sorted(columns))
+    tall.write.mode("overwrite").partitionBy("sheet").parquet(target)
+
+
+def load_staged(spark: SparkSession, target: str, sheet: str, schema: T.StructType) -> DataFrame:
+    """Typed rows of one staged sheet; only its partition is read."""
+    stored = "company string, file_name string, row_no long, cells map<string,string>, sheet string"
+    return project_sheet(spark.read.schema(stored).parquet(target), sheet, schema)

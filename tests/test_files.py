@@ -337,3 +337,66 @@ def test_stored_empty_and_compressed_members_are_read_alike(spark, tmp_path):
         z.writestr("odd.bin", "x")
     with pytest.raises(Exception, match="method 14"):
         archives.read_members(spark, f"{tmp_path}", "b.zip").collect()
+
+
+def book_with_shared_strings(sheets, rows):
+    """A workbook of ``sheets`` sheets with ``rows`` rows each, all text being shared strings."""
+    main = workbooks.MAIN[1:-1]
+    buf = io.BytesIO(deliveries.workbook_bytes({f"S{i}": [["A", "B"]] + [[f"a{r}", r] for r in range(rows)] for i in range(sheets)}))
+    strings = ["A", "B"] + [f"a{r}" for r in range(rows)]
+    out = io.BytesIO()
+    with zipfile.ZipFile(buf) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            text = old.read(name).decode()
+            for i, s in reversed(list(enumerate(strings))):
+                text = text.replace(f't="inlineStr"><is><t>{s}</t></is>', f't="s"><v>{i}</v>')
+            new.writestr(name, text)
+        items = "".join(f"<si><t>{s}</t></si>" for s in strings)
+        new.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{items}</sst>')
+    return out.getvalue()
+
+
+def test_books_are_opened_once_and_shared_strings_parsed_once(spark, tmp_path):
+    for company in ("a", "b"):
+        (tmp_path / "in" / company).mkdir(parents=True)
+        (tmp_path / "in" / company / "book.xlsx").write_bytes(book_with_shared_strings(10, 3))
+    root = f"file://{tmp_path}/in"
+    # Tasks note what they open and parse.
+    log = str(tmp_path / "log")
+    opened, parsed = workbooks.open_read, workbooks._shared_strings
+
+    def note(what, call):
+        def noted(x):
+            with open(log, "a") as f:
+                f.write(what + "\n")
+            return call(x)
+
+        return noted
+
+    workbooks.open_read, workbooks._shared_strings = note("open", opened), note("parse", parsed)
+    try:
+        listing = workbooks.list_sheets(spark, root).cache()
+        assert listing.count() == 20 and listing.select("path", "run").distinct().count() == 2
+        schemas = {f"S{i}": T.StructType.fromDDL("A string, B int") for i in range(10)}
+        (tmp_path / "log").write_text("")
+        workbooks.stage_sheets(spark, root, f"{tmp_path}/staged", schemas)
+    finally:
+        workbooks.open_read, workbooks._shared_strings = opened, parsed
+    notes = (tmp_path / "log").read_text().split()
+    # Each book is opened to list its sheets and to read them, and its strings are parsed once for ten sheets.
+    assert notes.count("open") == 4 and notes.count("parse") == 2
+    for sheet, schema in schemas.items():
+        got = workbooks.load_staged(spark, f"{tmp_path}/staged", sheet, schema)
+        assert sorted(tuple(r) for r in got.collect()) == [(f"a{r}", r, c) for r in range(3) for c in ("a", "b")]
+
+
+def test_large_books_are_read_in_runs_of_sheets(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "book.xlsx").write_bytes(book_with_shared_strings(6, 50))
+    sizes = [r.packed_bytes for r in workbooks.list_sheets(spark, f"{tmp_path}").collect()]
+    runs = workbooks.list_sheets(spark, f"{tmp_path}", task_bytes=2 * max(sizes))
+    assert [r["n"] for r in runs.groupBy("run").agg(F.count("*").alias("n")).orderBy("run").collect()] == [2, 2, 2]
+    some = workbooks.read_workbooks(spark, f"{tmp_path}", sheets=["S1", "S4"], columns=["B"])
+    assert {(r.sheet, r.row_no, tuple(r.cells.items())) for r in some.collect()} == {
+        (s, n + 1, (("B", str(n)),)) for s in ("S1", "S4") for n in range(50)
+    }
