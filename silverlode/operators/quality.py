@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions import dates, money, ranking, text
+from silverlode.sources import sinks
 
 # ---- labelled counts ----------------------------------------------------------
 
@@ -251,6 +252,14 @@ def _flag(rule: Rule) -> str:
     return f"_failed_{rule.name}"
 
 
+def _join_key(rule: Rule, column: Column) -> dict[str, Column]:
+    """Key columns of a row for ``rule``'s join; rows without a key, which match nothing, are spread by their task."""
+    return {
+        f"_key_{rule.name}": column,
+        f"_spread_{rule.name}": F.when(column.isNull(), F.spark_partition_id()).otherwise(F.lit(-1)),
+    }
+
+
 def flag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``df`` plus one boolean column per rule, true where the row fails it.
 
@@ -263,29 +272,93 @@ def flag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for r in rules:
         if r.kind == "UNIQUENESS":
             repeated = df.where(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count("*").alias("_n"))
-            repeated = repeated.where("_n > 1").select(F.col(r.column).alias(f"_k_{r.name}"))
-            out = out.join(repeated, F.col(r.column) == F.col(f"_k_{r.name}"), "left")
-            out = out.withColumn(_flag(r), F.col(f"_k_{r.name}").isNotNull()).drop(f"_k_{r.name}")
+            known, key = repeated.where("_n > 1").select(F.col(r.column).alias("_known")), F.col(r.column)
         elif r.kind == "REFERENCE":
-            known = r.parent.select(F.col(r.parent_column).cast("string").alias(f"_k_{r.name}")).distinct()
-            out = out.join(known, F.col(r.column).cast("string") == F.col(f"_k_{r.name}"), "left")
-            out = out.withColumn(_flag(r), F.col(f"_k_{r.name}").isNull()).drop(f"_k_{r.name}")
+            parents = r.parent.select(F.col(r.parent_column).cast("string").alias("_known"))
+            known, key = parents.where("_known IS NOT NULL").distinct(), F.col(r.column).cast("string")
+        else:
+            continue
+        # Not a literal: the optimizer would take a constant out of the join's key.
+        nowhere = F.length(F.col("_known").cast("string")) * 0 - 1
+        known = known.select(F.col("_known").alias(f"_k_{r.name}"), nowhere.alias(f"_no_{r.name}"))
+        own = _join_key(r, key)
+        same = (F.col(f"_key_{r.name}") == F.col(f"_k_{r.name}")) & (F.col(f"_spread_{r.name}") == F.col(f"_no_{r.name}"))
+        found = F.col(f"_k_{r.name}").isNotNull()
+        out = out.withColumns(own).join(known, same, "left")
+        out = out.withColumn(_flag(r), found if r.kind == "UNIQUENESS" else ~found)
+        out = out.drop(*own, f"_k_{r.name}", f"_no_{r.name}")
     return out.withColumns({_flag(r): ~F.coalesce(r.passes, F.lit(False)) for r in rules if r.passes is not None})
 
 
+KEY_KINDS = ("UNIQUENESS", "REFERENCE")
+ALL_ROWS = -1
+
+
+def _notes(rules: Sequence[Rule]) -> Column:
+    """What a row adds to the counts: itself, its failures of row rules, and its keys under the rules on keys."""
+
+    def note(rule: int, key: Column, failed: int, sample: Column) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), key.alias("key"), F.lit(1).cast("long").alias("n"), F.lit(failed).cast("long").alias("failed"),
+            sample.alias("sample"), F.lit(False).alias("known"),
+        )
+
+    nothing = F.lit(None).cast("string")
+    out = [note(ALL_ROWS, nothing, 0, nothing)]
+    for i, r in enumerate(rules):
+        value = F.col(r.column).cast("string")
+        bad = F.coalesce(value, F.lit("NULL"))
+        if r.kind not in KEY_KINDS:
+            out.append(F.when(~F.coalesce(r.passes, F.lit(False)), note(i, nothing, 1, bad)))
+        elif r.kind == "REFERENCE":
+            out.append(F.when(value.isNull(), note(i, nothing, 1, bad)).otherwise(note(i, value, 0, bad)))
+        else:
+            out.append(F.when(value.isNotNull(), note(i, value, 0, bad)))
+    return F.array_compact(F.array(*out))
+
+
+def failure_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(rule, failed, sample) by the rules' positions; rule -1 counts the rows.
+
+    One scan of the rows and one aggregate, whatever the number of rules: rows become
+    notes under (rule, key), parents are noted as known keys, and notes are combined
+    before they are shuffled.  Repeated keys and keys without a parent are then told by
+    their counts; no row is joined, and notes without a key are one per rule and task.
+    """
+    tall = df.select(F.inline(_notes(rules)))
+    for i, r in enumerate(rules):
+        if r.kind == "REFERENCE":
+            key = F.col(r.parent_column).cast("string")
+            known = r.parent.where(key.isNotNull()).select(
+                F.lit(i).alias("rule"), key.alias("key"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("failed"),
+                key.alias("sample"), F.lit(True).alias("known"),
+            )
+            tall = tall.unionByName(known)
+    keys = tall.groupBy("rule", "key").agg(
+        F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.min("sample").alias("sample"), F.bool_or("known").alias("known")
+    )
+    unique_rules = [i for i, r in enumerate(rules) if r.kind == "UNIQUENESS"]
+    by_key = F.col("key").isNotNull()
+    bad_key = F.when(F.col("rule").isin(unique_rules), F.col("n") > 1).otherwise(~F.col("known"))
+    failed = F.when(by_key, F.when(bad_key, F.col("n")).otherwise(0)).when(F.col("rule") == ALL_ROWS, F.col("n")).otherwise(F.col("failed"))
+    counted = keys.withColumn("failed", failed)
+    return counted.groupBy("rule").agg(
+        F.sum("failed").alias("failed"), F.min(F.when(F.col("failed") > 0, F.col("sample"))).alias("sample")
+    )
+
+
 def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Quality-log rows: checked, passed, failed, pass %, severity, action, sample.
 
     The sample is the smallest failing value, kept by a plain aggregate; failing
-    rows are never gathered.
+    rows are never gathered, and rows are scanned once (``failure_counts``).
     """
-    flagged = flag_failures(df, rules)
-    aggs = [F.count("*").alias("_checked")]
-    for r in rules:
-        bad = F.coalesce(F.col(r.column).cast("string"), F.lit("NULL"))
-        aggs.append(F.count_if(F.col(_flag(r))).alias(f"_n_{r.name}"))
-        aggs.append(F.min(F.when(F.col(_flag(r)), bad)).alias(f"_s_{r.name}"))
-    wide = flagged.agg(*aggs)
+    counts = failure_counts(df, rules)
+    wide = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("rule") == ALL_ROWS, F.col("failed"))), F.lit(0)).alias("_checked"),
+        *[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("failed"))), F.lit(0)).alias(f"_n_{r.name}") for i, r in enumerate(rules)],
+        *[F.min(F.when(F.col("rule") == i, F.col("sample"))).alias(f"_s_{r.name}") for i, r in enumerate(rules)],
+    )
     rows = []
     for r in rules:
         failed = F.col(f"_n_{r.name}")
@@ -335,6 +408,23 @@ def split_by_disposition(routed: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def write_routed(df: DataFrame, rules: Sequence[Rule], path: str) -> None:
+    """Route all rows in one pass into one folder per disposition below ``path``."""
+    sinks.overwrite(route_rows(df, rules), path, ["disposition"])
+
+
+def routed_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, record_count) of written rows; files' footers and folder names suffice."""
+    part = (
+        F.when(F.col("disposition").isin("ACCEPTED", ACCEPTED_WITH_WARNING), "accepted")
+        .when(F.col("disposition") == QUARANTINED, "quarantined")
+        .otherwise("rejected")
+    )
+    parts = spark.createDataFrame([("accepted",), ("quarantined",), ("rejected",)], "part string")
+    found = spark.read.parquet(path).groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    return parts.join(found, "part", "left").select("part", F.coalesce("n", F.lit(0)).alias("record_count"))
+
+
 def quality_trend(log: DataFrame, as_of: str, days: int, severities=("CRITICAL", "WARNING")) -> DataFrame:
     recent = log.where((F.col("check_date") >= F.date_sub(dates.day(as_of), days)) & F.col("severity").isin(*severities))
     return recent.groupBy("rule_name", "rule_type").agg(

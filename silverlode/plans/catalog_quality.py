@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions import money, text
 from silverlode.operators import cleanse, quality, upsert
+from silverlode.session import scratch_path
 
 from .catalog_rows import SILVER_HR_SQL, SILVER_PAY_SQL
 from .frames import AS_OF, POD, PROCESSED_AT
@@ -217,8 +218,9 @@ def dq_10(t):
     count(*) AS n FROM flagged GROUP BY 1""",
 )
 def dq_10_split(t):
-    parts = quality.split_by_disposition(quality.route_rows(t.bronze_hr, hr_rules(t)))
-    return quality.row_counts(parts, "part").withColumnRenamed("record_count", "n")
+    path = scratch_path(t.spark, "routed")
+    quality.write_routed(t.bronze_hr, hr_rules(t), path)
+    return quality.routed_counts(t.spark, path).withColumnRenamed("record_count", "n").where("n > 0")
 
 
 DAILY_LOG_SQL = """daily AS (SELECT 'quality_floor_' || stage AS rule_name, 'RANGE' AS rule_type, pod_id, company, CAST(execution_date AS DATE) AS check_date,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,15 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def overwrite_verified(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[int, int]:
+    """Replace the table at ``path``; returns the rows sent, observed on their way, and those found there."""
+    seen = Observation()
+    overwrite(df.observe(seen, F.count(F.lit(1)).alias("n")), path, partition_by)
+    written = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    # A plan that turns out empty is cut short before anything is observed.
+    return (seen.get["n"] if written else df.count()), written
+
+
 def overwrite_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str]) -> None:
     """Catalog table ``name`` over ``path`` with one sorted file per bucket of ``keys``."""
     writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)

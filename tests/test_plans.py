@@ -6,6 +6,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.operators import alerts, gold, quality, upsert
 from silverlode.plans import catalog
@@ -14,7 +15,7 @@ from silverlode.plans.catalog_quality import hr_rules, waves
 from silverlode.plans.frames import POD, PROCESSED_AT
 from silverlode.sources import files, sinks
 
-EAGER = ("src_", "snk_", "st_", "fi_1_manifest_from", "fi_8", "b2s_8", "dq_15", "tm_11", "ud_3")
+EAGER = ("src_", "snk_", "st_", "fi_1_manifest_from", "fi_8", "b2s_8", "dq_10_split", "dq_15", "tm_9_table", "tm_11", "ud_3")
 LAZY = sorted(n for n in catalog.QUERIES if not n.startswith(EAGER))
 
 
@@ -85,3 +86,34 @@ def test_no_broadcast_is_forced(frames):
         frames.execution_log, alert_rules(frames))]
     for df in queries:
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def hash_shuffles(text):
+    return len(re.findall(r"Exchange hashpartitioning", text))
+
+
+def test_rules_are_counted_in_one_scan_without_joins(frames, plan):
+    text = plan(quality.check_rules(frames.bronze_hr, hr_rules(frames)))
+    own, parents = plan(frames.bronze_hr), plan(frames.silver_hr.select("employee_id"))
+    for step in ("FileScan", "HashJoin", "SortMergeJoin"):
+        assert text.count(step) == own.count(step) + parents.count(step)
+    # Shuffles by (rule, key) and by rule, besides those of the parents.
+    assert hash_shuffles(text) <= 2 + hash_shuffles(plan(frames.silver_hr.select("employee_id")))
+
+
+def test_contracts_are_counted_in_one_scan(frames, plan):
+    rules = quality.contract_rules(T.StructType.fromDDL("employee_id bigint, salary decimal(10,2)"), key="employee_id")
+    text = plan(quality.check_rules(frames.bronze_hr, rules))
+    assert text.count("FileScan") == plan(frames.bronze_hr).count("FileScan") and hash_shuffles(text) == 2
+
+
+def test_rows_without_a_key_are_spread_before_a_reference_join(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.createDataFrame([(None if i % 3 else str(i), i) for i in range(300)], "p string, i int").repartition(5)
+        parents = spark.createDataFrame([(str(i),) for i in range(0, 300, 2)], "q string")
+        rules = [quality.references("p", parents, "q"), quality.unique("i")]
+        text = plan(quality.flag_failures(rows, rules))
+        assert re.search(r"hashpartitioning\(_key_p_reference#\d+, _spread_p_reference#\d+", text)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.operators import quality, tenants, upsert
+from silverlode.sources import sinks
 
 STAFF = "id string, email string, salary string, dept string"
 
@@ -191,3 +194,39 @@ def test_upsert_refuses_several_rows_for_a_key(spark):
         upsert.upsert(target, twice, ["k"]).collect()
     latest = upsert.upsert(target, twice, ["k"], newest_first=["v"])
     assert sorted(map(tuple, latest.collect())) == [(1, "y"), (2, "b"), (3, "z")]
+
+
+def test_counts_of_rules_equal_flagged_rows(spark, rows):
+    rnd = random.Random(4)
+    data = [
+        (rnd.choice([None, "hot", "hot", *"abcdefgh"]), rnd.choice([None, "1", "2", "9", "x"]), rnd.choice([None, "5", "-3", "oops"]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(data, "k string, parent string, v string").repartition(4)
+    parents = spark.createDataFrame([(1,), (2,), (2,), (None,), (77,)], "id int")
+    rules = [
+        quality.not_null("k"), quality.unique("k"), quality.references("parent", parents, "id"), quality.in_range("v", 0, 10),
+        quality.matches("parent", "^[0-9]$"),
+    ]
+    flagged = quality.flag_failures(df, rules).toPandas()
+    for r in quality.check_rules(df, rules).collect():
+        bad = flagged[flagged[f"_failed_{r.rule_name}"]][r.column_name]
+        assert (r.records_checked, r.records_failed) == (400, len(bad))
+        assert r.error_sample == min(["NULL" if v is None else v for v in bad])
+    empty = quality.check_rules(df.limit(0), rules).collect()
+    assert [(r.records_checked, r.records_failed, r.error_sample) for r in empty] == [(0, 0, None)] * 5
+
+
+def test_routed_rows_are_written_once(spark, tmp_path, rows):
+    df = spark.createDataFrame([("1", "a@b.cd"), ("1", "x"), (None, "a@b.cd"), ("2", "a@b.cd")], "k string, mail string")
+    rules = [quality.not_null("k"), quality.matches("mail", "@", action=quality.QUARANTINED)]
+    quality.write_routed(df, rules, f"{tmp_path}/out")
+    assert rows(quality.routed_counts(spark, f"{tmp_path}/out")) == [("accepted", 2), ("quarantined", 1), ("rejected", 1)]
+    quality.write_routed(df.where("k = '2'"), rules, f"{tmp_path}/out")
+    assert rows(quality.routed_counts(spark, f"{tmp_path}/out")) == [("accepted", 1), ("quarantined", 0), ("rejected", 0)]
+
+
+def test_writes_tell_what_was_sent_and_found(spark, tmp_path):
+    df = spark.range(100).withColumn("p", F.col("id") % 3)
+    assert sinks.overwrite_verified(df, f"{tmp_path}/a", ["p"]) == (100, 100)
+    assert sinks.overwrite_verified(df.limit(0), f"{tmp_path}/a") == (0, 0)
