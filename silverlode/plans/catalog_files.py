@@ -314,7 +314,7 @@ def snk_9(t):
 def snk_10(t):
     path = scratch_path(t.spark, "clustered")
     cols = ["enabled", "priority", "data_classification"]
-    sinks.cluster_by(t.company_config.select("company_id", *cols), path, cols)
+    sinks.cluster_by_curve(t.company_config.select("company_id", *cols), path, cols)
     return files.read_table(t.spark, path).where("enabled AND priority = 'HIGH'")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions import dates
+from silverlode.functions import curves, dates
 
 from .files import SCHEMA_FOLDER
 
@@ -96,6 +96,37 @@ def cluster_by(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
+def split_points(df: DataFrame, columns: Sequence[str], parts: int, sample_rows: int = 20_000) -> dict[str, list]:
+    """Values that cut each column into about ``parts`` ranges of equally many rows.
+
+    Taken from the ``sample_rows`` rows that are first by a hash of the columns, so that
+    no more than these reach the driver; they decide about the layout alone.
+    """
+    rows = df.select(*columns).orderBy(F.xxhash64(*columns)).limit(sample_rows).collect()
+    out = {}
+    for c in columns:
+        values = sorted(r[c] for r in rows if r[c] is not None)
+        cuts = [values[len(values) * i // parts] for i in range(1, parts)] if values else []
+        # A value that fills several ranges is one cut; nothing lies below the smallest value.
+        out[c] = [v for v in dict.fromkeys(cuts) if v != values[0]]
+    return out
+
+
+def cluster_by_curve(df: DataFrame, path: str, columns: Sequence[str], bits: int = 6) -> None:
+    """Z-ordered layout: min/max statistics of every one of ``columns`` skip files and row groups.
+
+    Columns are cut into ``2 ** bits`` ranges of equally many rows, the ranges' numbers
+    are interleaved bit by bit, and rows are range-partitioned and sorted by the result.
+    A hash of the row spreads ranges that hold very many rows.
+    """
+    points = split_points(df, columns, 1 << bits)
+    curve = curves.interleaved([curves.place(points[c], F.col(c)) for c in columns], bits)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    keyed = df.withColumns({"_curve": curve, "_spread": F.xxhash64(*plain)})
+    ordered = keyed.repartitionByRange("_curve", "_spread").sortWithinPartitions("_curve", "_spread")
+    ordered.drop("_curve", "_spread").write.mode("overwrite").parquet(path)
+
+
 def analyze(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:
     """Table and column statistics for the cost-based optimizer."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")

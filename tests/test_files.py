@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import io
 import json
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions import paths
+from silverlode.functions import curves, paths
 from silverlode.operators import integrity
 from silverlode.plans import deliveries
 from silverlode.sources import archives, files, manifests, remote, sinks, workbooks
@@ -400,3 +402,54 @@ def test_large_books_are_read_in_runs_of_sheets(spark, tmp_path):
     assert {(r.sheet, r.row_no, tuple(r.cells.items())) for r in some.collect()} == {
         (s, n + 1, (("B", str(n)),)) for s in ("S1", "S4") for n in range(50)
     }
+
+
+def files_touched(folder, column, value):
+    """Share of the files whose statistics of ``column`` do not rule ``value`` out."""
+    ranges = []
+    for path in folder.glob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = [meta.row_group(0).column(i).path_in_schema for i in range(meta.num_columns)].index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        ranges += [(s.min, s.max) for s in stats if s is not None and s.has_min_max]
+    return sum(low <= value <= high for low, high in ranges) / len(ranges)
+
+
+def test_a_curve_lets_filters_on_every_column_skip_files(spark, tmp_path):
+    df = spark.range(20_000).select(
+        F.pmod(F.hash("id", F.lit(1)), F.lit(1000)).alias("a"),
+        F.concat(F.lit("k"), F.lpad(F.pmod(F.hash("id", F.lit(2)), F.lit(500)).cast("string"), 4, "0")).alias("b"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.hash("id", F.lit(3)), F.lit(300))).alias("c"),
+    )
+    df = df.withColumn("b", F.when(F.col("a") % 50 != 0, F.col("b")))
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.cluster_by_curve(df, f"{tmp_path}/curve", ["a", "b", "c"])
+        sinks.cluster_by(df, f"{tmp_path}/sorted", ["a", "b", "c"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    day = dt.date(2024, 4, 1)
+    assert files_touched(tmp_path / "sorted", "c", day) > 0.9
+    for column, value in (("a", 123), ("b", "k0123"), ("c", day)):
+        assert files_touched(tmp_path / "curve", column, value) < 0.5
+    assert spark.read.parquet(f"{tmp_path}/curve").exceptAll(df).count() == 0 == df.exceptAll(spark.read.parquet(f"{tmp_path}/curve")).count()
+
+
+def test_interleaved_bits(spark):
+    df = spark.createDataFrame([(x, y) for x in range(8) for y in range(8)], "x int, y int")
+    for r in df.withColumn("z", curves.interleaved([F.col("x"), F.col("y")], 3)).collect():
+        assert r.z == sum((r.x >> b & 1) << 2 * b + 1 | (r.y >> b & 1) << 2 * b for b in range(3))
+    places = df.select("x", curves.place([2, 3, 7], F.col("x")).alias("p")).distinct().collect()
+    assert {r.x: r.p for r in places} == {0: 0, 1: 0, 2: 1, 3: 2, 4: 2, 5: 2, 6: 2, 7: 3}
+    with pytest.raises(ValueError):
+        curves.interleaved([F.col("x")] * 8, 8)
+
+
+def test_layouts_of_hard_columns(spark, tmp_path):
+    schema = "flag boolean, s string, m map<string,int>"
+    df = spark.createDataFrame([(None, None, None), (True, "x", {"a": 1}), (True, "x", {"a": 1})], schema)
+    sinks.cluster_by_curve(df, f"{tmp_path}/t", ["flag", "s"])
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    sinks.cluster_by_curve(df.limit(0), f"{tmp_path}/e", ["flag", "s"])
