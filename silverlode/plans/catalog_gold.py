@@ -251,13 +251,19 @@ def gd_14(t):
     return gold.payroll_trend(months(t))
 
 
+# Payments without those of every ninth employee, who is then active and unpaid.
+PAID = "employee_id % 9 <> 4"
+
+
 @query(
     "gd_15_active_without_payroll",
     f"""SELECT employee_id, first_name, last_name, department, employment_status, hire_date, annual_salary, total_payments, last_payment_date
-    FROM ({SUMMARY_SQL}) WHERE employment_status = 'Active' AND coalesce(total_payments, 0) = 0""",
+    FROM ({SUMMARY_SQL.replace("silver_payroll", f"(SELECT * FROM silver_payroll WHERE {PAID})")})
+    WHERE employment_status = 'Active' AND coalesce(total_payments, 0) = 0""",
 )
 def gd_15(t):
-    return gold.active_without_payroll(summary(t))
+    paid = gold.employee_payroll_summary(t.silver_hr, t.silver_payroll.where(PAID), POD, PROCESSED_AT)
+    return gold.active_without_payroll(paid)
 
 
 @query(
