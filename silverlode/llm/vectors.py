@@ -4,7 +4,9 @@ Centroids come from balanced splits of a bounded sample.  Every vector is posted
 the list of its nearest centroid, and, if it lies near a boundary, in those of others
 about as near.  A query finds its nearest centroids in an in-memory neighbour graph,
 keeps those within a ratio of the nearest one's distance, and is compared with all
-vectors of these lists in double precision.  The ratio is the smallest that reaches
+vectors of these lists in double precision: first with the nearest list, then with the
+others in turn, which give back only what lies within the k-th distance so far, and are
+left out where by their radius nothing can.  The ratio is the smallest that reaches
 the wanted recall on the sample, against brute force there; the sample's neighbours
 lie farther apart than the table's, so the ratio is on the safe side.
 """
@@ -194,7 +196,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _posted(rows: DataFrame, id_name: str, graph, beam: int, ratio: float, most: int | None = None) -> DataFrame:
-    """``(list, <id_name>, vec)`` for the lists that ``chosen_lists`` gives every vector."""
+    """``(list, far, turn, <id_name>, vec)`` for the lists that ``chosen_lists`` gives every vector.
+
+    ``far`` is the distance to the list's centroid, ``turn`` the list's place by it.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = Graph(*graph.value)
@@ -203,13 +208,22 @@ def _posted(rows: DataFrame, id_name: str, graph, beam: int, ratio: float, most:
                 batch = whole.slice(at, 256)
                 far = list_distances(g, _matrix(batch.column(1)), beam, 1.0 if most else ratio)
                 row, lists = chosen_lists(g, far, ratio, most)
+                reach = far[row, lists]
+                order = np.lexsort((lists, reach, row))
+                row, lists, reach = row[order], lists[order], reach[order]
+                turn = np.arange(len(row)) - np.searchsorted(row, row)
                 index = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.astype(np.int32)), *(c.take(index) for c in batch.columns)],
-                    names=["list", id_name, "vec"],
-                )
+                    [pa.array(lists.astype(np.int32)), pa.array(reach), pa.array(turn.astype(np.int32)),
+                     *(c.take(index) for c in batch.columns)],
+                    names=["list", "far", "turn", id_name, "vec"],
+                )
+
+    return rows.select(id_name, "vec").mapInArrow(work, f"list int, far double, turn int, {id_name} long, vec array<double>")
 
-    return rows.select(id_name, "vec").mapInArrow(work, f"list int, {id_name} long, vec array<double>")
+
+# A query's lists in the order in which they are visited: the nearest, some more, the rest.
+TURNS = ((0, 1), (1, 8), (8, None))
 
 
 def nearest(
@@ -264,34 +278,21 @@ def nearest(
     asked = queries.select("cls", "vec").dropDuplicates(["cls"])
     asked = materialize(_posted(asked, "cls", graph, s.beam, ratio), "asked")
 
-    # Lists and the queries of a list are dealt into blocks; at most max_lists rows each.
-    def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
-        return df.groupBy("list").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-
-    plan = blocks(postings, "v_blocks", s.vector_block).join(blocks(asked, "q_blocks", s.query_block), "list")
-    plan = F.broadcast(materialize(plan, "blocks"))
-
-    def dealt(df: DataFrame, id_name: str, own: str, other: str) -> DataFrame:
-        placed = df.join(plan, "list")
-        mine = F.pmod(F.xxhash64(id_name), F.col(f"{own}_blocks")).cast("int")
-        all_ = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
-        return placed.select("list", mine.alias(f"{own}_block"), all_.alias(f"{other}_block"), id_name, "vec")
-
+    radii = postings.groupBy("list").agg(F.max("far").alias("radius"), F.ceil(F.count("*") / s.vector_block).cast("int").alias("v_blocks"))
+    radii = materialize(radii, "lists")
     key = ["list", "v_block", "q_block"]
-    left, right = dealt(asked, "cls", "q", "v"), dealt(postings, "vec_id", "v", "q")
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
         if a.num_rows and b.num_rows:
             q, v = _matrix(a.column("vec").combine_chunks()), _matrix(b.column("vec").combine_chunks())
-            ids = b.column("vec_id").to_numpy()
+            ids, bounds = b.column("vec_id").to_numpy(), a.column("bound").to_numpy()
             for i, (cls, row) in enumerate(zip(a.column("cls").to_pylist(), squared(q, v), strict=True)):
-                near = np.arange(len(row))
-                if len(row) > k + 1:
-                    worst = np.partition(row, k)[k]
-                    near = np.flatnonzero(row <= worst * (1 + 1e-6) + 1e-9)
+                worst = min(bounds[i] ** 2, np.partition(row, k)[k] if len(row) > k + 1 else np.inf)
+                near = np.flatnonzero(row <= worst * (1 + 1e-6) + 1e-9)
                 score = np.sqrt(((v[near] - q[i]) ** 2).sum(1))
                 order = np.lexsort((ids[near], score))[: k + 1]
+                order = order[score[order] <= bounds[i]]
                 out[0] += [cls] * len(order)
                 out[1] += ids[near][order].tolist()
                 out[2] += score[order].tolist()
@@ -299,11 +300,37 @@ def nearest(
         arrays = [pa.array(x, t) for x, t in zip(out, types, strict=True)]
         return pa.table(arrays, names=["cls", "vec_id", "score"])
 
-    met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, "cls long, vec_id long, score double")
+    def visited(turn: DataFrame) -> DataFrame:
+        """What the lists of ``turn(list, cls, vec, bound)`` hold of each query's ``k + 1`` nearest within its bound."""
+        # Lists and the queries of a list are dealt into blocks; at most max_lists rows.
+        asking = turn.groupBy("list").agg(F.ceil(F.count("*") / s.query_block).cast("int").alias("q_blocks"))
+        plan = F.broadcast(materialize(radii.join(asking, "list").select("list", "v_blocks", "q_blocks"), "blocks"))
+
+        def dealt(df: DataFrame, id_name: str, own: str, other: str, *more: str) -> DataFrame:
+            placed = df.join(plan, "list")
+            mine = F.pmod(F.xxhash64(id_name), F.col(f"{own}_blocks")).cast("int")
+            all_ = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+            return placed.select("list", mine.alias(f"{own}_block"), all_.alias(f"{other}_block"), id_name, "vec", *more)
+
+        left, right = dealt(turn, "cls", "q", "v", "bound"), dealt(postings, "vec_id", "v", "q")
+        pairs = left.groupBy(*key).cogroup(right.groupBy(*key))
+        return pairs.applyInArrow(compare, "cls long, vec_id long, score double")
+
     best = Window.partitionBy("cls").orderBy("score", "vec_id")
-    found = met.groupBy("cls", "vec_id").agg(F.min("score").alias("score"))
-    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank")
-    found = materialize(found, "found")
+    found = spark.createDataFrame([], "cls long, vec_id long, score double")
+    for first, last in TURNS:
+        # The k-th distance so far bounds what is still of use.  A list none of whose vectors can lie
+        # within it, by the triangle inequality, is not visited; only vectors within it are returned.
+        bounds = found.groupBy("cls").agg(F.count("*").alias("n"), F.max("score").alias("most"))
+        bounds = bounds.where(F.col("n") > k).select(F.col("cls").alias("of"), "most")
+        turn = asked.where((F.col("turn") >= first) & (F.col("turn") < last if last else F.lit(True)))
+        turn = turn.join(bounds, F.col("cls") == F.col("of"), "left").join(radii.select("list", "radius"), "list")
+        turn = turn.withColumn("bound", F.coalesce("most", F.lit(float("inf"))))
+        reachable = F.col("far") - F.col("radius") <= F.col("bound") * (1 + 1e-9)
+        turn = materialize(turn.where(reachable).select("list", "cls", "vec", "bound"), "turn")
+        met = found.unionByName(visited(turn)).groupBy("cls", "vec_id").agg(F.min("score").alias("score"))
+        ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+        found = materialize(ranked.select("cls", "vec_id", "score"), "found")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     pairs = queries.select("query_id", "cls").join(found, "cls").where("query_id != vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
