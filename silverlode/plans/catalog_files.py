@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions import dates, digest
 from silverlode.operators import integrity, quality, runs
-from silverlode.session import scratch_path
+from silverlode.session import scratch_path, shared_dir
 from silverlode.sources import archives, files, manifests, sinks, workbooks
 
 from . import deliveries
@@ -123,6 +123,20 @@ PACKED_SQL = f"""packed AS (SELECT 'ACME' || ((doc_id // {DOCS_PER_ARCHIVE}) % 7
     'data/' || lang || '/' || doc_id || '.txt' AS path, text, octet_length(encode(text)) AS size_bytes FROM documents)"""
 
 
+def staged_once(write):
+    """A delivery that is written once per table folder and kept: its queries only read it."""
+    done: dict[tuple[str, str], str] = {}
+
+    def folder(t) -> str:
+        key = (t.dir, shared_dir(t.spark))
+        if key not in done or not files.exists(t.spark, done[key]):
+            done[key] = write(t)
+        return done[key]
+
+    return folder
+
+
+@staged_once
 def delivered(t) -> str:
     """A folder of ZIP archives written from the documents."""
     root = scratch_path(t.spark, "zips")
@@ -436,6 +450,7 @@ def workbook_rows(t):
     return rows.select("company", "s.file_name", "s.sheet", "s.row_no", "s.cells")
 
 
+@staged_once
 def delivered_workbooks(t) -> str:
     root = scratch_path(t.spark, "books")
     deliveries.write_workbooks(workbook_rows(t), root).agg(F.sum("sheets")).first()  # runs the writing job

@@ -58,6 +58,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> tuple
         return spark.createDataFrame([], schema), "NO_DATA"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def below(spark: SparkSession, root: str, path: Column) -> Column:
     """``path`` relative to the folder ``root``; the file's name where it lies elsewhere or ``root`` is a pattern."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)

@@ -81,10 +81,11 @@ def test_wildcard_rules_join_on_equality(frames, plan):
         assert "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_no_broadcast_is_forced(frames):
-    queries = [quality.route_rows(frames.bronze_hr, hr_rules(frames)), alerts.evaluate_alerts(
-        frames.execution_log, alert_rules(frames))]
-    for df in queries:
+def test_only_counted_rules_are_broadcast_by_force(frames):
+    rules = alert_rules(frames)
+    routed = quality.route_rows(frames.bronze_hr, hr_rules(frames))
+    many = alerts.evaluate_alerts(frames.execution_log, rules, most_broadcast=rules.where("enabled").count() - 1)
+    for df in (routed, many):
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
 
 
