@@ -34,7 +34,8 @@ SOURCE_WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
 MAX_EPOCHS = 2
 
-# The tables' hosts lie below these names, as if each were a public suffix.
+# The tables' hosts lie below these names, as if each were a public suffix; besides, the
+# general rule for country domains holds.
 URL_SUFFIXES = ["example.com", "example.net", "example.org"]
 
 

@@ -51,10 +51,21 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
     return pattern, verdict
 
 
+# Second-level names of country domains under which anyone can register.
+SHARED_LABELS = "ac co com edu gob gov go ltd me mil ne net nom or org plc sch".split()
+SHARING_COUNTRIES = "ar au br cn co eg gr hk id il in jp ke kr mx my ng nz pe ph pk pl sa sg th tr tw ua uk uy ve vn za".split()
+
+
 def domain_and_suffix(host: Column, suffixes: list[str]) -> tuple[Column, Column]:
-    """Registered domain and public suffix: the longest of ``suffixes``, else the last label."""
-    suffix = F.substring_index(host, ".", -1)
-    labels = F.lit(1)
+    """Registered domain and public suffix of a host.
+
+    The suffix is the longest of ``suffixes`` that fits; else two labels where a shared
+    label stands below a country that shares it (``co.uk``, ``com.au``); else the last label.
+    """
+    last, second = F.substring_index(host, ".", -1), F.substring_index(F.substring_index(host, ".", -2), ".", 1)
+    shared = host.contains(".") & last.isin(SHARING_COUNTRIES) & second.isin(SHARED_LABELS)
+    suffix = F.when(shared, F.substring_index(host, ".", -2)).otherwise(last)
+    labels = F.when(shared, 2).otherwise(1)
     for known in sorted(suffixes, key=len):
         fits = (host == known) | host.endswith("." + known)
         suffix = F.when(fits, known).otherwise(suffix)

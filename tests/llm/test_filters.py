@@ -42,6 +42,16 @@ def test_host_path_and_rules(llm):
     assert rows["Éa.org/fr/"] == ("org/fr/", "allow")
 
 
+def test_suffixes_of_country_domains(llm):
+    hosts = {
+        "news.site.co.uk": ("site.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "a.b.com.au": ("b.com.au", "com.au"),
+        "site.uk": ("site.uk", "uk"), "co.example.de": ("example.de", "de"), "x.com.de": ("com.de", "de"), "uk": ("uk", "uk"), "": ("", ""),
+    }
+    df = llm.createDataFrame([(h,) for h in hosts], "h string")
+    found = df.select("h", *[c.alias(n) for c, n in zip(domain_and_suffix(F.col("h"), ["example.com"]), "ds", strict=True)])
+    assert {r.h: (r.d, r.s) for r in found.collect()} == hosts
+
+
 def test_domain_and_suffix(llm):
     hosts = ["a.b.example.com", "b.example.com", "example.com", "x.y.org", "org", ""]
     df = llm.createDataFrame([(h,) for h in hosts], "h string")
