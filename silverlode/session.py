@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -58,7 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
         path = spark._jvm.org.apache.hadoop.fs.Path(named)
         home = path.getFileSystem(spark._jsc.hadoopConfiguration())
         return home.makeQualified(path).toString().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if not _LOCAL_SCRATCH:
         _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="silverlode-"))
