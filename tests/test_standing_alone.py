@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pathlib
+import re
 import shutil
 import subprocess
 import sys
@@ -41,4 +42,4 @@ def test_tests_are_collected(rest):
 def test_nothing_else_names_the_optional_package():
     for path in (ROOT / "silverlode").rglob("*.py"):
         if "llm" not in path.relative_to(ROOT).parts:
-            assert "llm" not in path.read_text(), path
+            assert not re.search(r"\bllm\b", path.read_text()), path
