@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from silverlode.operators import alerts
@@ -341,3 +342,61 @@ def test_alert_state_and_output_do_not_grow_with_the_past(spark, tmp_path, alert
     assert sum(r["count"] for r in versions) == 5 * 40 and max(r["count"] for r in versions) == 40
     state = spark.read.format("statestore").option("stateVarName", "open").load(f"file://{tmp_path}/cp")
     assert state.count() == 40
+
+
+class Calls:
+    """State of one rule, without a stream, that counts the calls made to it."""
+
+    def __init__(self):
+        self.entries, self.value, self.count, self.timers = [], None, 0, set()
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        state = Calls()
+        state.get, state.exists, state.update = lambda: state.value, lambda: state.value is not None, lambda v: setattr(state, "value", v)
+        return state
+
+    def registerTimer(self, at):
+        self.count += 1
+        self.timers.add(at)
+
+    def appendList(self, entries):
+        self.count, self.entries = self.count + 1, self.entries + entries
+
+    def put(self, entries):
+        self.count, self.entries = self.count + 1, entries
+
+    def get(self):
+        self.count += 1
+        return iter(self.entries)
+
+    def clear(self):
+        self.count, self.entries = self.count + 1, []
+
+
+class Mark:
+    def __init__(self, minute):
+        self.getCurrentWatermarkInMs = lambda: minute * keyed.MINUTE_MS
+
+
+def test_a_batch_calls_the_alert_state_a_few_times_whatever_its_minutes():
+    state, rule = Calls(), keyed.Cooldown()
+    rule.init(state)
+
+    def firing(minute, cooldown=10):
+        return Row(cooldown_minutes=cooldown, minute=minute, firings=1)
+
+    assert list(rule.handleInputRows(("r",), map(firing, range(5000)), Mark(0))) == []
+    assert list(rule.handleInputRows(("r",), map(firing, range(4000, 5000)), Mark(0))) == []
+    decided = list(rule.handleExpiredTimer(("r",), Mark(4500), None))
+    assert [(r.minute, r.firings) for r in decided] == [(m, 1 + (m >= 4000)) for m in range(4500)]
+    assert [r.minute for r in decided if r.outcome == keyed.SENT] == list(range(0, 4500, 10))
+    # What is open stays, merged, with a timer for its first minute.
+    assert state.entries == [(m, 2, 10) for m in range(4500, 5000)] and 4501 * keyed.MINUTE_MS in state.timers
+    assert state.count < 10
+    late = list(rule.handleInputRows(("r",), [firing(7)], Mark(4500)))
+    assert [(r.minute, r.outcome) for r in late] == [(7, keyed.LATE)]
+    rest = list(rule.handleExpiredTimer(("r",), Mark(9000), None))
+    assert [r.minute for r in rest if r.outcome == keyed.SENT] == list(range(4500, 5000, 10)) and state.entries == []
