@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from silverlode.functions import text
 from silverlode.operators import cleanse, gold
+from silverlode.plans.catalog import QUERIES
 
 HR = "employee_id string, first_name string, last_name string, email string, department string, job_title string, hire_date string, salary string, employment_status string, manager_id string, office_location string, created_datetime string"
 PAY = "payment_id string, employee_id string, pay_period_start string, pay_period_end string, gross_pay string, tax_withheld string, deductions string, net_pay string, payment_date string, payment_method string, bank_account_last4 string, created_datetime string"
@@ -156,3 +158,13 @@ def test_metrics_without_optional_columns(spark):
     row = gold.finance_hr_metrics(spark.createDataFrame([("A",)], "department string")).first()
     assert (row.employee_count, row.avg_salary, row.earliest_hire) == (1, 0, None)
     assert gold.generic_metrics(spark.range(5)).first().total_records == 5
+
+
+def test_unpaid_report_reads_every_payment(staff, spark):
+    # Employees 4 and 13 are paid, 5 and 6 are not; 7 has left.
+    hired = {5: "2020-01-01", 6: "2021-01-01"}
+    hr = staff(*[employee(i, hire_date=hired.get(i, "2019-01-01")) for i in (4, 5, 6, 13)], employee(7, employment_status="terminated"))
+    raw = spark.createDataFrame([payment(1, 4), payment(2, 13)], PAY)
+    paid = cleanse.payroll_bronze_to_silver(raw, hr, "podA", "2025-01-01", AT)
+    out = QUERIES["gd_15_active_without_payroll"].build(SimpleNamespace(silver_hr=hr, silver_payroll=paid)).collect()
+    assert [(r.employee_id, r.total_payments) for r in out] == [(6, 0), (5, 0)]
