@@ -453,3 +453,19 @@ def test_layouts_of_hard_columns(spark, tmp_path):
     sinks.cluster_by_curve(df, f"{tmp_path}/t", ["flag", "s"])
     assert spark.read.parquet(f"{tmp_path}/t").count() == 3
     sinks.cluster_by_curve(df.limit(0), f"{tmp_path}/e", ["flag", "s"])
+
+
+def test_a_tree_is_listed_in_tasks_without_the_drivers_file_index(spark, tmp_path):
+    sizes = {"a.txt": 1, "x/b #1.txt": 2, "x/y/c%20.txt": 3, "x/y/z/d.txt": 4, "_day=1/e.txt": 5}
+    for name, size in (sizes | {"_tmp": 9, ".hidden/f.txt": 9, "x/_SUCCESS": 9, "x/g._COPYING_": 9}).items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"x" * size)
+    (tmp_path / "in" / "empty").mkdir()
+    root = f"file://{tmp_path}/in"
+    found = files.list_tree(spark, root)
+    below = files.below(spark, root, F.col("path"))
+    assert {(r[0], r[1]) for r in found.select(below, "size_bytes").collect()} == set(sizes.items())
+    same = files.list_files(spark, root)
+    assert {(r.file_name, r.size_bytes) for r in found.collect()} == {(r.file_name, r.size_bytes) for r in same.collect()}
+    # Result and plan hold the levels' listings, not the files themselves.
+    assert "binaryFile" not in found._jdf.queryExecution().toString() and len(found.inputFiles()) < 40
