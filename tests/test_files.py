@@ -469,3 +469,28 @@ def test_a_tree_is_listed_in_tasks_without_the_drivers_file_index(spark, tmp_pat
     assert {(r.file_name, r.size_bytes) for r in found.collect()} == {(r.file_name, r.size_bytes) for r in same.collect()}
     # Result and plan hold the levels' listings, not the files themselves.
     assert "binaryFile" not in found._jdf.queryExecution().toString() and len(found.inputFiles()) < 40
+
+
+def test_rows_of_a_sheet_are_read_without_a_step_per_element():
+    # Rows longer than a block, empty rows, gaps, unnamed columns and shared strings.
+    main = workbooks.MAIN[1:-1]
+    long = "x" * (3 * workbooks.BLOCK_BYTES)
+    body = '<row><c r="A1" t="inlineStr"><is><r><t>A</t></r><r><t>a</t></r></is></c><c r="C1"><v>C</v></c></row>'
+    body += "".join(f'<row><c r="A{i}" t="s"><v>{i % 2}</v></c><c r="B{i}"><v>7</v></c></row><row/>' for i in range(4000))
+    body += f'<row><c r="C9" t="inlineStr"><is><t>{long}</t></is></c></row>'
+    xml = f'<worksheet xmlns="{main}"><cols><col/></cols><sheetData>\n{body}</sheetData><row/></worksheet>'.encode()
+    stream, blocks = io.BytesIO(xml), []
+
+    class Noted:
+        def read(self, n):
+            blocks.append(n)
+            return stream.read(n)
+
+    assert sum(1 for _ in workbooks._row_elements(Noted())) == 8002
+    assert set(blocks) == {workbooks.BLOCK_BYTES}
+    with zipfile.ZipFile(io.BytesIO(), "w") as z:
+        z.writestr("s.xml", xml)
+        found = list(workbooks._sheet_batches(z, "p", "s", "s.xml", ["zero", "one"], None))
+    cells = [c for b in found for c in b.column(3).to_pylist()]
+    assert [b.num_rows for b in found] == [5000, 3001]
+    assert cells[:4] == [[("Aa", "zero")], [], [("Aa", "one")], []] and cells[-1] == [("C", long)]
