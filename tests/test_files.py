@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from silverlode.functions import curves, paths
 from silverlode.operators import integrity
-from silverlode.plans import deliveries
+from silverlode.plans import catalog_files, deliveries
+from silverlode.plans.frames import Frames
 from silverlode.sources import archives, files, manifests, remote, sinks, workbooks
 from silverlode.sources.remote import write_stream
 
@@ -494,3 +495,11 @@ def test_rows_of_a_sheet_are_read_without_a_step_per_element():
     cells = [c for b in found for c in b.column(3).to_pylist()]
     assert [b.num_rows for b in found] == [5000, 3001]
     assert cells[:4] == [[("Aa", "zero")], [], [("Aa", "one")], []] and cells[-1] == [("C", long)]
+
+
+def test_workbook_rows_use_all_cores(spark, tmp_path):
+    # One small file is one task.
+    spark.range(300).select(F.col("id").alias("c_custkey"), F.lit(1.5).alias("c_acctbal")).coalesce(1).write.parquet(f"file://{tmp_path}/customer.parquet")
+    rows = catalog_files.workbook_rows(Frames(spark, f"file://{tmp_path}"))
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    assert rows.count() == 300 * 10 + 3 * 10
