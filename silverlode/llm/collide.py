@@ -2,15 +2,21 @@
 
 Members of lists of up to ``SHORT`` are paired if their sizes and one-bit sketches allow
 similarity.  Members of longer lists are not compared with each other at first.  Such a
-list has a pivot, its most connected member, and every member is compared with the
-pivots of its lists.  The comparison leaves, per member and pivot, the exact number of
+list has a pivot, and every member is compared with the pivots of its lists.  That is
+the list's most connected member or, if that has a near copy which leads one of its
+other lists, the most connected of those; so one pivot serves a group of near copies
+in most of its lists.  The comparison leaves, per member and pivot, the exact number of
 common shingles and the shingles that the pivot lacks.  Two members of a pivot's lists
 that are not linked through it can only be similar if
 
 * they share one of those lacking shingles, or
 * all they share lies in the pivot, and then both counts bound their intersection.
 
-Lacking shingles that more than ``COMMON`` members have are counted to the pivot instead
+Similar members share four fifths of either, so at least what that leaves beyond the
+pivot's common shingles are shared lacking ones.  By the prefix filter two such sets meet
+in the first of them, a fifth of a member's size and one at most, and only those are
+written out.  Where more than ``COMMON`` members have one of these, its members' other
+lacking shingles follow, and the common ones among them are counted to the pivot instead
 (the bound holds for any fixed set), so lists stay short in both cases.  Each is a join
 that finds next to nothing in a group of near copies of one text, where all pairs would
 be its square.  The links found have the components of all links.
@@ -54,11 +60,19 @@ def short_pairs(hits: DataFrame, percent: int) -> DataFrame:
 
 def pivot_pairs(hits: DataFrame) -> DataFrame:
     """Distinct ``(a, b)``: the pivots ``a`` of long lists and their other members ``b``."""
-    long = hits.where(F.col("n") > SHORT).select("token", "node", "n")
+    long = hits.where(F.col("n") > SHORT).select("token", "node", "n", "bits")
     weights = long.groupBy("node").agg(F.sum("n").alias("weight"))
-    weighed = long.select("token", "node").join(weights, "node")
-    pivots = weighed.groupBy("token").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("a"))
-    met = long.join(pivots, "token").select("a", F.col("node").alias("b"))
+    weighed = long.select("token", "node", "bits").join(weights, "node")
+    lead = F.max_by(F.struct("node", "weight", "bits"), F.struct("weight", -F.col("node"))).alias("lead")
+    leads = materialize(weighed.groupBy("token").agg(lead).select("token", "lead.*"), "leads")
+    # A lead's own lists and who leads them; itself is one of those.
+    lists = long.select("token", "node", "bits").join(leads.select("node").distinct(), "node").alias("l")
+    near = F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.bits"))) <= MOST_BITS
+    others = lists.join(leads.alias("r"), (F.col("l.token") == F.col("r.token")) & near)
+    others = others.select(F.col("l.node").alias("lead"), F.col("r.node").alias("other"), "r.weight")
+    pivots = others.groupBy("lead").agg(F.max_by("other", F.struct("weight", -F.col("other"))).alias("a"))
+    leads = leads.select("token", F.col("node").alias("lead")).join(pivots, "lead")
+    met = long.join(leads, "token").select("a", F.col("node").alias("b"))
     return met.where("a != b").distinct()
 
 
@@ -160,21 +174,38 @@ def remaining_pairs(against: DataFrame, found: DataFrame, percent: int) -> DataF
     def apart(left: str, right: str) -> Column:
         return (F.col(f"{left}.label") != F.col(f"{right}.label")) & similar_sizes(left, right, percent)
 
-    # Members that share a shingle their pivot lacks.
+    def meeting(shingles: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs that share a shingle of few members, and the rows of shingles that many have."""
+        several = shingles.groupBy("a", "shingle").agg(
+            F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
+        )
+        several = several.where("lo < hi").select("a", "shingle", "n")
+        shared = materialize(shingles.join(several, ["a", "shingle"]), "shared")
+        l, r = shared.where(F.col("n") <= COMMON).alias("l"), shared.where(F.col("n") <= COMMON).alias("r")
+        on = (F.col("l.a") == F.col("r.a")) & (F.col("l.shingle") == F.col("r.shingle"))
+        pairs = _ordered(l.join(r, on & (F.col("l.label") < F.col("r.label")) & apart("l", "r")))
+        return pairs, shared.where(F.col("n") > COMMON)
+
+    # Members that share a shingle their pivot lacks.  Similar ones share at least ``owed``
+    # of those, so they meet before the last ``owed - 1``.
     lacking = against.select("a", F.col("b").alias("node"), "lacking")
-    lacking = lacking.join(members.select("a", "node", "size", "label"), ["a", "node"])
-    shingles = materialize(lacking, "lacking").select("a", F.explode("lacking").alias("shingle"), "node", "size", "label")
-    several = shingles.groupBy("a", "shingle").agg(
-        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
-    )
-    several = several.where("lo < hi").select("a", "shingle", "n")
-    shingles = materialize(shingles.join(several, ["a", "shingle"]), "shared")
-    l, r = shingles.where(F.col("n") <= COMMON).alias("l"), shingles.where(F.col("n") <= COMMON).alias("r")
-    on = (F.col("l.a") == F.col("r.a")) & (F.col("l.shingle") == F.col("r.shingle"))
-    outside = _ordered(l.join(r, on & (F.col("l.label") < F.col("r.label")) & apart("l", "r")))
+    lacking = lacking.join(members.select("a", "node", "size", "label", "common"), ["a", "node"])
+    owed = F.ceil(F.col("size") * percent / 100) - F.col("common")
+    lacking = lacking.withColumn("ahead", (F.size("lacking") - F.greatest(owed, F.lit(1)) + 1).cast("int")).drop("common")
+    lacking = materialize(lacking, "lacking")
+    columns = ["a", "node", "size", "label"]
+    ahead = lacking.select(*columns, F.expr("slice(lacking, 1, ahead)").alias("ahead"))
+    ahead = materialize(ahead.select(*columns, F.explode("ahead").alias("shingle")), "ahead")
+    outside, crowded = meeting(ahead)
+    # Members that meet in crowds alone may share any other shingle.
+    crowd = materialize(crowded.select("a", "node").distinct(), "crowd")
+    beyond = lacking.where("ahead < size(lacking)").join(crowd, ["a", "node"])
+    beyond = beyond.select(*columns, F.explode(F.expr("slice(lacking, ahead + 1, size(lacking))")).alias("shingle"))
+    more, crowded = meeting(ahead.join(crowd, ["a", "node"]).select(*columns, "shingle").union(beyond))
+    outside = outside.union(more)
 
     # Members whose pivot, with the common shingles, could hold all that they share.
-    extra = shingles.where(F.col("n") > COMMON).groupBy("a", "node").agg(F.count("*").alias("extra"))
+    extra = crowded.groupBy("a", "node").agg(F.count("*").alias("extra"))
     plain = members.join(extra, ["a", "node"], "left")
     plain = plain.withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
     plain = materialize(plain, "bounds")

@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.llm import hashing
+from silverlode.llm import collide, hashing
 from silverlode.llm.components import components
 from silverlode.llm.exact_stream import exact_duplicates
 from silverlode.llm.near_dup import near_duplicates, one_of_each
@@ -68,6 +68,39 @@ def test_near_duplicates_equal_brute_force(llm):
     assert len(rows) == len(texts) and len(set(expected.values())) > 30
 
 
+def crowds() -> dict[int, str]:
+    """Near copies that differ from each other, and long texts that share only a passage."""
+    base, other, passage = prose(21, 150), prose(22, 120), prose(23, 40)
+    texts = {i: edited(base, 700 + i, 1 + i % 9) for i in range(90)}
+    texts |= {200 + i: edited(other, 800 + i, i % 12) for i in range(50)}
+    texts |= {400 + i: prose(950 + i, 60 + i) + " " + passage for i in range(60)}
+    return texts
+
+
+@pytest.mark.parametrize("common", [collide.COMMON, 2])
+def test_lacking_shingles_are_written_once_and_in_part(llm, monkeypatch, common):
+    written = {}
+
+    def kept(df, label, materialize=collide.materialize):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(collide, "materialize", kept)
+    monkeypatch.setattr(collide, "COMMON", common)
+    texts = crowds()
+    docs = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_duplicates(docs, shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute_components(texts, 4)
+    ahead = collections.Counter((r.a, r.node) for r in written["ahead"].collect())
+    sizes = {i: len(shingles(t, 4)) for i, t in texts.items()}
+    assert ahead and all(n <= sizes[node] // 5 + 1 for (_, node), n in ahead.items())
+    # Before, each of the lists that near copies share had a pivot of its own.
+    pivots = collections.defaultdict(set)
+    for a, b in written["pairs"].collect():
+        pivots[b // 200].add(a)
+    assert len(pivots[0]) <= 4
+
+
 def test_near_duplicates_of_awkward_rows(awkward, no_documents):
     rows = near_duplicates(awkward).collect()
     assert len(rows) == len(AWKWARD)
