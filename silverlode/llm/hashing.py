@@ -166,16 +166,20 @@ def digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def signatures(sets: Sequence[np.ndarray], coordinates: int) -> np.ndarray:
-    """MinHash signatures of non-empty sets, one row each, as 32-bit values."""
-    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    values = np.concatenate(sets)
-    out = np.empty((len(sets), coordinates), np.uint32)
+def least(values: np.ndarray, starts: np.ndarray, coordinates: int) -> np.ndarray:
+    """MinHash signatures of the non-empty sets that begin at ``starts``, one row each, as 32-bit values."""
+    out = np.empty((len(starts), coordinates), np.uint32)
     for k, factor in enumerate(constants(coordinates, 31)):
         out[:, k] = np.minimum.reduceat((values * factor) >> np.uint64(32), starts)
     return out
 
 
+def signatures(sets: Sequence[np.ndarray], coordinates: int) -> np.ndarray:
+    """MinHash signatures of non-empty sets, one row each, as 32-bit values."""
+    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
+    return least(np.concatenate(sets), starts, coordinates)
+
+
 def low_bits(signature: np.ndarray) -> np.ndarray:
     """The lowest bits of 64 coordinates as one 64-bit value per row."""
     return np.packbits((signature[:, :64] & 1).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()

@@ -36,20 +36,28 @@ ANCHOR = 3
 BANDS = 6
 ROWS = 3
 
-UNITS = "doc_id long, start long, end long, first long, size long, words long, digest binary, tokens array<long>"
+# Texts are cut together in runs of about so many bytes.
+RUN_BYTES = 1 << 18
 
+UNITS = (
+    "doc_id long, start long, end long, first long, size long, words long, digest binary, tokens array<long>, mark long"
+)
 
-def cuts(text: bytes, starts: np.ndarray, ends: np.ndarray, sentence: int) -> np.ndarray:
-    """Index of the last word of every paragraph of ``text``, given its words."""
-    codes = np.frombuffer(text, np.uint8)
+
+def _stops() -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(b".!?")] = True
+    return out
+
+
+def cuts(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, sentence: int) -> np.ndarray:
+    """Index of the last word of every paragraph of texts joined by line ends, given their words."""
     line_end = np.zeros(len(starts), bool)
     breaks = np.searchsorted(starts, np.flatnonzero(codes == 10)) - 1
     line_end[breaks[breaks >= 0]] = True
     line_end[-1] = True
-    sentence_end = np.isin(codes[ends - 1], list(b".!?")) | line_end
-    at = np.flatnonzero(sentence_end)
-    length = np.diff(at, prepend=-1)
-    return at[(length >= sentence) | line_end[at]]
+    at = np.flatnonzero(_stops()[codes[ends - 1]] | line_end)
+    return at[(np.diff(at, prepend=-1) >= sentence) | line_end[at]]
 
 
 def _sliding(values: np.ndarray, pick: np.ufunc) -> np.ndarray:
@@ -61,82 +69,148 @@ def _sliding(values: np.ndarray, pick: np.ufunc) -> np.ndarray:
     return out
 
 
-def windows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of every window; texts of fewer than ``WINDOW + EVERY`` words have none."""
+def _without_overlaps(at: np.ndarray, hashes: np.ndarray) -> list[int]:
+    """Text that repeats itself: which windows stay so that equal ones do not overlap."""
+    last: dict[int, int] = {}
+    keep = []
+    for i, (place, value) in enumerate(zip(at.tolist(), hashes.tolist(), strict=True)):
+        if place - last.get(value, -WINDOW) >= WINDOW:
+            last[value] = place
+            keep.append(i)
+    return keep
+
+
+def windows(words: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every window of texts whose words end at ``until``.
+
+    Texts of fewer than ``WINDOW + EVERY`` words have none.
+    """
+    counts = np.diff(until, prepend=0)
     if len(words) < WINDOW + EVERY:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     keys = hashing.shingle_hashes(words, ANCHOR)
+    least = _sliding(keys, np.minimum)
+    # Runs of neighbours that do not lie in one text of enough words count as 0.
+    ends = np.repeat(np.where(counts >= WINDOW + EVERY, until, 0), counts)[: len(least)]
+    least[np.arange(len(least)) + EVERY + ANCHOR - 1 > ends] = 0
     edge = np.zeros(EVERY - 1, np.uint64)
     # Least of some run of neighbours: the largest of the least values of its runs is its own.
-    least = np.concatenate((edge, _sliding(keys, np.minimum), edge))
-    at = np.flatnonzero(_sliding(least, np.maximum) == keys)
-    at = at[at + WINDOW <= len(words)]
-    hashes = hashing.shingle_hashes(words, WINDOW)[at]
-    if np.any(hashes[1:] == hashes[:-1]):
-        # Text that repeats itself: equal windows do not overlap.
-        last: dict[int, int] = {}
-        keep = []
-        for i, (place, value) in enumerate(zip(at.tolist(), hashes.tolist(), strict=True)):
-            if place - last.get(value, -WINDOW) >= WINDOW:
-                last[value] = place
-                keep.append(i)
-        at, hashes = at[keep], hashes[keep]
+    chosen = _sliding(np.concatenate((edge, least, edge)), np.maximum) == keys
+    at = np.flatnonzero(chosen)
+    of = np.searchsorted(until, at, side="right")
+    inside = (at + WINDOW <= until[of]) & (counts[of] >= WINDOW + EVERY)
+    at, of = at[inside], of[inside]
+    factors = hashing.constants(WINDOW, 1000 + WINDOW)
+    total = np.zeros(len(at), np.uint64)
+    for j in range(WINDOW):
+        total += words[at + j] * factors[j]
+    hashes = hashing.mix(total)
+    again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (of[1:] == of[:-1]))
+    if len(again):
+        stays = np.ones(len(at), bool)
+        for text in np.unique(of[again]).tolist():
+            lo, hi = np.searchsorted(of, [text, text + 1])
+            stays[lo:hi] = False
+            stays[lo + np.array(_without_overlaps(at[lo:hi], hashes[lo:hi]))] = True
+        at, hashes = at[stays], hashes[stays]
     return at, hashes
 
 
+def _runs(ids: list, texts: list) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Ids and texts in runs of about ``RUN_BYTES``; a longer text may make its own."""
+    at, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or b"") + 1
+        if size >= RUN_BYTES or i + 1 == len(texts):
+            yield np.array(ids[at : i + 1], np.int64), [t or b"" for t in texts[at : i + 1]]
+            at, size = i + 1, 0
+
+
+def _sizes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Number of distinct values of each of the consecutive sets of ``counts`` values."""
+    of = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    # Sets with equal low bits may repeat a value.
+    keys = np.sort(of << np.uint64(32) | values & np.uint64(0xFFFFFFFF))
+    out, begins = counts.copy(), np.cumsum(counts) - counts
+    for i in np.unique(keys[1:][keys[1:] == keys[:-1]] >> np.uint64(32)).astype(np.int64).tolist():
+        out[i] = len(hashing.distinct(values[begins[i] : begins[i] + counts[i]]))
+    return out
+
+
+def _shingles(words: np.ndarray, first: np.ndarray, last: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every paragraph's shingles, repeated ones too, and their number."""
+    counts = np.maximum(last - first + 2 - shingle, 1)
+    values = np.empty(int(counts.sum()), np.uint64)
+    begins = np.cumsum(counts) - counts
+    few = last - first + 1 < shingle
+    if len(words) >= shingle:
+        place = np.repeat(first - begins, counts) + np.arange(len(values))
+        whole = np.repeat(~few, counts)
+        values[whole] = hashing.shingle_hashes(words, shingle)[place[whole]]
+    for i in np.flatnonzero(few).tolist():
+        values[begins[i]] = hashing.shingle_hashes(words[first[i] : last[i] + 1], shingle)[0]
+    return values, counts
+
+
 def units(
     docs: DataFrame, id_column: str, text_column: str, shingle: int, min_words: int, sentence: int = SENTENCE
 ) -> DataFrame:
     """Paragraphs of at least ``min_words`` words with place, set size, digest and band tokens.
 
     Whatever has the length at which sentences are cut is judged too.  ``start`` and
-    ``end`` count characters, ``first`` and ``words`` count words.  Windows have a hash
-    of 8 bytes as digest and neither size nor tokens.
+    ``end`` count characters, ``first`` and ``words`` count words.  Windows have their
+    hash as ``mark`` and neither size, digest nor tokens.
     """
     shortest = min(min_words, sentence)
+    names = [f.split()[0] for f in UNITS.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            sets = []
-            marks: list[list] = [[] for _ in range(5)]
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = (text or b"").lower()
-                words, starts, ends = hashing.text_words(text)
-                if len(words) < shortest:
+            for ids, texts in _runs(*(c.to_pylist() for c in batch.columns)):
+                joined = b"\n".join(texts).lower()
+                words, starts, ends = hashing.text_words(joined)
+                if not len(words):
                     continue
-                last = cuts(text, starts, ends, sentence)
+                codes = np.frombuffer(joined, np.uint8)
+                begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+                until = np.searchsorted(starts, begins[1:])
+                begun = until - np.diff(until, prepend=0)
+                chars = np.concatenate(([0], np.cumsum((codes & 0xC0) != 0x80)))
+
+                def places(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+                    """Id, first and last character and first word of the words ``a`` to ``b`` of one text each."""
+                    of = np.searchsorted(until, a, side="right")
+                    base = chars[begins[of]]
+                    return [ids[of], chars[starts[a]] - base, chars[ends[b]] - base, a - begun[of]]
+
+                last = cuts(codes, starts, ends, sentence)
                 first = np.concatenate(([0], last[:-1] + 1))
                 long = last + 1 - first >= shortest
-                chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
-                for a, b in zip(first[long].tolist(), last[long].tolist(), strict=True):
-                    values = hashing.distinct(hashing.shingle_hashes(words[a : b + 1], shingle))
-                    sets.append(values)
-                    row = (doc, int(chars[starts[a]]), int(chars[ends[b]]), a, len(values), b + 1 - a, hashing.digest(words[a : b + 1]))
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                at, hashes = windows(words)
+                first, last = first[long], last[long]
+                if len(first):
+                    values, counts = _shingles(words, first, last, shingle)
+                    sign = hashing.least(values, np.cumsum(counts) - counts, BANDS * ROWS).astype(np.uint64)
+                    sign = sign.reshape(-1, BANDS, ROWS)
+                    factors = hashing.constants(BANDS * ROWS, 91).reshape(BANDS, ROWS)
+                    tokens = hashing.mix((sign * factors).sum(axis=2, dtype=np.uint64) + factors[:, 0]).view(np.int64)
+                    offsets = np.arange(len(first) + 1, dtype=np.int32) * BANDS
+                    numbers = [*places(first, last), _sizes(values, counts), last + 1 - first]
+                    digests = [hashing.digest(words[a : b + 1]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                    columns = [pa.array(c.astype(np.int64)) for c in numbers] + [pa.array(digests, pa.binary())]
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.ravel())))
+                    columns.append(pa.nulls(len(first), pa.int64()))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                # Texts too short to be judged have no windows either.
+                at, hashes = windows(words, until)
+                if shortest > WINDOW + EVERY:
+                    enough = np.diff(until, prepend=0)[np.searchsorted(until, at, side="right")] >= shortest
+                    at, hashes = at[enough], hashes[enough]
                 if len(at):
-                    place = (np.full(len(at), doc), chars[starts[at]], chars[ends[at + WINDOW - 1]], at, hashes)
-                    for column, values in zip(marks, place, strict=True):
-                        column.append(values)
-            names = [f.split()[0] for f in UNITS.split(", ")]
-            if sets:
-                sign = hashing.signatures(sets, BANDS * ROWS).astype(np.uint64).reshape(-1, BANDS, ROWS)
-                factors = hashing.constants(BANDS * ROWS, 91).reshape(BANDS, ROWS)
-                tokens = hashing.mix((sign * factors).sum(axis=2, dtype=np.uint64) + factors[:, 0]).view(np.int64)
-                offsets = np.arange(len(sets) + 1, dtype=np.int32) * BANDS
-                columns = [pa.array(c, pa.int64()) for c in out[:6]] + [pa.array(out[6], pa.binary())]
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.ravel())))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-            if marks[0]:
-                *place, hashes = (np.concatenate(c) for c in marks)
-                n = len(hashes)
-                columns = [pa.array(c.astype(np.int64)) for c in place]
-                columns += [pa.nulls(n, pa.int64()), pa.array(np.full(n, WINDOW, np.int64))]
-                columns.append(pa.array(hashes.view("V8").tolist(), pa.binary()))
-                columns.append(pa.nulls(n, pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                    n = len(at)
+                    columns = [pa.array(c.astype(np.int64)) for c in places(at, at + WINDOW - 1)]
+                    columns += [pa.nulls(n, pa.int64()), pa.array(np.full(n, WINDOW, np.int64))]
+                    columns += [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.array(hashes.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
     return rows.where("doc_id is not null").mapInArrow(work, UNITS)
@@ -173,8 +247,8 @@ def repeated_paragraphs(
     documents hold posts its tokens once.
     """
     places = materialize(units(docs, id_column, text_column, shingle, min_words), "paragraphs")
-    marks = places.where("tokens is null")
-    places = places.where("tokens is not null")
+    marks = places.where("mark is not null").select("doc_id", "start", "end", "first", "mark")
+    places = places.where("mark is null")
     first = F.min(F.struct("doc_id", "start", "end", "size", "tokens")).alias("first")
     classes = places.groupBy("digest").agg(first, F.max("doc_id").alias("last"))
     classes = materialize(
@@ -202,18 +276,19 @@ def repeated_paragraphs(
     rows = places.select("doc_id", "start", "end", "first", "words", "digest").join(shared, "digest")
 
     # Few windows recur, so only those are carried further.
-    several = marks.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
-    several = several.where("least < last").select("digest")
-    again = materialize(marks.join(several, "digest").drop("size", "tokens"), "windows")
-    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "start", "end")).alias("keep"))
+    several = marks.groupBy("mark").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
+    several = several.where("least < last").select("mark")
+    again = materialize(marks.join(several, "mark"), "windows")
+    firsts = again.groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("keep"))
     firsts = materialize(firsts.withColumn("component_id", -1 - F.monotonically_increasing_id()), "first-windows")
-    rows = rows.unionByName(again.join(firsts, "digest").select(rows.columns))
+    again = again.join(firsts, "mark").withColumn("words", F.lit(WINDOW).cast("long"))
+    rows = rows.drop("digest").unionByName(again.drop("mark"))
     # What overlaps the copy that stays, in a text that repeats itself, stays with it.
     inside = (F.col("doc_id") == F.col("keep.doc_id")) & (F.col("start") > F.col("keep.start"))
     rows = rows.where(~(inside & (F.col("start") < F.col("keep.end"))))
 
     # Neighbours: at most a judged paragraph's length of unjudged words between them.
-    order = Window.partitionBy("doc_id").orderBy("first", "words", "digest")
+    order = Window.partitionBy("doc_id").orderBy("first", "words")
     until = F.col("first") + F.col("words")
     before = F.max(until).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("before", before)

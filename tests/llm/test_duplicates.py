@@ -6,10 +6,11 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.llm import collide, hashing
+from silverlode.llm import collide, hashing, paragraphs
 from silverlode.llm.components import components
 from silverlode.llm.exact_stream import exact_duplicates
 from silverlode.llm.near_dup import near_duplicates, one_of_each
@@ -250,6 +251,33 @@ def test_paragraph_clusters_equal_brute_force(llm):
     assert {frozenset(g) for g in got.values()} == expected
 
 
+def test_texts_cut_together_have_the_units_of_each_alone(llm):
+    texts = [prose(i, 5 + 7 * i) for i in range(12)] + ["", "la li lu " * 40, " \n", prose(40, 24), prose(41, 25)]
+    alone, at, until, joined = [], 0, [], []
+    for text in texts:
+        one = hashing.text_words(text.encode())[0]
+        places, hashes = paragraphs.windows(one, np.array([len(one)]))
+        alone += zip((places + at).tolist(), hashes.tolist(), strict=True)
+        at += len(one)
+        until.append(at)
+        joined.append(one)
+    together = paragraphs.windows(np.concatenate(joined), np.array(until))
+    assert alone and list(zip(*(x.tolist() for x in together), strict=True)) == alone
+
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = paragraphs.units(docs, "doc_id", "text", 5, 16).collect()
+    # A window is a number; only paragraphs have a digest and tokens.
+    assert sorted((r.doc_id, r["first"]) for r in found if r.mark is not None) == sorted(
+        (i, place - until[i] + len(joined[i])) for place, _ in alone for i in [np.searchsorted(until, place, "right")]
+    )
+    for r in found:
+        cut = texts[r.doc_id][r.start : r.end]
+        assert words(cut) == words(texts[r.doc_id])[r["first"] : r["first"] + r.words]
+        assert (r.mark is None) == (r.digest is not None) == (r.tokens is not None)
+        assert r.mark is not None or r.size == len(shingles(cut, 5))
+
+
 def test_cutting_repeats_leaves_the_first_copy(planted):
     left = {r.doc_id: r.text for r in without_repeats(planted, repeated_paragraphs(planted)).collect()}
     texts = dict(planted.collect())
