@@ -158,8 +158,8 @@ def units(
     """Paragraphs of at least ``min_words`` words with place, set size, digest and band tokens.
 
     Whatever has the length at which sentences are cut is judged too.  ``start`` and
-    ``end`` count characters, ``first`` and ``words`` count words.  Windows have their
-    hash as ``mark`` and neither size, digest nor tokens.
+    ``end`` count characters, ``first`` and ``words`` count words.  Windows have the
+    bytes of their hash as ``mark`` and neither size, digest nor tokens.
     """
     shortest = min(min_words, sentence)
     names = [f.split()[0] for f in UNITS.split(", ")]
@@ -209,7 +209,7 @@ def units(
                     n = len(at)
                     columns = [pa.array(c.astype(np.int64)) for c in places(at, at + WINDOW - 1)]
                     columns += [pa.nulls(n, pa.int64()), pa.array(np.full(n, WINDOW, np.int64))]
-                    columns += [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.array(hashes.view(np.int64))]
+                    columns += [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.array(hashes.byteswap().view(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
@@ -279,7 +279,10 @@ def repeated_paragraphs(
     several = marks.groupBy("mark").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
     several = several.where("least < last").select("mark")
     again = materialize(marks.join(several, "mark"), "windows")
-    firsts = again.groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("keep"))
+    # Clusters are numbered in the order of the hashes' bytes.
+    digest = F.unhex(F.lpad(F.hex("mark"), 16, "0")).alias("digest")
+    firsts = again.groupBy(digest).agg(F.min(F.struct("doc_id", "start", "end")).alias("keep"), F.min("mark").alias("mark"))
+    firsts = firsts.drop("digest")
     firsts = materialize(firsts.withColumn("component_id", -1 - F.monotonically_increasing_id()), "first-windows")
     again = again.join(firsts, "mark").withColumn("words", F.lit(WINDOW).cast("long"))
     rows = rows.drop("digest").unionByName(again.drop("mark"))
