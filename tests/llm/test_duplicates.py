@@ -130,6 +130,22 @@ def test_one_of_each_keeps_the_smallest_id_and_rows_without_id(llm, awkward):
     assert [r.doc_id for r in one_of_each(docs).collect()] == [5]
 
 
+def test_one_of_each_writes_lacking_shingles_in_part(llm, monkeypatch):
+    written = {}
+
+    def kept(df, label, materialize=collide.materialize):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(collide, "materialize", kept)
+    texts = crowds()
+    docs = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = {r.doc_id for r in one_of_each(docs, shingle=5, percent=80).collect()}
+    assert left == {i for i, c in brute_components(texts, 5).items() if i == c}
+    whole = written["lacking"].agg(F.sum(F.size("lacking"))).first()[0]
+    assert 0 < written["ahead"].count() < whole
+
+
 def test_components_of_a_path_a_star_and_loops(llm):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 30)] + [(50, 50)]
     found = dict(components(llm.createDataFrame(edges, "a long, b long")).collect())
