@@ -19,12 +19,17 @@ written out.  Where more than ``COMMON`` members have one of these, its members'
 lacking shingles follow, and the common ones among them are counted to the pivot instead
 (the bound holds for any fixed set), so lists stay short in both cases.  Each is a join
 that finds next to nothing in a group of near copies of one text, where all pairs would
-be its square.  The links found have the components of all links.
+be its square.  A pivot with changes of its own lacks shingles that all others share, so
+the bounds of many members that lie just beyond its reach stay open.  Such a group takes
+the member that shares most with those as its next pivot, up to ``TURNS`` times, and all
+others are compared with it; pairs are listed for the last one alone.  The links found
+have the components of all links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,8 @@ from .components import components
 
 SHORT = 24
 COMMON = 32
+# So often a group that its pivot leaves open gets another one.
+TURNS = 2
 # Of 64 one-bit sketches 6.4 differ on average at a similarity of 0.8, with a deviation
 # of 2.4; 20 are over five deviations away.  Unrelated sets differ in 32.
 MOST_BITS = 20
@@ -151,43 +158,33 @@ def similar_sizes(left: str, right: str, percent: int) -> Column:
 
 
 def _ordered(met: DataFrame) -> DataFrame:
-    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+    """Pairs ``x < y`` of a group ``a``."""
+    return met.select("l.a", F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y"))
 
 
-def remaining_pairs(against: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs that may be linked though their labels ``found`` differ, given ``compared`` rows.
+def _similar(percent: int) -> Column:
+    """``compared`` rows whose sets reach the similarity."""
+    return 100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
 
-    Pairs with the pivot itself have been compared already.
-    """
-    direct = 100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
-    members = against.select(
-        "a", F.col("b").alias("node"), F.col("size_b").alias("size"), "size_a", "common", direct.alias("linked")
-    )
-    members = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    members = materialize(members, "members")
-    groups = members.groupBy("a").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("size").alias("least")
+
+def _meeting(shingles: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that share a shingle of few members, and the rows of shingles that many have."""
+    several = shingles.groupBy("a", "shingle").agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
     )
-    groups = materialize(groups.where("lo < hi").select("a", "least"), "groups")
-    members = materialize(members.join(groups, "a"), "open")
+    several = several.where("lo < hi").select("a", "shingle", "n")
+    shared = materialize(shingles.join(several, ["a", "shingle"]), "shared")
+    l, r = shared.where(F.col("n") <= COMMON).alias("l"), shared.where(F.col("n") <= COMMON).alias("r")
+    on = (F.col("l.a") == F.col("r.a")) & (F.col("l.shingle") == F.col("r.shingle"))
+    pairs = _ordered(l.join(r, on & (F.col("l.label") < F.col("r.label")) & similar_sizes("l", "r", percent)))
+    return pairs, shared.where(F.col("n") > COMMON)
 
-    def apart(left: str, right: str) -> Column:
-        return (F.col(f"{left}.label") != F.col(f"{right}.label")) & similar_sizes(left, right, percent)
 
-    def meeting(shingles: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Pairs that share a shingle of few members, and the rows of shingles that many have."""
-        several = shingles.groupBy("a", "shingle").agg(
-            F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
-        )
-        several = several.where("lo < hi").select("a", "shingle", "n")
-        shared = materialize(shingles.join(several, ["a", "shingle"]), "shared")
-        l, r = shared.where(F.col("n") <= COMMON).alias("l"), shared.where(F.col("n") <= COMMON).alias("r")
-        on = (F.col("l.a") == F.col("r.a")) & (F.col("l.shingle") == F.col("r.shingle"))
-        pairs = _ordered(l.join(r, on & (F.col("l.label") < F.col("r.label")) & apart("l", "r")))
-        return pairs, shared.where(F.col("n") > COMMON)
-
-    # Members that share a shingle their pivot lacks.  Similar ones share at least ``owed``
-    # of those, so they meet before the last ``owed - 1``.
+def _outside(against: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of members that share a shingle their pivot lacks, and the rows of shingles that many have.
+
+    Similar ones share at least ``owed`` of those, so they meet before the last ``owed - 1``.
+    """
     lacking = against.select("a", F.col("b").alias("node"), "lacking")
     lacking = lacking.join(members.select("a", "node", "size", "label", "common"), ["a", "node"])
     owed = F.ceil(F.col("size") * percent / 100) - F.col("common")
@@ -196,31 +193,84 @@ def remaining_pairs(against: DataFrame, found: DataFrame, percent: int) -> DataF
     columns = ["a", "node", "size", "label"]
     ahead = lacking.select(*columns, F.expr("slice(lacking, 1, ahead)").alias("ahead"))
     ahead = materialize(ahead.select(*columns, F.explode("ahead").alias("shingle")), "ahead")
-    outside, crowded = meeting(ahead)
+    few, crowded = _meeting(ahead, percent)
     # Members that meet in crowds alone may share any other shingle.
     crowd = materialize(crowded.select("a", "node").distinct(), "crowd")
     beyond = lacking.where("ahead < size(lacking)").join(crowd, ["a", "node"])
     beyond = beyond.select(*columns, F.explode(F.expr("slice(lacking, ahead + 1, size(lacking))")).alias("shingle"))
-    more, crowded = meeting(ahead.join(crowd, ["a", "node"]).select(*columns, "shingle").union(beyond))
-    outside = outside.union(more)
-
-    # Members whose pivot, with the common shingles, could hold all that they share.
-    extra = crowded.groupBy("a", "node").agg(F.count("*").alias("extra"))
-    plain = members.join(extra, ["a", "node"], "left")
-    plain = plain.withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
-    plain = materialize(plain, "bounds")
-
-    def bound(side: str, size: Column) -> Column:
-        return (100 + percent) * F.col(f"{side}.common") >= percent * (F.col(f"{side}.size") + size)
-
-    # Two members that are both linked to the pivot have one label.
-    loose = plain.alias("l").where(~F.col("l.linked") & bound("l", F.col("l.least")))
-    loose = materialize(loose.select("l.*"), "loose").alias("l")
-    r = plain.alias("r")
-    inside = loose.join(
-        r, (F.col("l.a") == F.col("r.a")) & apart("l", "r") & bound("l", F.col("r.size")) & bound("r", F.col("l.size"))
-    )
-    return outside.union(_ordered(inside)).distinct()
+    more, crowded = _meeting(ahead.join(crowd, ["a", "node"]).select(*columns, "shingle").union(beyond), percent)
+    return few.union(more), crowded
+
+
+def _inside(plain: DataFrame, loose: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose pivot, with the common shingles, could hold all that they share."""
+    l, r = loose.alias("l"), plain.alias("r")
+    most = F.least("l.common", "r.common") + F.least("l.extra", "r.extra")
+    enough = (100 + percent) * most >= percent * (F.col("l.size") + F.col("r.size"))
+    once = F.col("r.linked") | (F.col("l.node") < F.col("r.node"))
+    apart = (F.col("l.label") != F.col("r.label")) & similar_sizes("l", "r", percent)
+    return _ordered(l.join(r, (F.col("l.a") == F.col("r.a")) & apart & enough & once))
+
+
+def _crowds(loose: DataFrame, percent: int) -> DataFrame:
+    """Groups ``a`` where more than ``COMMON`` loose members could be similar to others of their size."""
+    wide = (100 + percent) * (F.col("common") + F.col("extra")) >= 2 * percent * F.col("size")
+    counts = loose.where(wide).groupBy("a").agg(F.count("*").alias("n"))
+    return materialize(counts.where(F.col("n") > COMMON).select("a"), "crowds")
+
+
+def _next_pivots(crowds: DataFrame, plain: DataFrame, loose: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The ``pivot`` of every crowd ``a``: the member that shares most with its loose ones, by counts of shingles."""
+    inside = loose.join(crowds, "a").groupBy("a").agg((F.sum("common") / F.max("size_a")).alias("each"))
+    held = crowded.join(loose.select("a", "node"), ["a", "node"]).groupBy("a", "shingle").agg(F.count("*").alias("held"))
+    beside = crowded.join(held, ["a", "shingle"]).groupBy("a", "node").agg(F.sum("held").alias("beside"))
+    scored = plain.join(inside, "a").join(beside, ["a", "node"], "left")
+    score = F.col("common") * F.col("each") + F.coalesce("beside", F.lit(0))
+    best = F.max_by("node", F.struct(score, -F.col("size"), -F.col("node"))).alias("pivot")
+    return materialize(scored.groupBy("a").agg(best), "next")
+
+
+def remaining_pairs(
+    against: DataFrame, links: DataFrame, texts: DataFrame, shingle: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs that may be linked though their labels differ, all ``links`` known by then and their components.
+
+    ``against`` has ``compared`` rows; pairs with the pivot itself have been compared already.
+    A group whose pivot leaves too many pairs open gets another one, with which all its
+    members are compared; after ``TURNS`` of these the open pairs are listed as they are.
+    """
+    rest = []
+    for turn in range(TURNS + 1):
+        found = components(links)
+        members = against.select(
+            "a", F.col("b").alias("node"), F.col("size_b").alias("size"), "size_a", "common", _similar(percent).alias("linked")
+        )
+        members = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        members = materialize(members, "members")
+        groups = members.groupBy("a").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("size").alias("least")
+        )
+        groups = materialize(groups.where("lo < hi").select("a", "least"), "groups")
+        members = materialize(members.join(groups, "a"), "open")
+        pairs, crowded = _outside(against, members, percent)
+        extra = crowded.groupBy("a", "node").agg(F.count("*").alias("extra"))
+        plain = members.join(extra, ["a", "node"], "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
+        plain = materialize(plain, "bounds")
+        # Two members that are both linked to the pivot have one label.
+        most, size = F.col("common") + F.col("extra"), F.col("size")
+        loose = plain.where(~F.col("linked") & ((100 + percent) * most >= percent * (size + F.col("least"))))
+        loose = materialize(loose, "loose")
+        crowds = _crowds(loose, percent)
+        if turn == TURNS or crowds.isEmpty():
+            rest += [pairs, _inside(plain, loose, percent)]
+            break
+        settled = loose.join(crowds, "a", "left_anti")
+        rest += [pairs.join(crowds, "a", "left_anti").select("a", "x", "y"), _inside(plain, settled, percent)]
+        pivots = _next_pivots(crowds, plain, loose, crowded)
+        again = plain.join(pivots, "a").where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        against = materialize(compared(materialize(again.distinct(), "again"), texts, shingle, percent), "compared")
+        links = materialize(links.union(against.where(_similar(percent)).select("a", "b")), "links")
+    return reduce(DataFrame.union, rest).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), links, found
 
 
 def unlinked(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -243,12 +293,11 @@ def link(tokens: DataFrame, texts_of, shingle: int, percent: int, min_matches: i
     nodes = short.union(pairs).select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = materialize(texts_of(nodes), "texts")
     against = materialize(compared(pairs, texts, shingle, percent), "compared")
-    similar = 100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))
     # One pair per node first; most of the others then lie in one component.
     nearest = short.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = against.where(similar).select("a", "b")
+    first = against.where(_similar(percent)).select("a", "b")
     first = first.union(verified(nearest, texts, shingle, percent, min_matches))
     first = materialize(first, "links")
-    found = components(first)
-    rest = remaining_pairs(against, found, percent).union(unlinked(short, found)).distinct()
-    return first.union(verified(rest, texts, shingle, percent, min_matches))
+    pairs, links, found = remaining_pairs(against, first, texts, shingle, percent)
+    rest = materialize(unlinked(pairs.union(short), found).distinct(), "rest")
+    return links.union(verified(rest, texts, shingle, percent, min_matches))

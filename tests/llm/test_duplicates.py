@@ -102,6 +102,33 @@ def test_lacking_shingles_are_written_once_and_in_part(llm, monkeypatch, common)
     assert len(pivots[0]) <= 4
 
 
+def test_a_pivot_off_the_centre_of_its_group_is_replaced(llm, monkeypatch):
+    base = prose(31, 150).split()
+
+    def changed(i, *places):
+        return " ".join(f"z{i}x{k}" if k in places else w for k, w in enumerate(base))
+
+    # The pivot 0 has a change of its own; the odd ones lie near the unchanged text, but not near the pivot.
+    texts = {0: changed(0, 75), 1: " ".join(base)}
+    texts |= {10 + i: changed(i, 5 + 6 * (i % 23)) for i in range(80)}
+    texts |= {101 + 2 * i: changed(100 + i, *(5 + 6 * ((i + 3 * k) % 11) for k in range(4))) for i in range(80)}
+    compared = []
+
+    def counted(pairs, texts, with_texts=collide._with_texts):
+        compared.append(pairs.count())
+        return with_texts(pairs, texts)
+
+    # All meet the pivot, in place of the lists they share.
+    monkeypatch.setattr(collide, "pivot_pairs", lambda hits: hits.where("node > 0").selectExpr("0L as a", "node as b").distinct())
+    monkeypatch.setattr(collide, "short_pairs", lambda hits, percent: hits.selectExpr("node as a", "node as b").limit(0))
+    monkeypatch.setattr(collide, "_with_texts", counted)
+    docs = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, shingle=4).collect()}
+    assert found == brute_components(texts, 4) == dict.fromkeys(texts, 0)
+    # Before, every odd one with all others: about 9,000 pairs.
+    assert sum(compared) < 4 * len(texts)
+
+
 def test_near_duplicates_of_awkward_rows(awkward, no_documents):
     rows = near_duplicates(awkward).collect()
     assert len(rows) == len(AWKWARD)
