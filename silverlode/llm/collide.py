@@ -232,16 +232,15 @@ def _next_pivots(crowds: DataFrame, plain: DataFrame, loose: DataFrame, crowded:
 
 def remaining_pairs(
     against: DataFrame, links: DataFrame, texts: DataFrame, shingle: int, percent: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs that may be linked though their labels differ, all ``links`` known by then and their components.
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs that may be linked though their labels differ, and the components of all links known by then.
 
     ``against`` has ``compared`` rows; pairs with the pivot itself have been compared already.
     A group whose pivot leaves too many pairs open gets another one, with which all its
     members are compared; after ``TURNS`` of these the open pairs are listed as they are.
     """
-    rest = []
+    rest, found = [], components(links)
     for turn in range(TURNS + 1):
-        found = components(links)
         members = against.select(
             "a", F.col("b").alias("node"), F.col("size_b").alias("size"), "size_a", "common", _similar(percent).alias("linked")
         )
@@ -269,8 +268,9 @@ def remaining_pairs(
         pivots = _next_pivots(crowds, plain, loose, crowded)
         again = plain.join(pivots, "a").where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         against = materialize(compared(materialize(again.distinct(), "again"), texts, shingle, percent), "compared")
-        links = materialize(links.union(against.where(_similar(percent)).select("a", "b")), "links")
-    return reduce(DataFrame.union, rest).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), links, found
+        # What is known goes on as one link to the component for each node.
+        found = components(found.toDF("a", "b").union(against.where(_similar(percent)).select("a", "b")))
+    return reduce(DataFrame.union, rest).select(F.col("x").alias("a"), F.col("y").alias("b")), found
 
 
 def unlinked(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -284,6 +284,8 @@ def unlinked(pairs: DataFrame, found: DataFrame) -> DataFrame:
 def link(tokens: DataFrame, texts_of, shingle: int, percent: int, min_matches: int = 0) -> DataFrame:
     """Links ``(a, b)`` with the components of all similar pairs that share a token.
 
+    A node may be linked to its component instead of a similar one, and to itself.
+
     ``tokens`` is ``(token, node, size, bits)``; equal ``bits`` everywhere switch the
     sketch off.  ``texts_of`` turns a frame of nodes into ``(node, text, signature)``.
     """
@@ -297,7 +299,7 @@ def link(tokens: DataFrame, texts_of, shingle: int, percent: int, min_matches: i
     nearest = short.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     first = against.where(_similar(percent)).select("a", "b")
     first = first.union(verified(nearest, texts, shingle, percent, min_matches))
-    first = materialize(first, "links")
-    pairs, links, found = remaining_pairs(against, first, texts, shingle, percent)
+    pairs, found = remaining_pairs(against, first, texts, shingle, percent)
     rest = materialize(unlinked(pairs.union(short), found).distinct(), "rest")
-    return links.union(verified(rest, texts, shingle, percent, min_matches))
+    # Components found so far are stars, which leaves little to do for those of all links.
+    return found.toDF("a", "b").union(verified(rest, texts, shingle, percent, min_matches))

@@ -135,7 +135,6 @@ def near_duplicates(
         return source.join(nodes.join(classes.select("node", "signature"), "node"), "node")
 
     links = link(postings(classes, posting_counts(classes)), texts_of, shingle, percent, MATCHES)
-    links = materialize(links, "links")
     named = linkable.select("doc_id", "digest").join(classes.select("digest", "node"), "digest")
     several = named.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     repeated = named.join(several.select("doc_id", "lo"), "doc_id").select("lo", "node").distinct()

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverlode.llm import collide, hashing, paragraphs
+from silverlode.llm import components as rounds
 from silverlode.llm.components import components
 from silverlode.llm.exact_stream import exact_duplicates
 from silverlode.llm.near_dup import near_duplicates, one_of_each
@@ -180,6 +181,27 @@ def test_components_of_a_path_a_star_and_loops(llm):
     assert components(llm.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("run", [1 << 16, 64, 7])
+def test_edges_are_contracted_in_runs(llm, monkeypatch, run):
+    written = []
+
+    def counted(df, label, materialize=rounds.materialize):
+        written.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(rounds, "materialize", counted)
+    monkeypatch.setattr(rounds, "RUN", run, raising=False)
+    # A path from the middle to both ends, a star around its largest node, pairs, loops and repeats.
+    edges = [(i, i + 2) for i in range(0, 60, 2)] + [(i, i + 2) for i in range(1, 60, 2)] + [(0, 1)]
+    edges += [(900, i) for i in range(800, 850)] + [(5, 5), (7, 9), (9, 7), (None, 3), (-4, -9)]
+    found = components(llm.createDataFrame(edges, "a long, b long").repartition(4)).collect()
+    named = {i: 0 for i in range(62)} | {i: 800 for i in [*range(800, 850), 900]} | {-4: -9, -9: -9}
+    assert len(found) == len(named) and dict(found) == named
+    # Before, every call had its rounds of joins, and one more to see that nothing changes.
+    if run > len(edges):
+        assert len(written) <= 2
+
+
 def test_words_do_not_depend_on_blocks():
     text = ("héllo wörld \t" * 200_000).encode()
     pieces = hashing.text_words(text)[0]
